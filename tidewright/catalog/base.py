@@ -56,7 +56,17 @@ def grid(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) -> D
     return regular_grid(hours(spark, sf, columns), ["source"], "ts_hour", HOUR, unique=True)
 
 
-def shown(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+def samples(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) -> DataFrame:
+    """First reading of each hour per source; exact decimals, unlike means."""
+    return rollup(readings(spark, sf), ["source"], "ts", [], list(columns), tie_break=["event_id"])
+
+
+def sample_grid(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) -> DataFrame:
+    """First reading of each hour on the regular hourly grid of each source."""
+    return regular_grid(samples(spark, sf, columns), ["source"], "ts_hour", HOUR, unique=True)
+
+
+def shown(df: DataFrame, columns: Sequence[str], digits: int = 8) -> DataFrame:
     """Round the floating columns for comparison."""
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
@@ -73,7 +83,12 @@ R = """r AS (
 H = R + """, h AS (
   SELECT source, date_trunc('hour', ts) AS ts_hour, avg(value) AS value, avg(degrees) AS degrees
   FROM r GROUP BY ALL)"""
-G = H + """, bounds AS (SELECT source, min(ts_hour) AS lo, max(ts_hour) AS hi FROM h GROUP BY source),
+_GRID = """, bounds AS (SELECT source, min(ts_hour) AS lo, max(ts_hour) AS hi FROM h GROUP BY source),
 slots AS (SELECT source, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts_hour FROM bounds),
 g AS (SELECT slots.source, slots.ts_hour, h.value, h.degrees
       FROM slots LEFT JOIN h ON h.source = slots.source AND h.ts_hour = slots.ts_hour)"""
+G = H + _GRID
+S = R + """, h AS (
+  SELECT source, date_trunc('hour', ts) AS ts_hour, arg_min(value, ts) AS value, arg_min(degrees, ts) AS degrees
+  FROM r GROUP BY ALL)"""
+SG = S + _GRID

@@ -105,9 +105,9 @@ def last_points(spark, sf):
 
 
 _AUDIT = f"""WITH {R}, p AS (
-  SELECT date_trunc('hour', ts) AS datahora_alvo, avg(value) AS dyn,
-         avg(value) FILTER (WHERE event_id % 2 = 0) AS frz FROM r WHERE source = 'click' GROUP BY 1),
-t AS (SELECT date_trunc('hour', ts) AS datahora_alvo, avg(value) AS real FROM r WHERE source = 'view' GROUP BY 1),
+  SELECT date_trunc('hour', ts) AS datahora_alvo, max(value) AS dyn,
+         min(value) FILTER (WHERE event_id % 2 = 0) AS frz FROM r WHERE source = 'click' GROUP BY 1),
+t AS (SELECT date_trunc('hour', ts) AS datahora_alvo, max(value) AS real FROM r WHERE source = 'view' GROUP BY 1),
 v AS (SELECT datahora_alvo, round(dyn, 3) AS previsto_dinamico, round(frz, 3) AS previsto_2h_congelado,
   round(real, 3) AS medicao_real_boia, round(abs(real - dyn), 3) AS erro_dinamico_nos, round(abs(real - frz), 3) AS erro_2h_nos,
   round(CASE WHEN real IS NOT NULL AND dyn IS NOT NULL AND real <> 0 THEN greatest(0, (1 - abs(real - dyn) / abs(real)) * 100) END, 1) AS acerto_perc_dinamico,
@@ -118,9 +118,9 @@ v AS (SELECT datahora_alvo, round(dyn, 3) AS previsto_dinamico, round(frz, 3) AS
 def _audit(spark, sf):
     rows = readings(spark, sf).withColumn("datahora_alvo", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     forecasts = rows.filter(F.col("source") == "click").groupBy("datahora_alvo").agg(
-        F.avg("value").alias("dyn"), F.avg(F.when(F.col("event_id") % 2 == 0, F.col("value"))).alias("frz")
+        F.max("value").alias("dyn"), F.min(F.when(F.col("event_id") % 2 == 0, F.col("value"))).alias("frz")
     )
-    truth = rows.filter(F.col("source") == "view").groupBy("datahora_alvo").agg(F.avg("value").alias("real"))
+    truth = rows.filter(F.col("source") == "view").groupBy("datahora_alvo").agg(F.max("value").alias("real"))
     return ops.audit(forecasts, truth, "datahora_alvo", "dyn", "frz", "real")
 
 
@@ -143,7 +143,7 @@ def audit_hourly_report(spark, sf):
 
 
 @query("audit_daily", f"""{_AUDIT} SELECT CAST(datahora_alvo AS DATE) AS dia,
-  round(avg(acerto_perc_2h), 2) AS assertividade_media_dia, count(*) AS horas
+  round(avg(acerto_perc_2h), 8) AS assertividade_media_dia, count(*) AS horas
 FROM v WHERE previsto_2h_congelado IS NOT NULL AND medicao_real_boia IS NOT NULL GROUP BY 1""")
 def audit_daily(spark, sf):
-    return ops.audit_daily(_audit(spark, sf), "datahora_alvo")
+    return ops.audit_daily(_audit(spark, sf), "datahora_alvo", digits=8)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.catalog.base import G, HOUR, R, grid, hours, instant, query, readings, shown
+from tidewright.catalog.base import G, HOUR, R, SG, grid, hours, instant, query, readings, sample_grid, shown
 from tidewright.functions.timekeys import five_minute_key, hour_key
 from tidewright.operators import grid as ops
 from tidewright.operators.scan import grid_buckets
@@ -12,7 +12,7 @@ from tidewright.operators.scan import grid_buckets
 _BY = ["source"]
 
 
-@query("grid_regular", f"WITH {G} SELECT source, ts_hour, round(value, 6) AS value FROM g")
+@query("grid_regular", f"WITH {G} SELECT source, ts_hour, round(value, 8) AS value FROM g")
 def grid_regular(spark, sf):
     return shown(grid(spark, sf), ["value"])
 
@@ -32,12 +32,12 @@ h AS (SELECT source, date_trunc('hour', ts_5min) AS ts_hour, avg(value) AS mean_
              max(value) FILTER (WHERE minute(ts_5min) = 0) AS sample_value FROM five GROUP BY ALL),
 b AS (SELECT source, min(ts_hour) AS lo, max(ts_hour) AS hi FROM h GROUP BY source),
 s AS (SELECT source, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts_hour FROM b)
-SELECT s.source, s.ts_hour, h.sample_value, round(h.mean_value, 6) AS mean_value
+SELECT s.source, s.ts_hour, h.sample_value, round(h.mean_value, 8) AS mean_value
 FROM s LEFT JOIN h USING (source, ts_hour)""")
 def grid_sample_vs_mean(spark, sf):
     five = _five(spark, sf)
     sample = ops.regular_grid(five.withColumnRenamed("ts_5min", "ts_hour"), _BY, "ts_hour", HOUR, unique=True)
-    mean = five.groupBy("source", hour_key(F.col("ts_5min")).alias("ts_hour")).agg(F.round(F.avg("value"), 6).alias("mean_value"))
+    mean = five.groupBy("source", hour_key(F.col("ts_5min")).alias("ts_hour")).agg(F.round(F.avg("value"), 8).alias("mean_value"))
     return sample.withColumnRenamed("value", "sample_value").join(mean, ["source", "ts_hour"], "left")
 
 
@@ -52,14 +52,14 @@ _LINEAR = "CASE WHEN value IS NOT NULL THEN value WHEN pv IS NULL THEN nv WHEN n
 
 
 @query("interp_linear_limit", f"""WITH {G}, {_KNOWN}
-SELECT source, ts_hour, CASE WHEN x - px <= 2 OR nx - x <= 2 THEN round({_LINEAR}, 6) END AS value FROM k""")
+SELECT source, ts_hour, CASE WHEN x - px <= 2 OR nx - x <= 2 THEN round({_LINEAR}, 8) END AS value FROM k""")
 def interp_linear_limit(spark, sf):
-    return ops.interpolate_linear(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, limit=2, digits=6)
+    return ops.interpolate_linear(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, limit=2, digits=8)
 
 
-@query("interp_linear_unlimited", f"WITH {G}, {_KNOWN} SELECT source, ts_hour, round({_LINEAR}, 6) AS value FROM k")
+@query("interp_linear_unlimited", f"WITH {G}, {_KNOWN} SELECT source, ts_hour, round({_LINEAR}, 8) AS value FROM k")
 def interp_linear_unlimited(spark, sf):
-    return ops.interpolate_linear(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, digits=6)
+    return ops.interpolate_linear(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, digits=8)
 
 
 @query("interp_onto_instants", f"""WITH {R}, {_FIVE},
@@ -85,11 +85,11 @@ def interp_onto_instants(spark, sf):
 
 
 def _chain_sql(curve: str, enough: str) -> str:
-    return f"""WITH {G}, kn AS (
-  SELECT source, ts_hour, value AS v, epoch(ts_hour) / 3600.0 AS x FROM g WHERE value IS NOT NULL),
+    return f"""WITH {SG}, kn AS (
+  SELECT source, ts_hour, sqrt(value) AS v, epoch(ts_hour) / 3600.0 AS x FROM g WHERE value IS NOT NULL),
 ln AS (SELECT *, lag(v) OVER w AS lv, lag(x) OVER w AS lx, lead(v) OVER w AS fv, lead(x) OVER w AS fx
        FROM kn WINDOW w AS (PARTITION BY source ORDER BY ts_hour)),
-j AS (SELECT g.source, g.ts_hour, g.value, epoch(g.ts_hour) / 3600.0 AS t, ln.v, ln.x, lv, lx, fv, fx
+j AS (SELECT g.source, g.ts_hour, g.sqrt(value) AS value, epoch(g.ts_hour) / 3600.0 AS t, ln.v, ln.x, lv, lx, fv, fx
       FROM g LEFT JOIN ln USING (source, ts_hour)),
 k AS (SELECT source, ts_hour, value, t,
   last_value(v IGNORE NULLS) OVER p AS b, last_value(x IGNORE NULLS) OVER p AS xb,
@@ -100,7 +100,7 @@ k AS (SELECT source, ts_hour, value, t,
                 n AS (PARTITION BY source ORDER BY ts_hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 q AS (SELECT *, ps.v AS a, ps.x AS xa, ns.v AS d, ns.x AS xd FROM k)
 SELECT source, ts_hour, round(CASE WHEN value IS NOT NULL THEN value WHEN b IS NULL THEN c WHEN c IS NULL THEN b
-  WHEN {enough} THEN {curve} ELSE b * (t - xc) / (xb - xc) + c * (t - xb) / (xc - xb) END, 4) AS value FROM q"""
+  WHEN {enough} THEN {curve} ELSE b * (t - xc) / (xb - xc) + c * (t - xb) / (xc - xb) END, 6) AS value FROM q"""
 
 
 _CUBIC = (
@@ -112,24 +112,29 @@ _QUADRATIC = (
 )
 
 
+def _rooted(spark, sf):
+    """Square roots, so that no exact rounding ties blur the comparison."""
+    return sample_grid(spark, sf).withColumn("value", F.sqrt("value"))
+
+
 @query("interp_local_cubic", _chain_sql(_CUBIC, "a IS NOT NULL AND d IS NOT NULL"))
 def interp_local_cubic(spark, sf):
-    return ops.interpolate_local(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, order=3)
+    return ops.interpolate_local(_rooted(spark, sf), _BY, "ts_hour", ["value"], HOUR, order=3, digits=6)
 
 
 @query("interp_local_quadratic", _chain_sql(_QUADRATIC, "a IS NOT NULL"))
 def interp_local_quadratic(spark, sf):
-    return ops.interpolate_local(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, order=2)
+    return ops.interpolate_local(_rooted(spark, sf), _BY, "ts_hour", ["value"], HOUR, order=2, digits=6)
 
 
-@query("ffill_bfill", f"WITH {G}, {_KNOWN} SELECT source, ts_hour, round(coalesce(pv, nv), 6) AS value FROM k")
+@query("ffill_bfill", f"WITH {G}, {_KNOWN} SELECT source, ts_hour, round(coalesce(pv, nv), 8) AS value FROM k")
 def ffill_bfill(spark, sf):
     return shown(ops.fill_gaps(grid(spark, sf), _BY, "ts_hour", ["value"], grid_buckets(HOUR)), ["value"])
 
 
 @query("ffill_then_zero", f"""WITH {R}, h AS (
   SELECT date_trunc('hour', ts) AS ts_hour, avg(value) FILTER (WHERE source = 'view') AS value FROM r GROUP BY 1)
-SELECT ts_hour, round(coalesce(last_value(value IGNORE NULLS) OVER (ORDER BY ts_hour), 0), 6) AS value FROM h""")
+SELECT ts_hour, round(coalesce(last_value(value IGNORE NULLS) OVER (ORDER BY ts_hour), 0), 8) AS value FROM h""")
 def ffill_then_zero(spark, sf):
     rows = readings(spark, sf).groupBy(hour_key(F.col("ts")).alias("ts_hour")).agg(
         F.avg(F.when(F.col("source") == "view", F.col("value"))).alias("value")
@@ -139,7 +144,7 @@ def ffill_then_zero(spark, sf):
 
 
 @query("replicate_12x5min", f"""WITH {G}
-SELECT source, ts_hour + i * INTERVAL 5 MINUTE AS ts_5min, round(value, 6) AS value
+SELECT source, ts_hour + i * INTERVAL 5 MINUTE AS ts_5min, round(value, 8) AS value
 FROM h, range(12) AS s(i)""")
 def replicate_12x5min(spark, sf):
     out = ops.replicate(hours(spark, sf).withColumnRenamed("ts_hour", "ts_5min"), "ts_5min", 300, 12)
@@ -161,8 +166,8 @@ def replicate_3h(spark, sf):
 @query("rms_gap_fill", f"""WITH {G}, p AS (
   SELECT source, ts_hour, value, degrees, lag(ts_hour) OVER w AS pt, lag(value) OVER w AS pv, lag(degrees) OVER w AS pd
   FROM h WINDOW w AS (PARTITION BY source ORDER BY ts_hour))
-SELECT source, pt + i * INTERVAL 1 HOUR AS ts_hour, round(sqrt((pv * pv + value * value) / 2), 6) AS value,
-       round(degrees, 6) AS degrees, TRUE AS synthetic
+SELECT source, pt + i * INTERVAL 1 HOUR AS ts_hour, round(sqrt((pv * pv + value * value) / 2), 8) AS value,
+       round(degrees, 8) AS degrees, TRUE AS synthetic
 FROM p, (VALUES (1), (2)) AS s(i) WHERE ts_hour - pt = INTERVAL 3 HOUR""")
 def rms_gap_fill(spark, sf):
     out = ops.rms_gap_rows(hours(spark, sf, ("value", "degrees")), _BY, "ts_hour", ["value"], grid_buckets(HOUR))
@@ -171,16 +176,16 @@ def rms_gap_fill(spark, sf):
 
 @query("extend_last_row", f"""WITH {G}, n AS (
   SELECT source, max(ts_hour) AS last, arg_max(value, ts_hour) AS value FROM h GROUP BY source)
-SELECT source, ts_hour, round(value, 6) AS value FROM h
-UNION ALL SELECT source, TIMESTAMP '2024-01-31 02:00:00', round(value, 6) FROM n WHERE last < TIMESTAMP '2024-01-31 02:00:00'""")
+SELECT source, ts_hour, round(value, 8) AS value FROM h
+UNION ALL SELECT source, TIMESTAMP '2024-01-31 02:00:00', round(value, 8) FROM n WHERE last < TIMESTAMP '2024-01-31 02:00:00'""")
 def extend_last_row(spark, sf):
     return shown(ops.extend_last_row(hours(spark, sf), _BY, "ts_hour", instant("2024-01-31 02:00:00")), ["value"])
 
 
 @query("append_future", f"""WITH {G}
-SELECT ts_hour, round(value, 6) AS value, NULL::DOUBLE AS degrees FROM h
+SELECT ts_hour, round(value, 8) AS value, NULL::DOUBLE AS degrees FROM h
 WHERE source = 'click' AND ts_hour <= TIMESTAMP '2024-01-20 00:00:00'
-UNION ALL SELECT ts_hour, NULL, round(degrees, 6) FROM h
+UNION ALL SELECT ts_hour, NULL, round(degrees, 8) FROM h
 WHERE source = 'view' AND ts_hour > TIMESTAMP '2024-01-20 00:00:00' AND ts_hour <= TIMESTAMP '2024-01-20 14:00:00'""")
 def append_future(spark, sf):
     rows = hours(spark, sf, ("value", "degrees"))

@@ -49,7 +49,7 @@ def _day_payload(rows, entry, name="list"):
 
 
 @query("json_forecast_list", f"""WITH {R}
-SELECT source, CAST(ts AS DATE) AS day, date_trunc('second', ts) AS timestamp_utc, value AS temp, round(degrees, 6) AS wind_deg,
+SELECT source, CAST(ts AS DATE) AS day, date_trunc('second', ts) AS timestamp_utc, value AS temp, round(degrees, 8) AS wind_deg,
        length(source) * 1.0 AS lat FROM r""")
 def json_forecast_list(spark, sf):
     entry = F.struct(
@@ -64,7 +64,7 @@ def json_forecast_list(spark, sf):
     rows = weather_json.forecast_list(days.select("source", "day", payload.alias("payload")))
     return rows.select(
         "source", "day", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "temp",
-        F.round("wind_deg", 6).alias("wind_deg"), "lat",
+        F.round("wind_deg", 8).alias("wind_deg"), "lat",
     )
 
 
@@ -97,12 +97,12 @@ def arrays_zip_rows(spark, sf):
 
 
 @query("onecall_local_hours", f"""WITH {R}
-SELECT source, date_trunc('second', ts) - INTERVAL 3 HOUR AS datahora, value AS wind_speed, round(degrees, 6) AS vento_num FROM r""")
+SELECT source, date_trunc('second', ts) - INTERVAL 3 HOUR AS datahora, value AS wind_speed, round(degrees, 8) AS vento_num FROM r""")
 def onecall_local_hours(spark, sf):
     entry = F.struct(_epoch().alias("dt"), F.col("value").alias("wind_speed"), F.col("degrees").alias("wind_deg"))
     days = _day_payload(readings(spark, sf), entry, "hourly")
     rows = weather_json.onecall_hours(days.select("source", F.to_json(F.struct("hourly")).alias("payload")), "America/Sao_Paulo")
-    return rows.select("source", "datahora", "wind_speed", F.round("vento_num", 6).alias("vento_num"))
+    return rows.select("source", "datahora", "wind_speed", F.round("vento_num", 8).alias("vento_num"))
 
 
 @query("attach_city", f"""WITH {R}, n AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)

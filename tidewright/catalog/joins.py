@@ -29,7 +29,7 @@ _LATEST = "".join(f""", {s}_h AS (
 
 
 @query("master_hour", f"""WITH {R}{_LATEST}, spine AS (
-  SELECT date_trunc('hour', ts) AS ts_hour, round(avg(value), 6) AS value, arg_min(user_id, ts) AS user_id
+  SELECT date_trunc('hour', ts) AS ts_hour, round(avg(value), 8) AS value, arg_min(user_id, ts) AS user_id
   FROM r WHERE source = 'click' GROUP BY 1)
 SELECT * FROM spine LEFT JOIN error_h USING (ts_hour) LEFT JOIN purchase_h USING (ts_hour)
 LEFT JOIN signup_h USING (ts_hour) LEFT JOIN view_h USING (ts_hour) ORDER BY ts_hour""")
@@ -82,13 +82,13 @@ def master_5min_mixed_keys(spark, sf):
 
 
 _SERIES = "".join(f""", {s}_s AS (
-  SELECT ts_hour, round(value, 6) AS {s} FROM h WHERE source = '{s}')""" for s in SOURCES)
+  SELECT ts_hour, round(value, 8) AS {s} FROM h WHERE source = '{s}')""" for s in SOURCES)
 
 
 def _series(spark, sf):
     rolled = hours(spark, sf)
     return [
-        rolled.filter(F.col("source") == s).select("ts_hour", F.round("value", 6).alias(s)) for s in SOURCES
+        rolled.filter(F.col("source") == s).select("ts_hour", F.round("value", 8).alias(s)) for s in SOURCES
     ]
 
 
@@ -124,7 +124,7 @@ def union_of_unlike(spark, sf):
     )
 
 
-_PIVOT = ", ".join(f"round(avg(value) FILTER (WHERE source = '{s}'), 6) AS rain_{s}" for s in SOURCES)
+_PIVOT = ", ".join(f"round(avg(value) FILTER (WHERE source = '{s}'), 8) AS rain_{s}" for s in SOURCES)
 
 
 @query("pivot_series", f"WITH {R} SELECT date_trunc('hour', ts) AS ts_hour, {_PIVOT} FROM r GROUP BY 1")
@@ -142,9 +142,9 @@ def join_on_hour(spark, sf):
 
 @query("daily_pivot_join", """WITH d AS (
   SELECT CAST(l_shipdate AS DATE) AS day,
-         round(avg(l_quantity) FILTER (WHERE l_returnflag = 'A'), 6) AS rain_A,
-         round(avg(l_quantity) FILTER (WHERE l_returnflag = 'N'), 6) AS rain_N,
-         round(avg(l_quantity) FILTER (WHERE l_returnflag = 'R'), 6) AS rain_R
+         round(avg(l_quantity) FILTER (WHERE l_returnflag = 'A'), 8) AS rain_A,
+         round(avg(l_quantity) FILTER (WHERE l_returnflag = 'N'), 8) AS rain_N,
+         round(avg(l_quantity) FILTER (WHERE l_returnflag = 'R'), 8) AS rain_R
   FROM lineitem GROUP BY 1)
 SELECT o_orderkey, o_orderdate, rain_A, rain_N, rain_R
 FROM orders LEFT JOIN d ON d.day = CAST(o_orderdate AS DATE)""")
@@ -219,10 +219,10 @@ def combine_first(spark, sf):
 @query("asof_nearest", f"""WITH {R}, l AS (SELECT event_id, user_id, ts FROM r WHERE source = 'error'),
 v AS (SELECT user_id, ts, arg_min(value, event_id) AS value FROM r WHERE source = 'view' GROUP BY ALL),
 b AS (SELECT l.*, v.ts AS bt, v.value AS bv FROM l ASOF LEFT JOIN v ON l.user_id = v.user_id AND l.ts >= v.ts),
-a AS (SELECT b.*, v.ts AS at, v.value AS av FROM b ASOF LEFT JOIN v ON b.user_id = v.user_id AND b.ts <= v.ts)
+a AS (SELECT b.*, v.ts AS aft, v.value AS av FROM b ASOF LEFT JOIN v ON b.user_id = v.user_id AND b.ts <= v.ts)
 SELECT event_id, user_id, ts,
-  CASE WHEN bt IS NOT NULL AND (at IS NULL OR ts - bt <= at - ts) THEN bt ELSE at END AS matched_ts,
-  CASE WHEN bt IS NOT NULL AND (at IS NULL OR ts - bt <= at - ts) THEN bv ELSE av END AS value
+  CASE WHEN bt IS NOT NULL AND (aft IS NULL OR ts - bt <= aft - ts) THEN bt ELSE aft END AS matched_ts,
+  CASE WHEN bt IS NOT NULL AND (aft IS NULL OR ts - bt <= aft - ts) THEN bv ELSE av END AS value
 FROM a""")
 def asof_nearest(spark, sf):
     rows = readings(spark, sf)
@@ -234,10 +234,10 @@ def asof_nearest(spark, sf):
 @query("asof_tolerance", f"""WITH {R}, l AS (SELECT event_id, ts FROM r WHERE source = 'error'),
 v AS (SELECT ts, value FROM r WHERE source = 'view'),
 b AS (SELECT l.*, v.ts AS bt, v.value AS bv FROM l ASOF LEFT JOIN v ON l.ts >= v.ts),
-a AS (SELECT b.*, v.ts AS at, v.value AS av FROM b ASOF LEFT JOIN v ON b.ts <= v.ts),
+a AS (SELECT b.*, v.ts AS aft, v.value AS av FROM b ASOF LEFT JOIN v ON b.ts <= v.ts),
 m AS (SELECT event_id, ts,
-  CASE WHEN bt IS NOT NULL AND (at IS NULL OR ts - bt <= at - ts) THEN bt ELSE at END AS mt,
-  CASE WHEN bt IS NOT NULL AND (at IS NULL OR ts - bt <= at - ts) THEN bv ELSE av END AS mv
+  CASE WHEN bt IS NOT NULL AND (aft IS NULL OR ts - bt <= aft - ts) THEN bt ELSE aft END AS mt,
+  CASE WHEN bt IS NOT NULL AND (aft IS NULL OR ts - bt <= aft - ts) THEN bv ELSE av END AS mv
   FROM a)
 SELECT event_id, ts,
   CASE WHEN abs(epoch_us(mt) - epoch_us(ts)) <= 600000000 THEN mt END AS matched_ts,
@@ -265,7 +265,7 @@ def previous_and_next(spark, sf):
 
 @query("range_slice_origins", f"""WITH {G}
 SELECT o.source, o.ts_hour AS origin, CAST(date_diff('hour', o.ts_hour, x.ts_hour) AS INTEGER) AS ahead,
-       x.ts_hour, round(x.value, 6) AS value
+       x.ts_hour, round(x.value, 8) AS value
 FROM g o JOIN g x ON x.source = o.source AND x.ts_hour BETWEEN o.ts_hour AND o.ts_hour + INTERVAL 9 HOUR
 WHERE hour(o.ts_hour) = 0""")
 def range_slice_origins(spark, sf):

@@ -33,8 +33,8 @@ _LEAD = f"trunc((epoch(ts_hour) - epoch(TIMESTAMP '{_NOW}')) / 60)"
 
 
 @query("merge_freeze", f"""{_STORED}
-SELECT ts_hour, round(coalesce(value, dynamic), 6) AS dynamic,
-  round(coalesce(frozen, CASE WHEN {_LEAD} BETWEEN 90 AND 150 THEN value END), 6) AS frozen,
+SELECT ts_hour, round(coalesce(value, dynamic), 8) AS dynamic,
+  round(coalesce(frozen, CASE WHEN {_LEAD} BETWEEN 90 AND 150 THEN value END), 8) AS frozen,
   CASE WHEN value IS NOT NULL THEN TIMESTAMP '{_NOW}' ELSE updated_at END AS updated_at
 FROM s FULL JOIN n USING (ts_hour)""")
 def merge_freeze(spark, sf):
@@ -43,7 +43,7 @@ def merge_freeze(spark, sf):
 
 
 @query("merge_coalesce", f"""{_STORED}
-SELECT ts_hour, round(coalesce(value, dynamic), 6) AS dynamic, round(coalesce(frozen, value / 2), 6) AS frozen,
+SELECT ts_hour, round(coalesce(value, dynamic), 8) AS dynamic, round(coalesce(frozen, value / 2), 8) AS frozen,
        CASE WHEN value IS NOT NULL THEN TIMESTAMP '{_NOW}' ELSE updated_at END AS updated_at
 FROM s FULL JOIN n USING (ts_hour)""")
 def merge_coalesce(spark, sf):
@@ -56,8 +56,8 @@ def merge_coalesce(spark, sf):
 
 
 @query("update_from", f"""{_STORED}
-SELECT ts_hour, round(dynamic, 6) AS dynamic,
-  round(CASE WHEN n.value IS NOT NULL AND ts_hour >= TIMESTAMP '2024-01-20' THEN n.value ELSE frozen END, 6) AS frozen, updated_at
+SELECT ts_hour, round(dynamic, 8) AS dynamic,
+  round(CASE WHEN n.value IS NOT NULL AND ts_hour >= TIMESTAMP '2024-01-20' THEN n.value ELSE frozen END, 8) AS frozen, updated_at
 FROM s LEFT JOIN n USING (ts_hour)""")
 def update_from(spark, sf):
     stored, run = _forecasts(spark, sf)
@@ -66,7 +66,7 @@ def update_from(spark, sf):
 
 
 @query("upsert_one_column", f"""{_STORED}
-SELECT ts_hour, round(coalesce(value, dynamic), 6) AS dynamic, round(frozen, 6) AS frozen, updated_at
+SELECT ts_hour, round(coalesce(value, dynamic), 8) AS dynamic, round(frozen, 8) AS frozen, updated_at
 FROM s FULL JOIN n USING (ts_hour)""")
 def upsert_one_column(spark, sf):
     stored, run = _forecasts(spark, sf)
@@ -75,8 +75,8 @@ def upsert_one_column(spark, sf):
 
 
 @query("rolling_refresh", f"""WITH {H}, c AS (SELECT max(ts_hour) - INTERVAL 24 HOUR AS cutoff FROM h WHERE source = 'click')
-SELECT ts_hour, 'old' AS origin, round(value, 6) AS value FROM h, c WHERE source = 'click' AND ts_hour < cutoff
-UNION ALL SELECT ts_hour, 'new', round(value, 6) FROM h, c WHERE source = 'view' AND ts_hour >= cutoff""")
+SELECT ts_hour, 'old' AS origin, round(value, 8) AS value FROM h, c WHERE source = 'click' AND ts_hour < cutoff
+UNION ALL SELECT ts_hour, 'new', round(value, 8) FROM h, c WHERE source = 'view' AND ts_hour >= cutoff""")
 def rolling_refresh(spark, sf):
     rolled = hours(spark, sf)
     stored = rolled.filter(F.col("source") == "click").select("ts_hour", F.lit("old").alias("origin"), "value")
@@ -86,7 +86,7 @@ def rolling_refresh(spark, sf):
 
 @query("union_evolve", f"""WITH {R}
 SELECT event_id, value, NULL::DOUBLE AS degrees FROM r WHERE ts < TIMESTAMP '2024-01-10'
-UNION ALL SELECT event_id, value, round(degrees, 6) FROM r WHERE ts >= TIMESTAMP '2024-01-10'""")
+UNION ALL SELECT event_id, value, round(degrees, 8) FROM r WHERE ts >= TIMESTAMP '2024-01-10'""")
 def union_evolve(spark, sf):
     rows, cut = readings(spark, sf), instant("2024-01-10")
     stored = rows.filter(F.col("ts") < cut).select("event_id", "value")
@@ -146,7 +146,7 @@ def shape_columns(spark, sf):
 @query("overlay_freshest", f"""WITH {R}, last AS (SELECT user_id, arg_max(value, ts) AS value, arg_max(degrees, ts) AS degrees
   FROM r WHERE ts < TIMESTAMP '2024-01-20' GROUP BY user_id),
 now AS (SELECT user_id, avg(value) AS value FROM r WHERE ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-20 12:00:00' GROUP BY user_id)
-SELECT user_id, round(coalesce(now.value, last.value), 6) AS value, round(degrees, 6) AS degrees
+SELECT user_id, round(coalesce(now.value, last.value), 8) AS value, round(degrees, 8) AS degrees
 FROM last LEFT JOIN now USING (user_id)""")
 def overlay_freshest(spark, sf):
     rows, cut = readings(spark, sf), instant("2024-01-20")
@@ -167,8 +167,8 @@ def partitioned_days(spark, sf):
 
 
 @query("versioned_merge", f"""{_STORED}
-SELECT ts_hour, round(coalesce(value, dynamic), 6) AS dynamic,
-  round(coalesce(frozen, CASE WHEN {_LEAD} BETWEEN 90 AND 150 THEN value END), 6) AS frozen,
+SELECT ts_hour, round(coalesce(value, dynamic), 8) AS dynamic,
+  round(coalesce(frozen, CASE WHEN {_LEAD} BETWEEN 90 AND 150 THEN value END), 8) AS frozen,
   CASE WHEN value IS NOT NULL THEN TIMESTAMP '{_NOW}' ELSE updated_at END AS updated_at
 FROM s FULL JOIN n USING (ts_hour)""")
 def versioned_merge(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.catalog.base import G, R, grid, instant, query, readings, shown, table
+from tidewright.catalog.base import R, SG, instant, query, readings, sample_grid, shown, table
 from tidewright.functions.timekeys import five_minute_key
 from tidewright.operators import rollup as ops
 from tidewright.operators.shaping import numeric_share
@@ -12,8 +12,8 @@ from tidewright.sources.tables import latest_rows
 
 
 @query("hour_rollup", f"""WITH {R}
-SELECT source, date_trunc('hour', ts) AS ts_hour, round(avg(value), 6) AS value,
-       round(avg(degrees), 6) AS degrees, max(ts) AS last_ts
+SELECT source, date_trunc('hour', ts) AS ts_hour, round(avg(value), 8) AS value,
+       round(avg(degrees), 8) AS degrees, max(ts) AS last_ts
 FROM r GROUP BY ALL""")
 def hour_rollup(spark, sf):
     out = ops.rollup(readings(spark, sf), ["source"], "ts", ["value", "degrees"], last_instant="last_ts")
@@ -21,7 +21,7 @@ def hour_rollup(spark, sf):
 
 
 @query("hour_rollup_first_label", f"""WITH {R}
-SELECT date_trunc('hour', ts) AS ts_hour, round(avg(value), 6) AS value,
+SELECT date_trunc('hour', ts) AS ts_hour, round(avg(value), 8) AS value,
        arg_min(source, ts) AS source, arg_min(user_id, ts) AS user_id,
        date_trunc('hour', ts) + INTERVAL 59 MINUTE AS ts_end
 FROM r GROUP BY date_trunc('hour', ts)""")
@@ -31,8 +31,8 @@ def hour_rollup_first_label(spark, sf):
 
 
 @query("hour_rollup_by_type", f"""WITH {R}
-SELECT user_id, date_trunc('hour', ts) AS ts_hour, round(avg(value), 6) AS value,
-       round(avg(degrees), 6) AS degrees, arg_min(source, ts) AS source
+SELECT user_id, date_trunc('hour', ts) AS ts_hour, round(avg(value), 8) AS value,
+       round(avg(degrees), 8) AS degrees, arg_min(source, ts) AS source
 FROM r GROUP BY user_id, date_trunc('hour', ts)""")
 def hour_rollup_by_type(spark, sf):
     out = ops.rollup_by_type(readings(spark, sf), ["user_id"], "ts", ["event_id"])
@@ -63,7 +63,7 @@ def time_span(spark, sf):
 
 
 @query("bucket_5min", f"""WITH {R}
-SELECT source, time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, round(avg(value), 6) AS value
+SELECT source, time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, round(avg(value), 8) AS value
 FROM r GROUP BY ALL""")
 def bucket_5min(spark, sf):
     out = ops.rollup(readings(spark, sf), ["source"], "ts", ["value"], step_seconds=300, bucket="bucket")
@@ -77,7 +77,7 @@ def bucket_5min_rows(spark, sf):
 
 
 @query("partial_hour_mean", f"""WITH {R}
-SELECT source, round(avg(value), 6) AS value FROM r
+SELECT source, round(avg(value), 8) AS value FROM r
 WHERE ts >= TIMESTAMP '2024-01-15 12:00:00' AND ts <= TIMESTAMP '2024-01-15 12:40:00' GROUP BY source""")
 def partial_hour_mean(spark, sf):
     out = ops.partial_hour_mean(readings(spark, sf), ["source"], "ts", ["value"], instant("2024-01-15 12:40:00"))
@@ -85,7 +85,7 @@ def partial_hour_mean(spark, sf):
 
 
 @query("latest_per_hour", f"""WITH {R}
-SELECT event_id, ts, source, user_id, value, round(degrees, 6) AS degrees, date_trunc('hour', ts) AS ts_hour FROM r
+SELECT event_id, ts, source, user_id, value, round(degrees, 8) AS degrees, date_trunc('hour', ts) AS ts_hour FROM r
 QUALIFY row_number() OVER (PARTITION BY source, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) = 1""")
 def latest_per_hour(spark, sf):
     return shown(ops.latest_per_hour(readings(spark, sf), ["source"], "ts", ["event_id"]), ["degrees"])
@@ -120,7 +120,7 @@ def latest_n_resorted(spark, sf):
 
 
 @query("metric_means", """
-SELECT l_returnflag, metric, round(avg(v), 6) AS mean FROM (
+SELECT l_returnflag, metric, round(avg(v), 8) AS mean FROM (
   SELECT l_returnflag, unnest(['l_quantity', 'l_discount', 'l_tax']) AS metric,
          unnest([l_quantity, l_discount, l_tax]) AS v FROM lineitem)
 GROUP BY ALL""")
@@ -145,9 +145,9 @@ def collapse_forecasts(spark, sf):
     return ops.collapse_runs(runs, "target", "origin", "value", "frozen")
 
 
-@query("profile_columns", f"""WITH {G}, c AS (
+@query("profile_columns", f"""WITH {SG}, c AS (
   SELECT 'source' AS column_name, source AS v FROM g UNION ALL
-  SELECT 'value', CAST(round(value, 2) AS VARCHAR) FROM g UNION ALL
+  SELECT 'value', CAST(value AS VARCHAR) FROM g UNION ALL
   SELECT 'ts_day', CAST(CAST(ts_hour AS DATE) AS VARCHAR) FROM g)
 SELECT column_name, count(*) AS row_count, count(*) - count(v) AS null_count,
        coalesce(count(*) FILTER (WHERE TRY_CAST(v AS DOUBLE) = 0), 0) AS zero_count,
@@ -155,15 +155,15 @@ SELECT column_name, count(*) AS row_count, count(*) - count(v) AS null_count,
        coalesce(count(*) FILTER (WHERE TRY_CAST(v AS DOUBLE) = 0), 0) * 100.0 / count(*) AS zero_pct
 FROM c GROUP BY column_name ORDER BY zero_pct DESC, column_name""")
 def profile_columns(spark, sf):
-    rows = grid(spark, sf).select(
-        "source", F.round("value", 2).alias("value"), F.to_date("ts_hour").cast("string").alias("ts_day")
+    rows = sample_grid(spark, sf).select(
+        "source", "value", F.to_date("ts_hour").cast("string").alias("ts_day")
     )
     return ops.profile(rows, ["source", "value", "ts_day"]).drop("example").orderBy(F.desc("zero_pct"), "column_name")
 
 
 @query("numeric_detect", """
 SELECT column_name, count(v) AS filled, round(avg(CASE WHEN v IS NOT NULL
-       THEN CASE WHEN TRY_CAST(v AS DOUBLE) IS NOT NULL THEN 1.0 ELSE 0.0 END END), 6) AS numeric_share
+       THEN CASE WHEN TRY_CAST(v AS DOUBLE) IS NOT NULL THEN 1.0 ELSE 0.0 END END), 8) AS numeric_share
 FROM (SELECT 'o_orderpriority' AS column_name, o_orderpriority AS v FROM orders UNION ALL
       SELECT 'leading', CASE WHEN o_orderstatus <> 'P' THEN substr(o_orderpriority, 1, 1) END FROM orders UNION ALL
       SELECT 'mixed', CASE WHEN o_orderstatus = 'O' THEN CAST(o_custkey AS VARCHAR) ELSE o_orderstatus END FROM orders)

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewright.catalog.base import H, R, hours, query, shown, table
+from tidewright.functions.timekeys import five_minute_key
 from tidewright.session import scratch_path
 from tidewright.sinks.maintain import VersionedTable
 from tidewright.sources.tables import stream_readings
 from tidewright.streaming import flows
 
 
-def _stream(spark, sf, delay="24 hours"):
+def _raw(spark, sf):
     schema = table(spark, sf, "events").schema
     raw = stream_readings(spark, sf, schema, "events.parquet")
-    named = raw.select("event_id", "ts", F.col("event_type").alias("source"), "user_id", "value")
-    return flows.event_time(named, "ts", delay)
+    return raw.select("event_id", "ts", F.col("event_type").alias("source"), "user_id", "value")
+
+
+def _stream(spark, sf, delay="24 hours"):
+    return flows.event_time(_raw(spark, sf), "ts", delay)
 
 
 # Append mode emits a window once the final watermark has passed its end.
@@ -25,7 +29,7 @@ def _closed(end: str, delay: str) -> str:
 
 @query("stream_bucket", f"""WITH {R}, b AS (
   SELECT source, time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, avg(value) AS value, count(*) AS n FROM r GROUP BY ALL)
-SELECT source, bucket, round(value, 6) AS value, n FROM b WHERE {_closed('bucket + INTERVAL 5 MINUTE', '24 HOUR')}""")
+SELECT source, bucket, round(value, 8) AS value, n FROM b WHERE {_closed('bucket + INTERVAL 5 MINUTE', '24 HOUR')}""")
 def stream_bucket(spark, sf):
     out = flows.bucket_means(_stream(spark, sf), ["source"], "ts", ["value"])
     return shown(flows.collected(spark, out, "bucket"), ["value"])
@@ -33,14 +37,14 @@ def stream_bucket(spark, sf):
 
 @query("stream_aged_hours", f"""WITH {R}, b AS (
   SELECT source, date_trunc('hour', ts) AS bucket, avg(value) AS value, count(*) AS n FROM r GROUP BY ALL)
-SELECT source, bucket, round(value, 6) AS value, n FROM b WHERE {_closed('bucket + INTERVAL 1 HOUR', '3 HOUR')}""")
+SELECT source, bucket, round(value, 8) AS value, n FROM b WHERE {_closed('bucket + INTERVAL 1 HOUR', '3 HOUR')}""")
 def stream_aged_hours(spark, sf):
     out = flows.old_enough(_stream(spark, sf, "3 hours"), ["source"], "ts", ["value"])
     return shown(flows.collected(spark, out, "aged"), ["value"])
 
 
 @query("stream_hour_rollup", f"""WITH {R}
-SELECT source, date_trunc('hour', ts) AS bucket, round(avg(value), 6) AS value, count(*) AS n FROM r GROUP BY ALL""")
+SELECT source, date_trunc('hour', ts) AS bucket, round(avg(value), 8) AS value, count(*) AS n FROM r GROUP BY ALL""")
 def stream_hour_rollup(spark, sf):
     path = scratch_path(spark, "hours")
     target = VersionedTable(spark, f"{path}/table")
@@ -51,14 +55,14 @@ def stream_hour_rollup(spark, sf):
 
 @query("stream_dedupe", f"WITH {R} SELECT DISTINCT source, time_bucket(INTERVAL 5 MINUTE, ts) AS ts_5min FROM r")
 def stream_dedupe(spark, sf):
-    slots = _stream(spark, sf).withColumn("ts_5min", F.window("ts", "5 minutes")["start"])
-    keyed = slots.drop("ts").withWatermark("ts_5min", "24 hours")
-    out = flows.first_per_key(keyed, ["source", "ts_5min"]).select("source", F.col("ts_5min").cast("timestamp_ntz").alias("ts_5min"))
+    slots = _raw(spark, sf).select("source", five_minute_key(F.col("ts")).alias("ts_5min"))
+    out = flows.first_per_key(flows.event_time(slots, "ts_5min"), ["source", "ts_5min"])
+    out = out.select("source", F.col("ts_5min").cast("timestamp_ntz").alias("ts_5min"))
     return flows.collected(spark, out, "dedupe")
 
 
 @query("stream_enrich", f"""WITH {H}, v AS (SELECT ts_hour, value AS view_value FROM h WHERE source = 'view')
-SELECT event_id, r.value, round(view_value, 6) AS view_value
+SELECT event_id, r.value, round(view_value, 8) AS view_value
 FROM r LEFT JOIN v ON v.ts_hour = date_trunc('hour', r.ts) WHERE r.source = 'click'""")
 def stream_enrich(spark, sf):
     hourly = hours(spark, sf).filter(F.col("source") == "view").select("ts_hour", F.col("value").alias("view_value"))
@@ -88,7 +92,7 @@ def stream_freeze(spark, sf):
 @query("stream_sliding_mean", f"""WITH {R}, w AS (
   SELECT source, value, date_trunc('hour', ts) - i * INTERVAL 1 HOUR AS window_start FROM r, range(6) AS s(i)),
 b AS (SELECT source, window_start, window_start + INTERVAL 6 HOUR AS window_end, avg(value) AS value FROM w GROUP BY ALL)
-SELECT source, window_start, window_end, round(value, 6) AS value FROM b WHERE {_closed('window_end', '24 HOUR')}""")
+SELECT source, window_start, window_end, round(value, 8) AS value FROM b WHERE {_closed('window_end', '24 HOUR')}""")
 def stream_sliding_mean(spark, sf):
     out = flows.sliding_means(_stream(spark, sf), ["source"], "ts", ["value"])
     return shown(flows.collected(spark, out, "sliding"), ["value"])

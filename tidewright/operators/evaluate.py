@@ -134,9 +134,9 @@ def audit(
     )
 
 
-def audit_daily(view: DataFrame, on: str) -> DataFrame:
+def audit_daily(view: DataFrame, on: str, digits: int = 2) -> DataFrame:
     """Mean frozen-forecast accuracy per day, over hours where both values exist."""
     both = view.filter(F.col("previsto_2h_congelado").isNotNull() & F.col("medicao_real_boia").isNotNull())
     return both.groupBy(F.to_date(on).alias("dia")).agg(
-        F.round(F.avg("acerto_perc_2h"), 2).alias("assertividade_media_dia"), F.count("*").alias("horas")
+        F.round(F.avg("acerto_perc_2h"), digits).alias("assertividade_media_dia"), F.count("*").alias("horas")
     )

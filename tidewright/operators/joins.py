@@ -37,15 +37,16 @@ def outer_fold(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFram
     return reduce(lambda left, right: left.join(right, on, "full"), frames)
 
 
+def pivot_columns(series: str, value: str, names: Sequence[str], prefix: str = "") -> list[Column]:
+    """One mean per name; ``names`` is declared, so no job is needed to discover it."""
+    return [F.avg(F.when(F.col(series) == n, F.col(value))).alias(f"{prefix}{n}") for n in names]
+
+
 def pivot_series(
     df: DataFrame, index: Sequence[str], series: str, value: str, names: Sequence[str], prefix: str = ""
 ) -> DataFrame:
-    """Long series to one column per name, in one aggregation.
-
-    ``names`` is the declared list, so no job is needed to discover it.
-    """
-    picks = [F.avg(F.when(F.col(series) == n, F.col(value))).alias(f"{prefix}{n}") for n in names]
-    return df.groupBy(*index).agg(*picks)
+    """Long series to one column per name, in one aggregation."""
+    return df.groupBy(*index).agg(*pivot_columns(series, value, names, prefix))
 
 
 def join_on_hour(df: DataFrame, hourly: DataFrame, ts: str, hour: str = "ts_hour") -> DataFrame:

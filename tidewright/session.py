@@ -18,6 +18,7 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
