@@ -53,7 +53,7 @@ def hours(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) ->
 
 def grid(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) -> DataFrame:
     """Hour means on the regular hourly grid of each source."""
-    return regular_grid(hours(spark, sf, columns), ["source"], "ts_hour", HOUR, unique=True)
+    return regular_grid(hours(spark, sf, columns), ["source"], "ts_hour", HOUR, rolled_up=True)
 
 
 def samples(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) -> DataFrame:
@@ -63,7 +63,7 @@ def samples(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) -
 
 def sample_grid(spark: SparkSession, sf: str, columns: Sequence[str] = ("value",)) -> DataFrame:
     """First reading of each hour on the regular hourly grid of each source."""
-    return regular_grid(samples(spark, sf, columns), ["source"], "ts_hour", HOUR, unique=True)
+    return regular_grid(samples(spark, sf, columns), ["source"], "ts_hour", HOUR, rolled_up=True)
 
 
 def shown(df: DataFrame, columns: Sequence[str], digits: int = 8) -> DataFrame:

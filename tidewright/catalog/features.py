@@ -60,13 +60,13 @@ def _windowed(spark, sf, before, after, build):
 
 
 @query("lags", f"WITH {SG} SELECT source, ts_hour, "
-       + ", ".join(f"round(lag(value, {n}) OVER w, 8) AS value_lag{n}" for n in range(1, 8)) + f" FROM g {_W}")
+       + ", ".join(f"round(lag(value, {n}) OVER w, 8) AS value_lag{n}" for n in range(1, 6)) + f" FROM g {_W}")
 def lags(spark, sf):
     return _windowed(spark, sf, 5, 0, lambda w: ops.lag_columns(w, ["value"], range(1, 6)))
 
 
 @query("leads", f"WITH {SG} SELECT source, ts_hour, "
-       + ", ".join(f"round(lead(value, {n}) OVER w, 8) AS value_lead{n}" for n in range(1, 8)) + f" FROM g {_W}")
+       + ", ".join(f"round(lead(value, {n}) OVER w, 8) AS value_lead{n}" for n in range(1, 6)) + f" FROM g {_W}")
 def leads(spark, sf):
     return _windowed(spark, sf, 0, 5, lambda w: ops.lead_columns(w, ["value"], range(1, 6)))
 
@@ -138,7 +138,7 @@ def wide_grid(spark, sf):
     wide = rows.groupBy("ts_hour").agg(
         *pivot_columns("source", "value", SOURCES, "rain_"), *pivot_columns("source", "degrees", SOURCES, "dir_")
     )
-    cells = regular_grid(wide, [], "ts_hour", HOUR, unique=True)
+    cells = regular_grid(wide, [], "ts_hour", HOUR, rolled_up=True)
     return narrow_to_float(cells, ["ts_hour"], "double")
 
 

@@ -36,7 +36,7 @@ SELECT s.source, s.ts_hour, h.sample_value, round(h.mean_value, 8) AS mean_value
 FROM s LEFT JOIN h USING (source, ts_hour)""")
 def grid_sample_vs_mean(spark, sf):
     five = _five(spark, sf)
-    sample = ops.regular_grid(five.withColumnRenamed("ts_5min", "ts_hour"), _BY, "ts_hour", HOUR, unique=True)
+    sample = ops.regular_grid(five.withColumnRenamed("ts_5min", "ts_hour"), _BY, "ts_hour", HOUR, rolled_up=True)
     mean = five.groupBy("source", hour_key(F.col("ts_5min")).alias("ts_hour")).agg(F.round(F.avg("value"), 8).alias("mean_value"))
     return sample.withColumnRenamed("value", "sample_value").join(mean, ["source", "ts_hour"], "left")
 
@@ -89,7 +89,7 @@ def _chain_sql(curve: str, enough: str) -> str:
   SELECT source, ts_hour, sqrt(value) AS v, epoch(ts_hour) / 3600.0 AS x FROM g WHERE value IS NOT NULL),
 ln AS (SELECT *, lag(v) OVER w AS lv, lag(x) OVER w AS lx, lead(v) OVER w AS fv, lead(x) OVER w AS fx
        FROM kn WINDOW w AS (PARTITION BY source ORDER BY ts_hour)),
-j AS (SELECT g.source, g.ts_hour, g.sqrt(value) AS value, epoch(g.ts_hour) / 3600.0 AS t, ln.v, ln.x, lv, lx, fv, fx
+j AS (SELECT g.source, g.ts_hour, sqrt(g.value) AS value, epoch(g.ts_hour) / 3600.0 AS t, ln.v, ln.x, lv, lx, fv, fx
       FROM g LEFT JOIN ln USING (source, ts_hour)),
 k AS (SELECT source, ts_hour, value, t,
   last_value(v IGNORE NULLS) OVER p AS b, last_value(x IGNORE NULLS) OVER p AS xb,

@@ -39,23 +39,29 @@ def regular_grid(
     ts: str,
     step_seconds: int,
     tie_break: Sequence[str] = (),
-    unique: bool = False,
+    rolled_up: bool = False,
 ) -> DataFrame:
     """Reindex onto floor(min) ... floor(max); only exact hits keep their values.
 
-    Of several rows on one instant the first in ``tie_break`` order wins; input
-    known to be ``unique`` per (series, instant) skips that step.
+    Of several rows on one instant the first in ``tie_break`` order wins.
+    ``rolled_up`` input (one row per series and step, on the step) skips the
+    dedupe and is aggregated from the raw rows only once.
     """
+    for c in (*keys, ts):
+        df = df.filter(F.col(c).isNotNull())
     values = [c for c in df.columns if c not in (*keys, ts)]
-    bounds = df.groupBy(*keys).agg(
-        floor_step(F.min(ts), step_seconds).alias("lo"), floor_step(F.max(ts), step_seconds).alias("hi")
-    )
+    lo, hi = floor_step(F.min(ts), step_seconds), floor_step(F.max(ts), step_seconds)
+    if rolled_up:
+        # Asking for the values too keeps this branch on the shuffle of the data
+        # branch, so the rollup below is computed once; the filter is always true.
+        touched = sum((F.count(v) for v in values), F.count("*"))
+        bounds = df.groupBy(*keys).agg(lo.alias("lo"), hi.alias("hi"), touched.alias("__n")).filter("__n >= 0")
+        return grid_instants(bounds, keys, ts, step_seconds).join(df, [*keys, ts], "left").select(*keys, ts, *values)
+    bounds = df.groupBy(*keys).agg(lo.alias("lo"), hi.alias("hi"))
     slots = grid_instants(bounds, keys, ts, step_seconds)
     hits = df.filter(F.pmod(micros(F.col(ts)), F.lit(step_seconds * 1_000_000)) == 0)
     if not values:
         return slots
-    if unique:
-        return slots.join(hits, [*keys, ts], "left").select(*keys, ts, *values)
     rank = F.struct(*(tie_break or values))
     row = F.struct(*values)
     first = hits.groupBy(*keys, ts).agg(F.min_by(row, rank).alias("__row"))
