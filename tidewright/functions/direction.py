@@ -19,7 +19,8 @@ EBB_POINTS = ("E", "SE", "SSE", "S", "SSW", "SW", "WSW")
 def compass_label(degrees: Column) -> Column:
     """16-point label, boundaries rounded half **up**; wraps, null stays null."""
     index = F.floor(F.pmod(degrees.cast("double"), F.lit(360.0)) / 22.5 + 0.5).cast("int") % 16
-    return F.element_at(F.array(*[F.lit(p) for p in COMPASS_POINTS]), index + 1)
+    # element_at() counts as non-null under ANSI mode even for a null index; get() does not.
+    return F.get(F.array(*[F.lit(p) for p in COMPASS_POINTS]), index)
 
 
 def sector_number(degrees: Column) -> Column:
