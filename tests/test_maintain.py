@@ -133,3 +133,17 @@ def test_stringify_and_collapse(spark):
         [("t", 1, 5.0, None), ("t", 2, 6.0, 6.0), ("t", 3, 7.0, 7.0), ("u", 1, 4.0, None)], "t string, o int, v double, f double")
     out = {r.t: (r.dynamic, r["first"]) for r in collapse_runs(runs, "t", "o", "v", "f").collect()}
     assert out == {"t": (7.0, 6.0), "u": (4.0, 4.0)}
+
+
+def test_merge_days_touches_only_the_days_of_the_run(spark):
+    path = scratch_path(spark, "forecast_days")
+    table = spark.createDataFrame([(at(120), 1.0, None, at(-60)), (at(60 * 48), 9.0, None, at(-60))], TABLE)
+    maintain.write_days(table, path, "ts")
+    import glob
+
+    untouched = glob.glob(f"{path}/dt=2024-01-03/*.parquet")
+    run = spark.createDataFrame([(at(120), 2.0), (at(60 * 24), 3.0)], "ts timestamp_ntz, v double")
+    maintain.merge_days(spark, path, run, "ts", lambda t, r: maintain.merge_freeze(t, r, "ts", "v", now()))
+    out = content(spark.read.parquet(path).select("ts", "dynamic", "frozen", "updated_at"))
+    assert out == {120: (2.0, 2.0, NOW), 60 * 24: (3.0, None, NOW), 60 * 48: (9.0, None, at(-60))}
+    assert untouched and glob.glob(f"{path}/dt=2024-01-03/*.parquet") == untouched

@@ -20,12 +20,11 @@ def test_updates_and_late_rows_reach_the_table(spark):
     folder = scratch_path(spark, "in")
     land(spark, folder, [(1, "a", at(1), 2.0), (2, "a", at(30), 4.0)])
     path = scratch_path(spark, "upsert")
-    table = VersionedTable(spark, f"{path}/table")
 
     def run():
         stream = flows.event_time(spark.readStream.schema(SCHEMA).parquet(folder), "ts")
-        flows.upsert_latest(flows.bucket_means(stream, ["k"], "ts", ["v"], "1 hour"), table, ["k", "bucket"], f"{path}/state").awaitTermination()
-        return {(r.k, r.bucket): (r.v, r.n) for r in table.read().collect()}
+        flows.upsert_latest(flows.bucket_means(stream, ["k"], "ts", ["v"], "1 hour"), f"{path}/log", f"{path}/state").awaitTermination()
+        return {(r.k, r.bucket): (r.v, r.n) for r in flows.latest_state(spark, f"{path}/log", ["k", "bucket"]).collect()}
 
     assert run() == {("a", at(0)): (3.0, 2)}
     land(spark, folder, [(3, "a", at(50), 6.0), (4, "a", at(70), 1.0)])

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tidewright.catalog.base import R, query, readings, shown, table
+from tidewright.catalog.base import R, query, readings, table
 from tidewright.functions.cleaning import comma_number, safe_number
 from tidewright.functions.timekeys import parse_date_hour
 from tidewright.schemas import STATION_HEADERS
@@ -40,69 +40,81 @@ def json_current_weather(spark, sf):
     )
 
 
-def _day_payload(rows, entry, name="list"):
-    """One payload per source and day holding that day's entries in time order."""
-    listed = rows.groupBy("source", F.to_date("ts").alias("day")).agg(
-        F.sort_array(F.collect_list(F.struct("ts", entry.alias("e")))).alias("s")
-    )
-    return listed.select("source", "day", F.transform("s", lambda x: x["e"]).alias(name))
+def _entries(rows, entry, name="list", count=3):
+    """Each reading as a payload of ``count`` hourly entries; ``entry(i)`` builds the i-th."""
+    listed = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), entry)
+    return rows.select("event_id", "source", listed.alias(name))
+
+
+def _ahead(i):
+    return F.col("ts") + F.make_dt_interval(hours=i)
 
 
 @query("json_forecast_list", f"""WITH {R}
-SELECT source, CAST(ts AS DATE) AS day, date_trunc('second', ts) AS timestamp_utc, value AS temp, round(degrees, 8) AS wind_deg,
-       length(source) * 1.0 AS lat FROM r""")
+SELECT event_id, source, date_trunc('second', ts) + i * INTERVAL 1 HOUR AS timestamp_utc, value AS temp,
+       CAST(i * 90 AS DOUBLE) AS wind_deg, length(source) * 1.0 AS lat FROM r, range(3) AS s(i)""")
 def json_forecast_list(spark, sf):
-    entry = F.struct(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("dt_txt"), F.struct(F.col("value").alias("temp")).alias("main"),
-        F.struct(F.col("degrees").alias("deg")).alias("wind"),
-    )
-    days = _day_payload(readings(spark, sf), entry)
+    def entry(i):
+        return F.struct(
+            F.date_format(_ahead(i), "yyyy-MM-dd HH:mm:ss").alias("dt_txt"),
+            F.struct(F.col("value").alias("temp")).alias("main"), F.struct((i * 90).alias("deg")).alias("wind"),
+        )
+
     payload = F.to_json(F.struct(
         F.lit(200).alias("cod"),
         F.struct(F.struct(F.length("source").alias("lat")).alias("coord")).alias("city"), "list",
     ))
-    rows = weather_json.forecast_list(days.select("source", "day", payload.alias("payload")))
-    return rows.select(
-        "source", "day", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "temp",
-        F.round("wind_deg", 8).alias("wind_deg"), "lat",
+    landed = _entries(readings(spark, sf), entry).select("event_id", "source", payload.alias("payload"))
+    return weather_json.forecast_list(landed).select(
+        "event_id", "source", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "temp", "wind_deg", "lat"
     )
 
 
 @query("json_air_first", f"""WITH {R}
-SELECT source, CAST(ts AS DATE) AS day, date_trunc('second', min(ts)) AS timestamp_utc,
-       CAST(arg_min(value, ts) AS DECIMAL(38, 9)) AS co, CAST(arg_min(user_id, ts) AS DECIMAL(38, 9)) AS aqi
-FROM r GROUP BY ALL""")
+SELECT event_id, source, date_trunc('second', ts) AS timestamp_utc, CAST(value AS DECIMAL(38, 9)) AS co,
+       CAST(user_id AS DECIMAL(38, 9)) AS aqi FROM r""")
 def json_air_first(spark, sf):
-    entry = F.struct(
-        _epoch().alias("dt"), F.struct(F.col("user_id").alias("aqi")).alias("main"),
-        F.struct(F.col("value").alias("co")).alias("components"),
+    def entry(i):
+        return F.struct(
+            F.unix_seconds(_ahead(i).cast("timestamp")).alias("dt"), F.struct((F.col("user_id") + i).alias("aqi")).alias("main"),
+            F.struct(F.col("value").alias("co")).alias("components"),
+        )
+
+    landed = _entries(readings(spark, sf), entry).select("event_id", "source", F.to_json(F.struct("list")).alias("payload"))
+    return weather_json.air_quality(landed).select(
+        "event_id", "source", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "co", "aqi"
     )
-    days = _day_payload(readings(spark, sf), entry)
-    rows = weather_json.air_quality(days.select("source", "day", F.to_json(F.struct("list")).alias("payload")))
-    return rows.select("source", "day", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "co", "aqi")
 
 
 @query("arrays_zip_rows", f"""WITH {R}
-SELECT source, CAST(ts AS DATE) AS day, date_trunc('second', ts) AS time,
-       CASE WHEN event_id % 5 <> 0 THEN value END AS precipitation FROM r""")
+SELECT event_id, source, date_trunc('second', ts) + i * INTERVAL 1 HOUR AS time,
+       CASE WHEN i < 2 AND (event_id + i) % 5 <> 0 THEN value END AS precipitation FROM r, range(3) AS s(i)""")
 def arrays_zip_rows(spark, sf):
-    entry = F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("time"),
-        F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("precipitation"),
-    )
-    days = _day_payload(readings(spark, sf), entry)
-    hourly = F.struct(F.col("list.time").alias("time"), F.col("list.precipitation").alias("precipitation"))
+    def entry(i):
+        return F.struct(
+            F.date_format(_ahead(i), "yyyy-MM-dd'T'HH:mm:ss").alias("time"),
+            F.when((F.col("event_id") + i) % 5 != 0, F.col("value")).alias("rain"),
+        )
+
+    hourly = F.struct(F.col("list.time").alias("time"), F.slice("list.rain", 1, 2).alias("precipitation"))
     payload = F.to_json(F.struct(hourly.alias("hourly")), {"ignoreNullFields": "false"})
-    return weather_json.hourly_rain(days.select("source", "day", payload.alias("payload")))
+    return weather_json.hourly_rain(
+        _entries(readings(spark, sf), entry).select("event_id", "source", payload.alias("payload"))
+    )
 
 
 @query("onecall_local_hours", f"""WITH {R}
-SELECT source, date_trunc('second', ts) - INTERVAL 3 HOUR AS datahora, value AS wind_speed, round(degrees, 8) AS vento_num FROM r""")
+SELECT event_id, source, date_trunc('second', ts) + (i - 3) * INTERVAL 1 HOUR AS datahora, value AS wind_speed,
+       CAST(i AS DOUBLE) AS vento_num FROM r, range(3) AS s(i)""")
 def onecall_local_hours(spark, sf):
-    entry = F.struct(_epoch().alias("dt"), F.col("value").alias("wind_speed"), F.col("degrees").alias("wind_deg"))
-    days = _day_payload(readings(spark, sf), entry, "hourly")
-    rows = weather_json.onecall_hours(days.select("source", F.to_json(F.struct("hourly")).alias("payload")), "America/Sao_Paulo")
-    return rows.select("source", "datahora", "wind_speed", F.round("vento_num", 8).alias("vento_num"))
+    def entry(i):
+        return F.struct(
+            F.unix_seconds(_ahead(i).cast("timestamp")).alias("dt"), F.col("value").alias("wind_speed"), i.alias("wind_deg")
+        )
+
+    landed = _entries(readings(spark, sf), entry, "hourly").select("event_id", "source", F.to_json(F.struct("hourly")).alias("payload"))
+    rows = weather_json.onecall_hours(landed, "America/Sao_Paulo")
+    return rows.select("event_id", "source", "datahora", "wind_speed", "vento_num")
 
 
 @query("attach_city", f"""WITH {R}, n AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)

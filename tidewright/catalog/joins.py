@@ -8,6 +8,7 @@ from tidewright.catalog.base import G, H, R, SOURCES, grid, hours, instant, quer
 from tidewright.functions.timekeys import five_minute_key, hour_key
 from tidewright.operators import joins as ops
 from tidewright.operators.rollup import latest_per_hour, rollup
+from tidewright.operators import scan as seq
 from tidewright.operators.scan import balanced_buckets
 from tidewright.operators.shaping import current_hour, gate_hourly, half_open, last_hours, union_unlike
 
@@ -256,7 +257,7 @@ SELECT event_id, user_id, ts, lag(value) OVER w AS prev_value, lag(ts) OVER w AS
        lead(value) OVER w AS next_value FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts)""")
 def previous_and_next(spark, sf):
     rows = readings(spark, sf).select("event_id", "user_id", "ts", "value")
-    out = ops.previous_and_next(rows, ["user_id"], "ts", ["value"], balanced_buckets(rows, "ts"))
+    out = seq.previous_and_next(rows, ["user_id"], "ts", ["value"], balanced_buckets(rows, "ts"))
     return out.select(
         "event_id", "user_id", "ts", F.col("prev.value").alias("prev_value"),
         F.col("prev.ts").alias("prev_ts"), F.col("next.value").alias("next_value"),

@@ -47,10 +47,9 @@ def stream_aged_hours(spark, sf):
 SELECT source, date_trunc('hour', ts) AS bucket, round(avg(value), 8) AS value, count(*) AS n FROM r GROUP BY ALL""")
 def stream_hour_rollup(spark, sf):
     path = scratch_path(spark, "hours")
-    target = VersionedTable(spark, f"{path}/table")
     out = flows.bucket_means(_stream(spark, sf), ["source"], "ts", ["value"], "1 hour")
-    flows.upsert_latest(out, target, ["source", "bucket"], f"{path}/state").awaitTermination()
-    return shown(target.read().drop("__batch"), ["value"])
+    flows.upsert_latest(out, f"{path}/log", f"{path}/state").awaitTermination()
+    return shown(flows.latest_state(spark, f"{path}/log", ["source", "bucket"]), ["value"])
 
 
 @query("stream_dedupe", f"WITH {R} SELECT DISTINCT source, time_bucket(INTERVAL 5 MINUTE, ts) AS ts_5min FROM r")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewright.functions.timekeys import micros
-from tidewright.operators.scan import halo_window
+from tidewright.operators.scan import attach, halo_window
 
 
 def lag_columns(window: Window, columns: Sequence[str], lags: Sequence[int]) -> list[Column]:
@@ -139,7 +139,7 @@ def fit_min_max(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ())
 
 def _with_fit(df: DataFrame, fit: DataFrame, keys: Sequence[str]) -> DataFrame:
     if keys:
-        return df.join(fit, list(keys))
+        return attach(df, fit, keys)
     return df.select("*", *[fit.select(c).scalar().alias(c) for c in fit.columns])
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.functions.cleaning import root_mean_square
 from tidewright.functions.timekeys import floor_step, micros, ntz_from_seconds, seconds
 from tidewright.operators.scan import (
-    BUCKET, CutBuckets, FixedBuckets, grid_buckets, nearest_known, row_position,
+    CutBuckets, FixedBuckets, attach, grid_buckets, nearest_known, previous_and_next, row_position,
 )
 
 # Grid instants generated per source row; keeps arrays small for long series.
@@ -164,10 +164,10 @@ def _local_fill(df, keys, ts, c, step_seconds, order, digits):
     # The known points alone carry their own neighbour before and after, so one
     # look-back and one look-ahead per grid row reach two points on each side.
     buckets = grid_buckets(step_seconds)
-    point = F.struct(F.col(ts).alias("at"), F.col(c).cast("double").alias("v"))
-    known = df.filter(F.col(c).isNotNull()).select(*keys, ts, point.alias("__p"))
-    linked = _neighbours(known, keys, ts, buckets)
-    tagged = df.join(linked, [*keys, ts], "left")
+    known = df.filter(F.col(c).isNotNull()).select(*keys, ts, F.col(c).cast("double").alias("v"))
+    linked = previous_and_next(known, keys, ts, ["v"], buckets)
+    chain = F.struct("prev", F.struct(ts, "v").alias("here"), "next").alias("__chain")
+    tagged = attach(df, linked.select(*keys, ts, chain), [*keys, ts])
     near = nearest_known(tagged, keys, ts, ["__chain"], buckets, instants=False)
     p1, p0 = F.col("__chain__pv.prev"), F.col("__chain__pv.here")
     n0, n1 = F.col("__chain__nv.here"), F.col("__chain__nv.next")
@@ -175,7 +175,7 @@ def _local_fill(df, keys, ts, c, step_seconds, order, digits):
     x = seconds(F.col(ts)).cast("double")
 
     def lagrange(points):
-        xs = [seconds(p["at"]).cast("double") for p in points]
+        xs = [seconds(p[ts]).cast("double") for p in points]
         total = F.lit(0.0)
         for i, p in enumerate(points):
             weight = p["v"]
@@ -202,30 +202,6 @@ def _local_fill(df, keys, ts, c, step_seconds, order, digits):
     return near.select(*rest, value.alias(c))
 
 
-def _neighbours(known, keys, ts, buckets):
-    """Each known point with the known point before and after it."""
-    placed = buckets.assign(known, ts)
-    by = [*keys, BUCKET]
-    inside = Window.partitionBy(*by).orderBy(ts)
-    summary = placed.groupBy(*by).agg(F.min_by("__p", ts).alias("__first"), F.max_by("__p", ts).alias("__last"))
-    series = Window.partitionBy(*keys).orderBy(BUCKET)
-    edges = summary.select(
-        *by, F.lag("__last").over(series).alias("__before"), F.lead("__first").over(series).alias("__after")
-    )
-    local = placed.select(
-        "*", F.lag("__p").over(inside).alias("__lag"), F.lead("__p").over(inside).alias("__lead")
-    )
-    return local.join(edges, by).select(
-        *keys,
-        ts,
-        F.struct(
-            F.coalesce("__lag", "__before").alias("prev"),
-            F.col("__p").alias("here"),
-            F.coalesce("__lead", "__after").alias("next"),
-        ).alias("__chain"),
-    )
-
-
 def fill_gaps(
     df: DataFrame,
     keys: Sequence[str],
@@ -286,16 +262,15 @@ def rms_gap_rows(
     must be unique.
     """
     others = [c for c in df.columns if c not in (*keys, ts, "synthetic", *numeric)]
-    placed = df.select(*keys, ts, F.struct(F.col(ts).alias("at"), *numeric, *others).alias("__p"))
-    linked = _neighbours(placed, keys, ts, buckets)
-    older, newer = F.col("__chain.prev"), F.col("__chain.here")
-    gaps = linked.filter(micros(newer["at"]) - micros(older["at"]) == gap_hours * 3_600_000_000)
+    linked = previous_and_next(df.select(*keys, ts, *numeric, *others), keys, ts, numeric, buckets)
+    older = F.col("prev")
+    gaps = linked.filter(micros(F.col(ts)) - micros(older[ts]) == gap_hours * 3_600_000_000)
     spread = gaps.select("*", F.explode(F.sequence(F.lit(1), F.lit(gap_hours - 1))).alias("__h"))
     return spread.select(
         *keys,
-        (older["at"] + F.make_dt_interval(hours=F.col("__h"))).alias(ts),
-        *[root_mean_square(older[c].cast("double"), newer[c].cast("double")).alias(c) for c in numeric],
-        *[newer[c].alias(c) for c in others],
+        (older[ts] + F.make_dt_interval(hours=F.col("__h"))).alias(ts),
+        *[root_mean_square(older[c].cast("double"), F.col(c).cast("double")).alias(c) for c in numeric],
+        *others,
         F.lit(True).alias("synthetic"),
     )
 

@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.functions.timekeys import micros
-from tidewright.operators.scan import BUCKET, CutBuckets, FixedBuckets, nearest_known
+from tidewright.operators.scan import CutBuckets, FixedBuckets, attach, nearest_known
 
 
 def spine_join(spine: DataFrame, sides: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:
@@ -81,23 +81,21 @@ def nearest_time_join(
     if direction not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
     by = [*keys, ts]
-    payload = F.struct(*columns)
+    kind = right.select(F.struct(*columns).alias("r")).schema["r"].dataType
     order = F.struct(*(tie_break or columns))
-    answers = right.filter(F.col(ts).isNotNull()).groupBy(*by).agg(F.min_by(payload, order).alias("__r"))
-    asked = left.filter(F.col(ts).isNotNull()).select(
-        *by, F.lit(True).alias("__asked"), F.lit(None).cast(answers.schema["__r"].dataType).alias("__r")
-    )
-    merged = asked.unionByName(answers.withColumn("__asked", F.lit(False)))
-    points = merged.groupBy(*by).agg(
-        F.max("__asked").alias("__asked"), F.first("__r", ignorenulls=True).alias("__r")
+    rank_kind = right.select(order.alias("o")).schema["o"].dataType
+    asked = left.select(*by, F.lit(True).alias("__asked"), F.lit(None).cast(kind).alias("__r"), F.lit(None).cast(rank_kind).alias("__o"))
+    answers = right.select(*by, F.lit(False).alias("__asked"), F.struct(*columns).alias("__r"), order.alias("__o"))
+    points = asked.unionByName(answers).filter(F.col(ts).isNotNull()).groupBy(*by).agg(
+        F.max("__asked").alias("__asked"), F.min_by("__r", "__o").alias("__r")
     )
     near = nearest_known(
         points, keys, ts, ["__r"], buckets,
-        backward=direction != "forward", forward=direction != "backward",
+        backward=direction != "forward", forward=direction != "backward", touch=["__asked"],
     ).filter("__asked")
 
     missing_t = F.lit(None).cast("timestamp_ntz")
-    missing_r = F.lit(None).cast(answers.schema["__r"].dataType)
+    missing_r = F.lit(None).cast(kind)
     prev_t, prev_r = (F.col("__r__pt"), F.col("__r__pv")) if direction != "forward" else (missing_t, missing_r)
     next_t, next_r = (F.col("__r__nt"), F.col("__r__nv")) if direction != "backward" else (missing_t, missing_r)
     back, ahead = micros(F.col(ts)) - micros(prev_t), micros(next_t) - micros(F.col(ts))
@@ -113,7 +111,7 @@ def nearest_time_join(
     ).select(*by, matched, "__r.*")
     if left_unique and set(left.columns) == set(by):
         return found
-    return left.join(found, by, "left")
+    return attach(left, found, by)
 
 
 def combine_first(left: DataFrame, right: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -152,28 +150,6 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
-def previous_and_next(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str],
-                      buckets: FixedBuckets | CutBuckets) -> DataFrame:
-    """Each row with its neighbours of the same key as ``prev`` / ``next`` structs.
-
-    ``(keys, ts)`` must be unique.
-    """
-    placed = buckets.assign(df, ts).withColumn("__p", F.struct(ts, *columns))
-    by = [*keys, BUCKET]
-    inside = Window.partitionBy(*by).orderBy(ts)
-    edges = placed.groupBy(*by).agg(F.min_by("__p", ts).alias("__first"), F.max_by("__p", ts).alias("__last"))
-    series = Window.partitionBy(*keys).orderBy(BUCKET)
-    edges = edges.select(
-        *by, F.lag("__last").over(series).alias("__before"), F.lead("__first").over(series).alias("__after")
-    )
-    local = placed.select("*", F.lag("__p").over(inside).alias("__lag"), F.lead("__p").over(inside).alias("__lead"))
-    return local.join(edges, by).select(
-        *df.columns,
-        F.coalesce("__lag", "__before").alias("prev"),
-        F.coalesce("__lead", "__after").alias("next"),
-    )
-
-
 def horizon_slice(
     origins: DataFrame,
     readings: DataFrame,

@@ -51,12 +51,20 @@ class CutBuckets:
         if not self.cuts:
             return df.withColumn(name, F.lit(0).cast("long"))
         raw, slot = f"{name}_micros", f"{name}_slot"
-        keyed = df.withColumn(raw, micros(F.col(ts)).cast("double"))
+        # Rows without an instant sort first, so they belong to the first bucket.
+        keyed = df.withColumn(raw, F.coalesce(micros(F.col(ts)).cast("double"), F.lit(-math.inf)))
         splits = [-math.inf, *self.cuts, math.inf]
         out = Bucketizer(splits=splits, inputCol=raw, outputCol=slot).transform(keyed)
         return out.withColumn(name, F.col(slot).cast("long")).drop(raw, slot)
 
 
+def attach(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join in which null keys match each other, as they do in a window partition."""
+    named = right.withColumnsRenamed({k: f"__r_{k}" for k in by})
+    condition = [left[k].eqNullSafe(named[f"__r_{k}"]) for k in by]
+    return left.join(named, condition, how).drop(*[f"__r_{k}" for k in by])
+
+
 def grid_buckets(step_seconds: int, steps: int = GRID_STEPS_PER_BUCKET) -> FixedBuckets:
     return FixedBuckets(step_seconds * steps)
 
@@ -118,12 +126,15 @@ def nearest_known(
     forward: bool = True,
     instants: bool = True,
     axis: str | None = None,
+    touch: Sequence[str] = (),
 ) -> DataFrame:
     """For every row and column, the nearest non-null value at or before / after it.
 
     Adds ``{c}__pv`` / ``{c}__nv`` (value) and, with ``instants``, ``{c}__pt`` /
     ``{c}__nt`` (its place on ``axis``: the instant, or another column that grows
-    with it). ``(keys, ts)`` must be unique.
+    with it). ``(keys, ts)`` must be unique. ``touch`` names further columns the
+    bucket summary should read, so that it prunes no more than the main branch
+    and Spark can reuse the shuffle below both.
     """
     placed = buckets.assign(df, ts)
     by = [*keys, BUCKET]
@@ -157,7 +168,11 @@ def nearest_known(
         for c in columns:
             summary_aggs.append(value_at(F.col(c), known[c]).alias(f"{c}__{side}v"))
             summary_aggs.append(instant_at(known[c]).alias(f"{c}__{side}t"))
+    if touch:
+        summary_aggs.append(sum((F.count(c) for c in touch), F.count("*")).alias("__rows"))
     summary = placed.groupBy(*by).agg(*summary_aggs)
+    if touch:
+        summary = summary.filter("__rows >= 0")
 
     # One row per (series, bucket): the span of the series bounds this window.
     order = {"p": F.col(BUCKET).asc(), "n": F.col(BUCKET).desc()}
@@ -173,7 +188,7 @@ def nearest_known(
     carry = summary.select(*by, *carried)
 
     added = [f"{c}__{side}{kind}" for side in sides for c in columns for kind in kinds]
-    joined = local.join(carry, by, "left")
+    joined = attach(local, carry, by)
     return joined.select(
         *df.columns,
         *[F.coalesce(F.col(name), F.col(f"{name}c")).alias(name) for name in added],
@@ -207,7 +222,30 @@ def row_position(
         ).alias("__before"),
         F.sum("__size").over(series).alias("__total"),
     )
-    out = local.join(offsets, by).withColumn(name, F.col(name) + F.col("__before"))
+    out = attach(local, offsets, by, "inner").withColumn(name, F.col(name) + F.col("__before"))
     if total is not None:
         out = out.withColumn(total, F.col("__total"))
     return out.drop(BUCKET, "__before", "__total", "__size")
+
+
+def previous_and_next(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str],
+                      buckets: FixedBuckets | CutBuckets) -> DataFrame:
+    """Each row with its neighbours of the same key as ``prev`` / ``next`` structs (ts, columns).
+
+    A shift inside each bucket, plus the last row of the bucket before and the
+    first of the one after. ``(keys, ts)`` must be unique.
+    """
+    placed = buckets.assign(df, ts).withColumn("__p", F.struct(ts, *columns))
+    by = [*keys, BUCKET]
+    inside = Window.partitionBy(*by).orderBy(ts)
+    edges = placed.groupBy(*by).agg(F.min_by("__p", ts).alias("__first"), F.max_by("__p", ts).alias("__last"))
+    series = Window.partitionBy(*keys).orderBy(BUCKET)
+    edges = edges.select(
+        *by, F.lag("__last").over(series).alias("__before"), F.lead("__first").over(series).alias("__after")
+    )
+    local = placed.select("*", F.lag("__p").over(inside).alias("__lag"), F.lead("__p").over(inside).alias("__lead"))
+    return attach(local, edges, by, "inner").select(
+        *df.columns,
+        F.coalesce("__lag", "__before").alias("prev"),
+        F.coalesce("__lead", "__after").alias("next"),
+    )

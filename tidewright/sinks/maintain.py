@@ -7,13 +7,14 @@ overwriting files that are being read.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewright.functions.timekeys import minutes_between
 from tidewright.operators.rollup import dedupe
+from tidewright.session import checkpoint_root
 
 FREEZE_MINUTES = (90, 150)
 
@@ -239,3 +240,19 @@ class VersionedTable:
         # A half-written folder of a dead writer has the same number and no marker.
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         return self.read()
+
+
+def merge_days(
+    spark: SparkSession, path: str, run: DataFrame, ts: str,
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
+) -> None:
+    """Apply an upsert to a day-partitioned table, reading and rewriting only the days of ``run``.
+
+    ``combine(touched_rows, run)`` is any of the merge functions above keyed on an
+    instant. The result is checkpointed before its days are replaced, because the
+    files it was read from go away.
+    """
+    checkpoint_root(spark)
+    days = run.select(F.to_date(ts).alias("dt")).distinct()
+    touched = spark.read.parquet(path).join(days, "dt", "left_semi").drop("dt")
+    write_days(combine(touched, run).checkpoint(), path, ts)

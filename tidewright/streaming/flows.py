@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewright.functions.timekeys import minutes_between
+from tidewright.operators.rollup import dedupe
 from tidewright.session import scratch_path
-from tidewright.sinks.maintain import VersionedTable, append_and_dedupe, merge_freeze
+from tidewright.sinks.maintain import FREEZE_MINUTES, VersionedTable
 
 
 def event_time(stream: DataFrame, ts: str, delay: str = "24 hours") -> DataFrame:
@@ -78,14 +80,15 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 
 def upsert_latest(
-    stream: DataFrame, table: VersionedTable, keys: Sequence[str], checkpoint: str,
-    trigger: dict | None = None, order: Sequence[str] = ("__batch",),
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Update-mode aggregates into a snapshot table: the newest batch wins per key."""
+    """Update-mode aggregates into a log of batches; :func:`latest_state` reads it.
+
+    Only the changed keys are written. A batch that is replayed after a failure
+    overwrites its own folder, so it is never counted twice.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("__batch", F.lit(batch_id))
-        merged = append_and_dedupe(table.read(), rows, keys, order) if table.exists() else rows
-        table.publish(merged)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
         stream.writeStream.outputMode("update").foreachBatch(apply)
@@ -93,6 +96,11 @@ def upsert_latest(
     )
 
 
+def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Newest row per key out of the log of batches."""
+    return dedupe(spark.read.parquet(path), keys, ["batch"], keep="last").drop("batch")
+
+
 def freeze_forecasts(
     stream: DataFrame, table: VersionedTable, key: str, value: str, run_at: str, checkpoint: str,
     trigger: dict | None = None,
@@ -114,11 +122,9 @@ def freeze_forecasts(
 
 def merge_runs(
     table: DataFrame, runs: DataFrame, key: str, value: str, run_at: str,
-    dynamic: str = "dynamic", frozen: str = "frozen", stamp: str = "updated_at", freeze: tuple[int, int] = (90, 150),
+    dynamic: str = "dynamic", frozen: str = "frozen", stamp: str = "updated_at", freeze: tuple[int, int] = FREEZE_MINUTES,
 ) -> DataFrame:
     """Fold many runs at once into a forecast table (idempotent)."""
-    from tidewright.functions.timekeys import minutes_between
-
     lead = minutes_between(F.col(key), F.col(run_at))
     eligible = F.when(lead.between(*freeze) & F.col(value).isNotNull(), F.col(run_at))
     folded = runs.groupBy(key).agg(
