@@ -71,6 +71,18 @@ def test_master_5min_gates_hourly_values(sources):
     assert {r.timestamp_br: r.ow_temp for r in mixed.collect()}[at(70)] == 21.0
 
 
+def test_stacked_sources_and_gap_rows(spark, sources):
+    sensor, station, weather, forecast, air = sources
+    now = F.lit(at(180 + 20)).cast("timestamp_ntz")
+    out = master.stacked_5min(sensor, weather, forecast, air, station, now)
+    assert out.count() == sensor.count() + 3 + 1 + 1 + 3 * 12
+    assert {"umidade", "chuva", "temp", "aqi"} <= set(out.columns) and "valid_x" not in out.columns
+    rows = [("RG", at(0), 3.0), ("RG", at(180), 4.0), ("RG", at(360), 9.0)]
+    hourly = spark.createDataFrame(rows, "city_name string, timestamp_utc timestamp_ntz, v double")
+    gaps = master.three_hour_gap_rows(hourly, ["city_name"], "timestamp_utc", ["v"], F.lit(at(400)).cast("timestamp_ntz"))
+    assert [(r.timestamp_utc, round(r.v, 4)) for r in gaps.orderBy("timestamp_utc").collect()] == [(at(60), 3.5355), (at(120), 3.5355)]
+
+
 def test_sources_merged_by_type(spark):
     a = spark.createDataFrame([(at(1), 1.0, "x"), (at(2), 3.0, "y")], "timestamp_utc timestamp_ntz, v double, s string")
     b = spark.createDataFrame([(at(61), 5.0)], "timestamp_utc timestamp_ntz, v double")
@@ -168,3 +180,9 @@ def test_train_forecast_publish_audit(spark, history, rain):
     truth = spark.createDataFrame([(at(60 * 131), 1.0)], "timestamp_br timestamp_ntz, intensidade_superficie double")
     view = forecasting.audit_view(stored, truth)
     assert view.filter("medicao_real_boia IS NOT NULL").count() == 1 and view.filter("acerto_perc_dinamico = 0 AND medicao_real_boia IS NULL").count() == 0
+
+    day = forecasting.simulate(table, models, spec, F.lit(at(60 * 110)).cast("timestamp_ntz"), F.lit(at(60 * 115)).cast("timestamp_ntz"))
+    rows = {r.datahora_alvo: r for r in day.collect()}
+    assert sorted(rows) == [at(60 * h) for h in range(111, 122)]
+    merged = forecasting.publish_simulation(stored, day, now).collect()
+    assert len(merged) == 11 + 6 and sum(r.atualizado_em is not None for r in merged) == 17

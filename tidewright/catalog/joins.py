@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.catalog.base import G, H, R, SOURCES, grid, hours, instant, query, readings, shown, table
+from tidewright.catalog.base import G, H, R, S, SOURCES, grid, hours, instant, query, readings, samples, shown, table
 from tidewright.functions.timekeys import five_minute_key, hour_key
 from tidewright.operators import joins as ops
 from tidewright.operators.rollup import latest_per_hour, rollup
 from tidewright.operators import scan as seq
+from tidewright.operators.forecast import inject_weather
 from tidewright.operators.scan import balanced_buckets
 from tidewright.operators.shaping import current_hour, gate_hourly, half_open, last_hours, union_unlike
 
@@ -274,3 +275,21 @@ def range_slice_origins(spark, sf):
     origins = cells.filter(F.hour("ts_hour") == 0).select("source", F.col("ts_hour").alias("origin"))
     out = ops.horizon_slice(origins, cells, "origin", "ts_hour", 3600, 9, ["source"])
     return shown(out.select("source", "origin", "ahead", "ts_hour", "value"), ["value"])
+
+
+@query("inject_weather", f"""WITH {S}, l AS (
+  SELECT ts_hour AS origin, ts_hour + INTERVAL 3 HOUR AS ts, value AS bar_lag1 FROM h WHERE source = 'click'),
+v AS (SELECT ts, value FROM r WHERE source = 'view'),
+b AS (SELECT l.*, v.ts AS bt, v.value AS bv FROM l ASOF LEFT JOIN v ON l.ts >= v.ts),
+a AS (SELECT b.*, v.ts AS aft, v.value AS av FROM b ASOF LEFT JOIN v ON b.ts <= v.ts),
+m AS (SELECT origin, ts, bar_lag1,
+  CASE WHEN bt IS NOT NULL AND (aft IS NULL OR ts - bt <= aft - ts) THEN bt ELSE aft END AS mt,
+  CASE WHEN bt IS NOT NULL AND (aft IS NULL OR ts - bt <= aft - ts) THEN bv ELSE av END AS mv FROM a)
+SELECT origin, CASE WHEN abs(epoch_us(mt) - epoch_us(ts)) <= 3600000000 THEN mv ELSE bar_lag1 END AS bar_lag1 FROM m""")
+def injected_weather(spark, sf):
+    features = samples(spark, sf).filter(F.col("source") == "click").select(
+        F.col("ts_hour").alias("origin"), F.col("value").alias("bar_lag1")
+    )
+    rows = readings(spark, sf)
+    weather = rows.filter(F.col("source") == "view").select("ts", F.col("value").alias("pressure"))
+    return inject_weather(features, weather, "origin", 3, {"pressure": "bar"}, balanced_buckets(rows, "ts"))

@@ -24,10 +24,14 @@ def rollup(
     bucket: str = "ts_hour",
     last_instant: str | None = None,
 ) -> DataFrame:
-    """Mean of ``means``, earliest non-null of ``labels`` per (series, step)."""
-    order = F.struct(ts, *tie_break) if tie_break else F.col(ts)
-    aggs = [F.avg(c).alias(c) for c in means]
-    aggs += [F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in labels]
+    """Mean of ``means``, earliest non-null of ``labels`` per (series, step).
+
+    Labels at the same instant are settled by ``tie_break``, then by value.
+    """
+    def earliest(c: str) -> Column:
+        return F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(ts, *tie_break, c))).alias(c)
+
+    aggs = [F.avg(c).alias(c) for c in means] + [earliest(c) for c in labels]
     if last_instant is not None:
         aggs.append(F.max(ts).alias(last_instant))
     key = hour_key(F.col(ts)) if step_seconds == 3600 else floor_step(F.col(ts), step_seconds)
@@ -118,8 +122,8 @@ def collapse_runs(df: DataFrame, target: str, origin: str, value: str, frozen: s
     ``dynamic`` is the value of the newest run, ``first`` the earliest non-null
     frozen value, falling back on the dynamic one.
     """
-    newest = F.max_by(value, origin)
-    earliest = F.min_by(frozen, F.when(F.col(frozen).isNotNull(), F.col(origin)))
+    newest = F.max_by(value, F.struct(origin, value))
+    earliest = F.min_by(frozen, F.when(F.col(frozen).isNotNull(), F.struct(origin, frozen)))
     return df.groupBy(target).agg(
         F.round(newest, digits).alias("dynamic"),
         F.round(F.coalesce(earliest, newest), digits).alias("first"),

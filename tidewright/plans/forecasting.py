@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml import Estimator
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,10 +11,11 @@ from tidewright.operators.features import FeatureSpec, feature_matrix
 from tidewright.operators.forecast import TargetModels, fit_targets, recursive_forecast
 from tidewright.operators.grid import append_future, extend_last_row, fill_gaps
 from tidewright.operators.joins import join_on_hour, pivot_series
+from tidewright.operators.rollup import collapse_runs
 from tidewright.operators.scan import grid_buckets
 from tidewright.operators.shaping import drop_dead_rows, drop_matching, narrow_to_float
 from tidewright.schemas import RAIN_CITIES
-from tidewright.sinks.maintain import merge_freeze
+from tidewright.sinks.maintain import merge_freeze, merge_keep_first
 
 TS, STEP = "datahora", 3600
 TARGETS = ("intensidade_6m_kt", "intensidade_superficie_kt", "intensidade_3m_kt")
@@ -106,6 +105,37 @@ def publish_forecast(table: DataFrame, run: DataFrame, now: Column) -> DataFrame
     )
 
 
+def simulate(
+    grid: DataFrame, models: TargetModels, spec: FeatureSpec, start: Column, end: Column,
+    steps: int = 6, advance: int = 2, freeze_at: int = 2,
+) -> DataFrame:
+    """Every hour in ``[start, end]`` as origin, collapsed to one row per target instant.
+
+    The newest origin gives the dynamic value, the forecast made ``freeze_at``
+    hours ahead the frozen one.
+    """
+    origins = grid.filter((F.col(TS) >= start) & (F.col(TS) <= end)).select(F.col(TS).alias("origin"))
+    long = recursive_forecast(grid, [], TS, STEP, spec, models, steps, advance, origins)
+    surface = long.filter(F.col("target") == "intensidade_superficie_kt").withColumn(
+        "frozen", F.when(F.col("horizon") == freeze_at, F.col("pred"))
+    )
+    runs = collapse_runs(surface, "target_ts", "origin", "pred", "frozen")
+    return runs.select(
+        F.col("target_ts").alias("datahora_alvo"),
+        F.col("dynamic").alias("correnteza_superficie_prevista_dinamica"),
+        F.col("first").alias("correnteza_superficie_prevista_primeiro_calculo"),
+    )
+
+
+def publish_simulation(table: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
+    """New content of the forecast table: dynamic values replaced, frozen ones only filled."""
+    return merge_keep_first(
+        table, runs.withColumn("atualizado_em", now), ["datahora_alvo"],
+        ["correnteza_superficie_prevista_dinamica", "atualizado_em"],
+        ["correnteza_superficie_prevista_primeiro_calculo"],
+    )
+
+
 def audit_view(table: DataFrame, treated_hours: DataFrame) -> DataFrame:
     truth = treated_hours.withColumnRenamed("timestamp_br", "datahora_alvo")
     return audit(

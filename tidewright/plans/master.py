@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.functions.timekeys import five_minute_key, hour_key, utc_to_local
-from tidewright.operators.joins import full_coverage_join, spine_join, up_to_scalar
-from tidewright.operators.rollup import hour_end, latest_per_hour, rollup, rollup_by_type
-from tidewright.operators.shaping import drop_prefixed, gate_hourly, suffix_columns
+from tidewright.operators.grid import replicate, rms_gap_rows
+from tidewright.operators.joins import full_coverage_join, outer_fold, spine_join, up_to_scalar
+from tidewright.operators.rollup import hour_end, latest_per_hour, latest_two_aged, rollup, rollup_by_type
+from tidewright.operators.scan import CutBuckets
+from tidewright.operators.shaping import current_hour, drop_prefixed, gate_hourly, suffix_columns, union_unlike
 from tidewright.schemas import AIR_GASES, SENSOR_LABELS, SENSOR_VALUES, STATION_VALUES
 
 LOCAL_ZONE = "America/Sao_Paulo"
@@ -112,10 +114,29 @@ def master_5min_mixed(
     return spine_join(joined, [hours[n] for n in ("station", "forecast", "air")], HOUR).drop(HOUR)
 
 
+def stacked_5min(
+    sensor: DataFrame, weather: DataFrame, forecast: DataFrame, air: DataFrame, station: DataFrame,
+    now: Column, station_code: str = "A802",
+) -> DataFrame:
+    """All sources under each other: 5-minute feeds as they are, forecast and air of the running
+    hour, station hours repeated every 5 minutes. Absent columns are null."""
+    mine = station.filter(F.col("estacao") == station_code)
+    fine_station = replicate(mine.withColumn("timestamp_utc", F.col("dt_utc")), "timestamp_utc", 300, 12)
+    return union_unlike(
+        drop_prefixed(sensor, "valid_"), weather,
+        current_hour(forecast, "timestamp_utc", now), current_hour(air, "timestamp_utc", now), fine_station,
+    )
+
+
+def three_hour_gap_rows(
+    master: DataFrame, keys: Sequence[str], ts: str, numeric: Sequence[str], now: Column, age_hours: int = 3
+) -> DataFrame:
+    """Synthetic rows between the two newest rows per key, once both are old enough."""
+    return rms_gap_rows(latest_two_aged(master, keys, ts, now, age_hours), keys, ts, numeric, CutBuckets())
+
+
 def merge_sources_by_type(frames: Mapping[str, DataFrame], ts: str = "timestamp_utc") -> DataFrame:
     """Any tables with a common time column: hour means by type, source tag as suffix, outer join."""
-    from tidewright.operators.joins import outer_fold
-
     tagged = [
         suffix_columns(rollup_by_type(drop_prefixed(df, "valid_"), [], ts, bucket=HOUR), tag, keep=[HOUR])
         for tag, df in frames.items()

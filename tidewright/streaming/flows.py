@@ -126,9 +126,10 @@ def merge_runs(
 ) -> DataFrame:
     """Fold many runs at once into a forecast table (idempotent)."""
     lead = minutes_between(F.col(key), F.col(run_at))
-    eligible = F.when(lead.between(*freeze) & F.col(value).isNotNull(), F.col(run_at))
+    rank = F.struct(run_at, value)
+    eligible = F.when(lead.between(*freeze) & F.col(value).isNotNull(), rank)
     folded = runs.groupBy(key).agg(
-        F.max_by(value, run_at).alias("__dyn"), F.max(run_at).alias("__at"),
+        F.max_by(value, rank).alias("__dyn"), F.max(run_at).alias("__at"),
         F.min_by(value, eligible).alias("__frz"),
     )
     joined = table.join(folded, key, "full")
