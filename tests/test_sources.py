@@ -93,3 +93,14 @@ def test_city_table_and_clocks(spark):
     local = spark.createDataFrame([("2024-01-01 00:00:00",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
     assert weather_json.with_both_clocks(local, "t", "America/Sao_Paulo").first().timestamp_utc == datetime(2024, 1, 1, 3)
     assert len(SENSOR_5MIN.fields) > 45 and len(LIVE_COLUMNS) == 15
+
+
+def test_day_scan_prunes_folders_and_row_groups(spark):
+    from tidewright.sinks.maintain import write_days
+
+    path = scratch_path(spark, "prune")
+    hours = spark.range(72).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"), "id")
+    write_days(hours, path, "ts")
+    out = tables.scan_days(spark, path, "ts", F.lit("2024-01-02 06:00:00").cast("timestamp_ntz"), F.lit("2024-01-02 09:00:00").cast("timestamp_ntz"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 3 and "PartitionFilters: [isnotnull(dt" in plan and "GreaterThanOrEqual(ts" in plan

@@ -9,6 +9,7 @@ from tidewright.functions.timekeys import hour_key
 from tidewright.operators.shaping import conform, drop_all_null, drop_matching, drop_prefixed, ensure_columns, mapped_scan, overlay, stringify, suffix_columns
 from tidewright.session import scratch_path
 from tidewright.sinks import maintain as ops
+from tidewright.sources.tables import scan_days
 
 _NOW = "2024-01-15 10:00:00"
 
@@ -158,12 +159,11 @@ def overlay_freshest(spark, sf):
 
 
 @query("partitioned_days", f"""WITH {R} SELECT event_id, ts, source, value FROM r
-WHERE CAST(ts AS DATE) >= DATE '2024-01-12' AND CAST(ts AS DATE) <= DATE '2024-01-13'""")
+WHERE ts >= TIMESTAMP '2024-01-12 06:00:00' AND ts < TIMESTAMP '2024-01-13 18:00:00'""")
 def partitioned_days(spark, sf):
     path = scratch_path(spark, "days")
     ops.write_days(readings(spark, sf).select("event_id", "ts", "source", "value"), path, "ts")
-    days = spark.read.parquet(path)
-    return days.filter(F.col("dt").between(F.lit("2024-01-12").cast("date"), F.lit("2024-01-13").cast("date"))).drop("dt")
+    return scan_days(spark, path, "ts", instant("2024-01-12 06:00:00"), instant("2024-01-13 18:00:00"))
 
 
 @query("versioned_merge", f"""{_STORED}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewright.operators.shaping import mapped_scan
 
@@ -20,6 +20,19 @@ def scan_mapped(spark: SparkSession, path: str, mapping: Mapping[str, tuple[str,
     return mapped_scan(spark.read.parquet(path), mapping)
 
 
+def scan_days(
+    spark: SparkSession, path: str, ts: str, start: Column, end: Column, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows in ``[start, end)`` of a day-partitioned table.
+
+    The day predicate prunes folders, the instant predicate reaches the row groups;
+    neither can be derived from the other by the optimizer.
+    """
+    days = spark.read.parquet(path).filter(F.col("dt").between(F.to_date(start), F.to_date(end)))
+    rows = days.filter((F.col(ts) >= start) & (F.col(ts) < end)).drop("dt")
+    return rows.select(*columns) if columns else rows
+
+
 def latest_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """Newest ``n`` rows, back in ascending order (a top-k, not a full sort)."""
     return df.orderBy(*[F.desc(c) for c in order]).limit(n).orderBy(*order)
