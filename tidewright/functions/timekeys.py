@@ -54,6 +54,11 @@ def local_to_utc(ts_local: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), ts_local.cast("timestamp_ntz")).cast("timestamp")
 
 
+def now_local(zone: str) -> Column:
+    """Wall time of the running query in ``zone``; jobs that must be repeatable pass a literal instead."""
+    return utc_to_local(F.current_timestamp(), zone)
+
+
 def epoch_to_utc(epoch: Column) -> Column:
     return F.timestamp_seconds(epoch)
 

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Recording the Python call site of every column costs more than planning wide feature matrices.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Stream state larger than executor memory spills to local disk and is restored from the checkpoint.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
