@@ -250,7 +250,8 @@ def merge_days(
 
     ``combine(touched_rows, run)`` is any of the merge functions above keyed on an
     instant. The result is checkpointed before its days are replaced, because the
-    files it was read from go away.
+    files it was read from go away. Days are swapped one by one; a table that needs
+    an all-or-nothing switch belongs in a :class:`VersionedTable`.
     """
     checkpoint_root(spark)
     days = run.select(F.to_date(ts).alias("dt")).distinct()

@@ -19,6 +19,16 @@ def _parsed(df: DataFrame, schema: T.StructType, payload: str) -> tuple[DataFram
     return df.select(*keep, F.from_json(payload, schema).alias("j")), keep
 
 
+def _opened(df: DataFrame, schema: T.StructType, payload: str) -> tuple[DataFrame, list[str]]:
+    """Top-level payload fields as columns, for readers that explode one of them.
+
+    Going through a generator keeps it at one parse per payload; nested column
+    pruning around ``explode`` would otherwise parse once per field used.
+    """
+    keep = [c for c in df.columns if c != payload]
+    return df.select(*keep, F.inline(F.array(F.from_json(payload, schema)))), keep
+
+
 def _paths(prefix: str, names: str, tag: str) -> list[Column]:
     return [F.col(f"{prefix}.`{n}`").alias(f"{tag}{n}") for n in names.split()]
 
@@ -54,8 +64,8 @@ def current_weather(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 def forecast_list(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per entry of the forecast list, parent fields repeated."""
-    parsed, keep = _parsed(df, schemas.WEATHER_FORECAST_JSON, payload)
-    rows = parsed.select(*keep, "j.cod", "j.city", F.explode("j.list").alias("e"))
+    parsed, keep = _opened(df, schemas.WEATHER_FORECAST_JSON, payload)
+    rows = parsed.select(*keep, "cod", "city", F.explode("list").alias("e"))
     w = _first("e.weather")
     return rows.select(
         *keep,
@@ -92,16 +102,16 @@ def parallel_arrays(df: DataFrame, time: str, values: Sequence[str]) -> DataFram
 
 
 def hourly_rain(df: DataFrame, payload: str = "payload") -> DataFrame:
-    parsed, keep = _parsed(df, schemas.RAIN_ARRAYS_JSON, payload)
-    flat = parsed.select(*keep, F.col("j.hourly.time").alias("time"), F.col("j.hourly.precipitation").alias("precipitation"))
+    parsed, keep = _opened(df, schemas.RAIN_ARRAYS_JSON, payload)
+    flat = parsed.select(*keep, F.col("hourly.time").alias("time"), F.col("hourly.precipitation").alias("precipitation"))
     rows = parallel_arrays(flat, "time", ["precipitation"])
     return rows.withColumn("time", F.try_to_timestamp("time").cast("timestamp_ntz"))
 
 
 def daily_rain(df: DataFrame, payload: str = "payload") -> DataFrame:
-    parsed, keep = _parsed(df, schemas.RAIN_DAILY_JSON, payload)
+    parsed, keep = _opened(df, schemas.RAIN_DAILY_JSON, payload)
     flat = parsed.select(
-        *keep, F.col("j.daily.time").alias("time"), F.col("j.daily.precipitation_sum").alias("precipitation_sum")
+        *keep, F.col("daily.time").alias("time"), F.col("daily.precipitation_sum").alias("precipitation_sum")
     )
     rows = parallel_arrays(flat, "time", ["precipitation_sum"])
     return rows.withColumn("time", F.col("time").try_cast("date"))
@@ -109,8 +119,8 @@ def daily_rain(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 def onecall_hours(df: DataFrame, zone: str, payload: str = "payload") -> DataFrame:
     """Hourly outlook with epoch times turned into local wall time."""
-    parsed, keep = _parsed(df, schemas.ONECALL_JSON, payload)
-    rows = parsed.select(*keep, F.inline("j.hourly"))
+    parsed, keep = _opened(df, schemas.ONECALL_JSON, payload)
+    rows = parsed.select(*keep, F.inline("hourly"))
     return rows.select(
         *keep,
         epoch_to_local(F.col("dt"), zone).alias("datahora"),
