@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, functions as F
 from tidewright.llm.common import arrow_schema, power_of_two, record_batch, saved, utf8
 from tidewright.llm.tokens import Stretches
 
-WINDOW, RUN = 20, 5
+WINDOW, RUN = 20, 3
 #: Runs above this share of all runs are listed as hot: 131,072 entries, 1 MB, at most. Below it a run's bucket stays
 #: within its mean size plus this share of the corpus.
 HOT_SHARE = 1 / (1 << 17)
 #: Text bytes that a bucket should hold, that are hashed at once, and that a task gathers before it sends.
-BUCKET_BYTES, PIECE_BYTES, FLUSH_BYTES, MOST_BUCKETS = 4 << 20, 2 << 20, 32 << 20, 1 << 16
+BUCKET_BYTES, PIECE_BYTES, FLUSH_BYTES, MOST_BUCKETS = 4 << 20, 1 << 20, 24 << 20, 1 << 16
 
 
 class Words(Stretches):
@@ -90,8 +90,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], k: int):
     """Bounded lists of (id, key, first word, words joined, number of words); a long text is cut with k - 1 words of overlap."""
     rows, size = [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-            words = text.split()
+        for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+            words = text.as_py().split()
             if len(words) < k:
                 continue
             line = b" ".join(words)
@@ -129,7 +129,7 @@ def repeated_windows(texts: DataFrame, n_bytes: int, k: int = WINDOW, m: int = R
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("bucket int,packed binary,id long,key long,start int,n int")
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze = zstandard.ZstdCompressor(level=7).compress
         pending: dict[int, list[tuple[np.ndarray, bytes]]] = {}
         held = 0
 
@@ -262,16 +262,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ranges = repeated_windows(texts, n_bytes).groupBy("id", "key").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("id long,key long,line binary")
+        schema, squeeze = arrow_schema("id long,key long,line binary"), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            lines = [b" ".join(t.split()) for t in batch.column("text").to_pylist()]
-            yield record_batch(schema, id=batch.column("id"), key=[document_key(x) for x in lines], line=lines)
+            keys, lines = [], []
+            for text in batch.column("text"):
+                line = b" ".join(text.as_py().split())
+                keys.append(document_key(line))
+                lines.append(squeeze(line))
+            yield record_batch(schema, id=batch.column("id"), key=keys, line=lines)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("id long,n_words long,n_removed long,kept_sha256 string,kept binary")
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = ([], [], [], [])
             for line, ranges in zip(batch.column("line").to_pylist(), batch.column("ranges").to_pylist()):
+                line = expand(line)
                 words = line.split()
                 n, gone = len(words), 0
                 if ranges:
