@@ -38,7 +38,7 @@ from tidewright.llm.tokens import mix
 
 SEED = 42
 #: Fingerprints a shard should hold; the number of shards is bounded, as every task carries their masks (24 bytes each).
-SHARD, MOST_SHARDS = 8192, 8192
+SHARD, MOST_SHARDS = 65536, 8192
 FANOUT = 8
 #: The similarity form: words a shingle, sampled fingerprints, shingles in each.
 SHINGLE, VIEWS, DRAWN = 5, 16, 2
@@ -143,7 +143,7 @@ class _Union:
 def links(prints: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
     """Links (a, b) within ``radius`` that connect the distinct fingerprints of ``prints`` (fp long) as all such links would."""
     spark = prints.sparkSession
-    n_shards = int(min(MOST_SHARDS, max(1, -(-prints.count() // shard))))
+    parts = int(min(MOST_SHARDS, max(1, -(-prints.count() // (shard // 4 + 1)))))
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,21 +153,31 @@ def links(prints: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(rank.view(np.int64))], names=["fp", "rank"])
 
     ordered = prints.select("fp").mapInArrow(ranked, "fp long, rank long")
-    placed = saved(ordered.repartitionByRange(n_shards, "rank").withColumn("shard", F.spark_partition_id()).select("shard", "fp"), "shards")
-    shared = sorted(placed.groupBy("shard").agg(F.expr("bit_and(fp)"), F.expr("bit_or(fp)")).collect())
-    ids = np.array([r[0] for r in shared], np.int32)
-    low, high = (np.array([r[i] for r in shared], np.int64).view(np.uint64) for i in (1, 2))
+    placed = saved(ordered.repartitionByRange(parts, "rank").withColumn("part", F.spark_partition_id()).select("part", "fp"), "ranges")
+    # Neighbouring ranges join into shards of about ``shard`` fingerprints; the driver gets one row a range.
+    ranges = sorted(placed.groupBy("part").agg(F.count("*"), F.expr("bit_and(fp)"), F.expr("bit_or(fp)")).collect())
+    shard_of, masks, room = {}, [], 0
+    for part, n, both, either in ranges:
+        if n > room:
+            masks.append([both, either])
+            room = shard
+        shard_of[part], room = len(masks) - 1, room - n
+        masks[-1] = [masks[-1][0] & both, masks[-1][1] | either]
+    n_shards = max(1, len(masks))
+    low, high = (np.array([m[i] for m in masks], np.int64).view(np.uint64) for i in (0, 1))
+    home_of = np.zeros(max(shard_of, default=0) + 1, np.int32)
+    home_of[list(shard_of)] = list(shard_of.values())
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Residents (kind 0) to their shard; visitors (kind 1) to every later shard within reach."""
         schema, tree = arrow_schema("shard int,kind int,fp long"), HammingTree(low, high)
         for batch in batches:
-            codes, home = batch.column("fp").to_numpy(), batch.column("shard").to_numpy()
+            codes, home = batch.column("fp").to_numpy(), home_of[batch.column("part").to_numpy()]
             yield record_batch(schema, shard=home, kind=np.zeros(len(home), np.int32), fp=codes)
             for who, leaf in tree.search(codes.view(np.uint64), radius):
-                later = ids[leaf] > home[who]
+                later = leaf > home[who]
                 who, leaf = who[later], leaf[later]
-                yield record_batch(schema, shard=ids[leaf], kind=np.ones(len(who), np.int32), fp=codes[who])
+                yield record_batch(schema, shard=leaf.astype(np.int32), kind=np.ones(len(who), np.int32), fp=codes[who])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by shard and kind: load a shard's residents, then stream its visitors past them."""
