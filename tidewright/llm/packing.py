@@ -32,7 +32,7 @@ from tidewright.llm.common import arrow_schema, record_batch
 
 WINDOW, END = 1024, 0
 #: Tokens of a pool (4 bytes each), documents of a pool, tokens of a step group, kept encodings.
-POOL_TOKENS, POOL_DOCS, STEP_TOKENS, KEPT = 2 << 20, 4096, 1 << 16, 300_000
+POOL_TOKENS, POOL_DOCS, STEP_TOKENS, KEPT = 2 << 20, 4096, 1 << 16, 120_000
 
 #: A space inside a run of white space that is not the run's last: there pieces depend on each other.
 _ODD = re.compile(r"\s (?=\s|$)")
@@ -163,8 +163,8 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             return record_batch(schema, **dict(zip(schema.names, map(list, columns))))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                pool.append((doc_id, coder.ids(text) + end))
+            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+                pool.append((doc_id, coder.ids(text.as_py()) + end))
                 tokens += len(pool[-1][1]) // 4
                 if tokens >= POOL_TOKENS or len(pool) >= POOL_DOCS:
                     yield flush()

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as compute
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -73,7 +74,7 @@ class Tokens(Stretches):
 def pieces(batches: Iterator[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of column ``text`` each, or one longer text."""
     for batch in batches:
-        sizes = np.array([len(x) for x in batch.column("text").to_pylist()], np.int64)
+        sizes = compute.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
         group = (np.cumsum(sizes) - sizes) // limit
         cuts = np.flatnonzero(np.diff(group, prepend=-1))
         for start, stop in zip(cuts, [*cuts[1:], len(sizes)]):

@@ -10,7 +10,8 @@ Class counts come from labelled rows of the caller's training set, at most ``MOS
 class (chosen by a hash of the id); a further part of those rows, held out from the counts, sets the
 logistic curve that turns the length-normalised difference into a score. Labels, language, source
 and id are never inputs of a score. Bigrams seen fewer than ``LEAST_BIGRAM`` times in a class leave
-their mass to the word model, which keeps the model within the bounded sample's size.
+their mass to the word model, and words with fewer than ``LEAST_WORD`` left neighbours in the sample
+leave theirs to the stems, which keeps the model small enough for every task to hold.
 
 Null text is empty. Empty texts get the curve's value at 0 difference. Without any labelled row of
 one of the classes every score is the share of toxic rows (0 without labels). Repeated rows are
@@ -28,8 +29,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewright.llm.common import arrow_schema, record_batch, saved, utf8
 from tidewright.llm.tokens import Tokens, logistic, lookup, mix, pieces
 
-STEM, LEAST_BIGRAM, DISCOUNT = 4, 3, 0.75
-MOST_A_CLASS = 16_000
+STEM, LEAST_BIGRAM, LEAST_WORD, DISCOUNT = 4, 3, 2, 0.75
+MOST_A_CLASS = 12_000
 #: Of the sampled rows one in this many sets the curve; the rest is counted.
 CURVE = 4
 
@@ -50,23 +51,21 @@ def bounded_sample(labels: DataFrame, label: str, most: int, id_col: str = "doc_
 class Models:
     """Both models as sorted arrays; class 0 ordinary, class 1 toxic."""
 
-    def __init__(self, words, word_stems, cont, total, kept, pairs, pair_counts, stems, stem_shared):
-        self.words, self.pairs, self.pair_counts, self.stems = words, pairs, pair_counts, stems
-        self.total = np.vstack([total, np.zeros(2)])
-        self.kept = np.vstack([kept, np.zeros(2)])
-        at = lookup(stems, word_stems)
-        n = np.maximum(cont.sum(axis=0), 1.0)
-        self.by_stem = np.zeros((len(stems) + 1, 2))
-        np.add.at(self.by_stem, at, cont)
-        types = np.zeros(len(stems) + 1)
-        np.add.at(types, at, 1)
+    def __init__(self, words, cont, total, kept, pairs, pair_counts, stems, stem_cont, stem_types, stem_shared):
+        def rows(x):  # one more row stands for what the sample lacks
+            return np.vstack([x, np.zeros(2)]).astype(np.float32)
+
+        self.words, self.pairs, self.stems = words, pairs, stems
+        self.pair_counts, self.total, self.kept = rows(pair_counts), rows(total), rows(kept)
+        n = np.maximum(stem_cont.sum(axis=0), 1.0)
         shared = np.append(stem_shared + 1.0, 1.0)
         shared /= shared.sum()
-        back = DISCOUNT * (self.by_stem > 0).sum(axis=0) / n
-        p_stem = np.maximum(self.by_stem - DISCOUNT, 0) / n + back * shared[:, None]
-        self.p_new = p_stem / (types + 1)[:, None]
-        self.back_word = DISCOUNT * (cont > 0).sum(axis=0) / n
-        self.p_word = np.vstack([np.maximum(cont - DISCOUNT, 0) / n, np.zeros(2)])
+        back = DISCOUNT * (stem_cont > 0).sum(axis=0) / n
+        p_stem = np.vstack([np.maximum(stem_cont - DISCOUNT, 0) / n, np.zeros(2)]) + back * shared[:, None]
+        self.p_new = (p_stem / np.append(stem_types + 1.0, 1.0)[:, None]).astype(np.float32)
+        p_word = np.maximum(cont - DISCOUNT, 0) / n
+        self.back_word = (1 - p_word.sum(axis=0)).clip(1e-6)
+        self.p_word = rows(p_word)
 
     def ratios(self, tokens: Tokens) -> np.ndarray:
         """log p(word | toxic) - log p(word | ordinary) for every word."""
@@ -78,7 +77,7 @@ class Models:
         total = self.total[before]
         seen = total > 0
         pair = lookup(self.pairs, _pair(previous, word))
-        count = np.vstack([self.pair_counts, np.zeros(2)])[pair] if len(self.pairs) else np.zeros((len(word), 2))
+        count = self.pair_counts[pair]
         safe = np.where(seen, total, 1.0)
         p = np.where(seen, np.maximum(count - DISCOUNT, 0) / safe + (1 - self.kept[before] / safe) * p, p)
         return np.log(p[:, 1]) - np.log(p[:, 0])
@@ -127,28 +126,29 @@ def fit(texts: DataFrame, sample: DataFrame) -> Models:
                   .groupBy("y", "prev", "word").agg(F.sum("n").alias("n"), F.first("stem").alias("stem")), "pairs")
     by_class = lambda value: [F.sum(F.when(F.col("y") == c, value).otherwise(0)).cast("double").alias(f"c{c}") for c in (0, 1)]
     columns = lambda table, *names: np.column_stack([table.column(n).to_numpy() for n in names])
-    words = pairs.groupBy("word").agg(F.first("stem").alias("stem"), *by_class(F.lit(1))).toArrow()
+    by_word = saved(pairs.groupBy("word").agg(F.first("stem").alias("stem"), *by_class(F.lit(1))), "words")
+    common = by_word.where(F.col("c0") + F.col("c1") >= LEAST_WORD)
+    words = common.drop("stem").toArrow()
     kept_mass = F.when(F.col("n") >= LEAST_BIGRAM, F.col("n") - DISCOUNT).otherwise(0)
-    contexts = pairs.groupBy("prev").agg(*by_class(F.col("n")), *[x.alias(f"k{i}") for i, x in enumerate(by_class(kept_mass))]).toArrow()
+    contexts = (pairs.groupBy("prev").agg(*by_class(F.col("n")), *[x.alias(f"k{i}") for i, x in enumerate(by_class(kept_mass))])
+                .join(common.select(F.col("word").alias("prev")), "prev", "left_semi").toArrow())
     frequent = pairs.where(F.col("n") >= LEAST_BIGRAM).groupBy("prev", "word").agg(*by_class(F.col("n"))).toArrow()
     # The whole corpus is counted; of its stems the model needs those that the sample has.
+    sampled = by_word.groupBy("stem").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"), F.count("*").cast("double").alias("types"))
     shared = (texts.select("text").mapInArrow(count_stems, "stem long, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-              .join(pairs.select("stem").distinct(), "stem", "left_semi").toArrow())
+              .join(sampled, "stem").toArrow())
 
-    key = words.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(key)
+    codes = lambda table, name: table.column(name).to_numpy().view(np.uint64)
+    key, stems = codes(words, "word"), codes(shared, "stem")
+    order, by_stem = np.argsort(key), np.argsort(stems)
     key, cont = key[order], columns(words, "c0", "c1")[order]
-    word_stems = words.column("stem").to_numpy().view(np.uint64)[order]
     total, kept = np.zeros((len(key), 2)), np.zeros((len(key), 2))
-    at = lookup(key, contexts.column("prev").to_numpy().view(np.uint64))
-    inside = at < len(key)
-    total[at[inside]], kept[at[inside]] = columns(contexts, "c0", "c1")[inside], columns(contexts, "k0", "k1")[inside]
-    pair = _pair(frequent.column("prev").to_numpy().view(np.uint64), frequent.column("word").to_numpy().view(np.uint64))
+    at = lookup(key, codes(contexts, "prev"))
+    total[at], kept[at] = columns(contexts, "c0", "c1"), columns(contexts, "k0", "k1")
+    pair = _pair(codes(frequent, "prev"), codes(frequent, "word"))
     by_pair = np.argsort(pair)
-    stems = shared.column("stem").to_numpy().view(np.uint64)
-    by_stem = np.argsort(stems)
-    return Models(key, word_stems, cont, total, kept, pair[by_pair], columns(frequent, "c0", "c1")[by_pair],
-                  stems[by_stem], shared.column("n").to_numpy()[by_stem].astype(float))
+    return Models(key, cont, total, kept, pair[by_pair], columns(frequent, "c0", "c1")[by_pair], stems[by_stem],
+                  columns(shared, "c0", "c1")[by_stem], shared.column("types").to_numpy()[by_stem], columns(shared, "n")[by_stem, 0].astype(float))
 
 
 def toxicity_scorer(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
