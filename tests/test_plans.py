@@ -116,6 +116,29 @@ def test_refresh_equals_full_treatment(sources):
     assert out.select(full.columns).exceptAll(full).count() == 0 and out.count() == full.count()
 
 
+@pytest.mark.parametrize("hours,cutoff", [((0, 100, 101), 97), ((0, 60, 100, 101, 130), 97), ((3, 4, 50), 40), ((90, 95), 30), ((0, 1, 2), 2)])
+def test_refresh_over_long_gaps_equals_full_treatment(spark, hours, cutoff):
+    rows = [(at(60 * h), None if h == 60 else float(h), float(h) if h % 2 else None) for h in hours]
+    raw = spark.createDataFrame(rows, "timestamp_br timestamp_ntz, umidade double, pressao double")
+    columns = ["umidade", "pressao"]
+    bound = F.lit(at(60 * cutoff)).cast("timestamp_ntz")
+    full = treated.treat(raw, [], "timestamp_br", 3600, 6, columns)
+    before = treated.treat(raw.filter(F.col("timestamp_br") < bound), [], "timestamp_br", 3600, 6, columns)
+    out = treated.refresh_treated(before, raw, bound, columns, step_seconds=3600)
+    assert out.count() == full.count() and out.exceptAll(full).count() == 0
+
+
+def test_live_grid_signs_the_flow_like_training_and_leaves_no_hole(spark):
+    history = spark.createDataFrame([(at(60 * i), 2.0, 180.0) for i in range(4)],
+                                    "datahora timestamp_ntz, intensidade_6m_kt double, direcao_6m_deg double")
+    outlook = spark.createDataFrame([(at(60 * 8), 1.0)], "datahora timestamp_ntz, bar double")
+    rain = spark.createDataFrame([(at(0), 0.0)], "ts_hour timestamp_ntz, rain_CANOAS double")
+    grid = forecasting.live_grid(history, outlook, rain, F.lit(at(60 * 6)).cast("timestamp_ntz"))
+    rows = {r.datahora: r for r in grid.collect()}
+    trained = forecasting.model_inputs(history).first()
+    assert all(rows[at(60 * h)].intensidade_6m_kt == trained.intensidade_6m_kt for h in range(7))
+
+
 @pytest.fixture(scope="module")
 def history(spark):
     rng = np.random.default_rng(3)

@@ -88,8 +88,8 @@ def test_balanced_cuts_split_a_burst(spark):
     assert largest <= 450
 
 
-def test_no_cuts_for_small_input(spark):
-    assert balanced_buckets(series(spark, [1.0]), "ts") == CutBuckets()
+def test_small_input_is_cut_like_large(spark):
+    assert balanced_buckets(series(spark, [1.0, 2.0, 3.0]), "ts").cuts
 
 
 def test_bucket_rows_are_bounded_on_a_grid(spark):

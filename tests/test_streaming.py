@@ -71,7 +71,7 @@ def test_stream_stream_hour_join(spark):
     land(spark, hourly, [("a", at(0), 10.0), ("a", at(60), 20.0)], "k string, hts timestamp_ntz, h double")
     left = flows.event_time(spark.readStream.schema(SCHEMA).parquet(fine), "ts", "1 hour")
     right = flows.event_time(spark.readStream.schema("k string, hts timestamp_ntz, h double").parquet(hourly), "hts", "1 hour")
-    out = flows.collected(spark, flows.join_hourly_stream(left, right, "ts", "hts", ["k"]).select("id", "h"), "join")
+    out = flows.collected(spark, flows.join_hourly_stream(left, right, "ts", "hts", ["k"], how="inner").select("id", "h"), "join")
     assert sorted(map(tuple, out.collect())) == [(1, 10.0), (2, 20.0)]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.catalog.base import G, HOUR, R, SG, grid, hours, instant, query, readings, sample_grid, shown
+from tidewright.catalog.base import G, HOUR, R, SG, grid, hours, instant, query, readings, sample_grid, samples, shown
 from tidewright.functions.timekeys import five_minute_key, hour_key
 from tidewright.operators import grid as ops
 from tidewright.operators.scan import grid_buckets
@@ -57,6 +57,17 @@ def interp_linear_limit(spark, sf):
     return ops.interpolate_linear(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, limit=2, digits=8)
 
 
+@query("treated_refresh", f"""WITH {SG}, {_KNOWN}
+SELECT source, ts_hour, CASE WHEN x - px <= 2 OR nx - x <= 2 THEN round({_LINEAR}, 8) END AS value FROM k""")
+def treated_refresh(spark, sf):
+    """A table filled up to a day, brought up to date with what came later; its twin fills everything at once."""
+    rows = samples(spark, sf)
+    cutoff = instant("2024-01-16 00:00:00")
+    old = rows.filter(F.col("ts_hour") < cutoff)
+    table = ops.interpolate_linear(ops.regular_grid(old, _BY, "ts_hour", HOUR), _BY, "ts_hour", ["value"], HOUR, limit=2, digits=8)
+    return ops.refresh_interpolated(table, rows, _BY, "ts_hour", ["value"], HOUR, 2, cutoff, digits=8)
+
+
 @query("interp_linear_unlimited", f"WITH {G}, {_KNOWN} SELECT source, ts_hour, round({_LINEAR}, 8) AS value FROM k")
 def interp_linear_unlimited(spark, sf):
     return ops.interpolate_linear(grid(spark, sf), _BY, "ts_hour", ["value"], HOUR, digits=8)

@@ -14,14 +14,15 @@ from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidewright.functions.timekeys import micros
 from tidewright.operators.evaluate import error_metrics
 from tidewright.operators.features import (
-    FeatureSpec, lag_columns, lead_columns, moving_mean_columns,
+    FeatureSpec, lag_columns, lead_columns, moving_mean_columns, varying_columns,
 )
 from tidewright.operators.joins import nearest_time_join
 from tidewright.operators.scan import CutBuckets, FixedBuckets, halo_window
@@ -143,12 +144,8 @@ def fit_targets(
 
 
 def select_by_variance(train: DataFrame, features: Sequence[str], threshold: float = 1e-4) -> list[str]:
-    """Features whose sample variance exceeds ``threshold``."""
-    assembled = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(train)
-    fitted = VarianceThresholdSelector(
-        featuresCol=FEATURES, outputCol="__kept", varianceThreshold=threshold
-    ).fit(assembled.select(FEATURES))
-    return [features[i] for i in sorted(fitted.selectedFeatures)]
+    """Features whose population variance exceeds ``threshold``, in one pass."""
+    return varying_columns(train, features, threshold)
 
 
 def draw_parameters(space: Mapping[str, Sequence], draws: int, seed: int = 42) -> list[dict]:
@@ -213,6 +210,12 @@ def best_draw(search: DataFrame) -> DataFrame:
     ).orderBy("mse", "draw")
 
 
+def history_depth(spec: FeatureSpec) -> int:
+    """Past target values that a step of the recursion needs."""
+    long = spec.long_means if set(spec.targets) & set(spec.long_base) else ()
+    return max([*spec.lags, *spec.short_means, *long])
+
+
 def forecast_state(
     grid: DataFrame, keys: Sequence[str], ts: str, step_seconds: int, spec: FeatureSpec, steps: int
 ) -> tuple[DataFrame, list[str]]:
@@ -229,7 +232,9 @@ def forecast_state(
         + [f"{c}_ma{w}" for w in spec.long_means for c in outside_long]
         + [f"{c}_lead{n}" for n in spec.leads for c in spec.lead_base]
     )
-    depth = max([*spec.lags, *spec.short_means])
+    depth = history_depth(spec)
+    if set(spec.lead_base) & set(targets):
+        raise ValueError("a target cannot be a lead feature: a forecast does not know its future")
 
     def panel(w: Window) -> list[Column]:
         return (
@@ -239,6 +244,8 @@ def forecast_state(
             + lead_columns(w, spec.lead_base, spec.leads)
         )
 
+    ahead = (max(spec.leads) if spec.lead_base else 0) + steps - 1
+
     def gather(w: Window) -> list[Column]:
         row = F.array(*[F.col(n).cast("double") for n in names])
         coming = F.collect_list(row).over(w.rowsBetween(0, steps - 1)).alias("__outside")
@@ -246,16 +253,19 @@ def forecast_state(
             F.collect_list(F.coalesce(F.col(t).cast("double"), F.lit(float("nan")))).over(w.rowsBetween(-depth, -1)).alias(f"__hist_{t}")
             for t in targets
         ]
-        return [coming, *recent]
+        around = w.rowsBetween(-max(spec.before, depth), ahead)
+        spread = (micros(F.max(ts).over(around)) - micros(F.min(ts).over(around))) / F.lit(step_seconds * 1_000_000)
+        even = (spread == F.count("*").over(around) - 1).alias("__even")
+        return [coming, *recent, even]
 
-    ahead = (max(spec.leads) if spec.lead_base else 0) + steps - 1
     wide = halo_window(grid, keys, ts, step_seconds, max(spec.before, depth), ahead, panel, gather)
     whole = (F.size("__outside") == steps) & (F.size(f"__hist_{targets[0]}") == depth)
     known = whole
     for t in targets:
         known = known & F.col(t).isNotNull() & ~F.exists(f"__hist_{t}", F.isnan)
     known = known & F.forall("__outside", lambda r: F.forall(r, lambda x: x.isNotNull()))
-    state = wide.filter(known).select(
+    # Shifts count rows: an origin whose rows are not one step apart would read moved lags.
+    state = wide.filter(known & F.col("__even")).select(
         *keys, F.col(ts).alias("origin"), "__outside",
         *[F.col(f"__hist_{t}") for t in targets],
         *[F.col(t).cast("double").alias(f"__cur_{t}") for t in targets],
@@ -290,7 +300,7 @@ def recursive_forecast(
     if origins is not None:
         state = state.join(origins.select(*keys, "origin").distinct(), [*keys, "origin"], "left_semi")
     place = {n: i for i, n in enumerate(outside_names)}
-    depth = max([*spec.lags, *spec.short_means])
+    depth = history_depth(spec)
     kept = [f"{t}__p{h}" for t in targets for h in range(1, steps + 1)]
 
     for done in range(0, steps, advance):

@@ -43,7 +43,8 @@ def regular_grid(
 ) -> DataFrame:
     """Reindex onto floor(min) ... floor(max); only exact hits keep their values.
 
-    Of several rows on one instant the first in ``tie_break`` order wins.
+    Of several rows on one instant the first in ``tie_break`` order wins, by
+    default the most complete one.
     ``rolled_up`` input (one row per series and step, on the step) skips the
     dedupe and is aggregated from the raw rows only once.
     """
@@ -59,13 +60,18 @@ def regular_grid(
         return grid_instants(bounds, keys, ts, step_seconds).join(df, [*keys, ts], "left").select(*keys, ts, *values)
     bounds = df.groupBy(*keys).agg(lo.alias("lo"), hi.alias("hi"))
     slots = grid_instants(bounds, keys, ts, step_seconds)
-    hits = df.filter(F.pmod(micros(F.col(ts)), F.lit(step_seconds * 1_000_000)) == 0)
     if not values:
         return slots
-    rank = F.struct(*(tie_break or values))
-    row = F.struct(*values)
-    first = hits.groupBy(*keys, ts).agg(F.min_by(row, rank).alias("__row"))
-    return slots.join(first, [*keys, ts], "left").select(*keys, ts, "__row.*")
+    return slots.join(exact_hits(df, keys, ts, step_seconds, tie_break), [*keys, ts], "left").select(*keys, ts, *values)
+
+
+def exact_hits(df: DataFrame, keys: Sequence[str], ts: str, step_seconds: int, tie_break: Sequence[str] = ()) -> DataFrame:
+    """One row per series and grid instant: the first in ``tie_break`` order, else the one with the fewest nulls."""
+    values = [c for c in df.columns if c not in (*keys, ts)]
+    hits = df.filter(F.pmod(micros(F.col(ts)), F.lit(step_seconds * 1_000_000)) == 0)
+    holes = sum((F.col(c).isNull().cast("int") for c in values), F.lit(0))
+    rank = F.struct(*tie_break) if tie_break else F.struct(holes.alias("holes"), *values)
+    return hits.groupBy(*keys, ts).agg(F.min_by(F.struct(*values), rank).alias("__row")).select(*keys, ts, "__row.*")
 
 
 def interpolate_linear(
@@ -114,6 +120,50 @@ def interpolate_linear(
     return near.select(*rest, *filled).select(*grid.columns)
 
 
+def refresh_interpolated(
+    table: DataFrame, df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], step_seconds: int,
+    limit: int, cutoff: Column, digits: int | None = 4, tie_break: Sequence[str] = (),
+) -> DataFrame:
+    """``table`` after new rows arrived in ``df`` from ``cutoff`` on; equal to the full grid and limited fill of ``df``.
+
+    New points change fills back to the last known point before the cutoff, however old it is.
+    Per series the rebuild starts at the oldest such point of a column that has new points, and each
+    column's last known point before that start is one more anchor, so only that span is filled again.
+    """
+    for c in (*keys, ts):
+        df = df.filter(F.col(c).isNotNull())
+    step = F.make_dt_interval(secs=F.lit(step_seconds).cast("decimal(18,6)"))
+    at = F.col(ts)
+    bound = floor_step(cutoff, step_seconds)
+    hits = exact_hits(df, keys, ts, step_seconds, tie_break)
+    ends = df.groupBy(*keys).agg(floor_step(F.min(ts), step_seconds).alias("__lo"), floor_step(F.max(ts), step_seconds).alias("__hi"))
+    old = {c: F.when(F.col(c).isNotNull() & (at < bound), at) for c in columns}
+    facts = hits.groupBy(*keys).agg(
+        *[F.max(old[c]).alias(f"__p_{c}") for c in columns],
+        *[F.max(F.col(c).isNotNull() & (at >= bound)).alias(f"__new_{c}") for c in columns])
+    first = [F.when(F.col(f"__new_{c}"), F.coalesce(f"__p_{c}", bound - step * limit)) for c in columns]
+    start = F.greatest(F.col("__lo"), F.least(bound, *first)) if columns else F.greatest("__lo", bound)
+    spans = attach(ends, facts.select(*keys, *[c for c in facts.columns if c not in keys]), keys, "left") if keys else ends.join(facts)
+    spans = spans.select(*keys, start.alias("__start"), "__hi")
+    ranged = attach(hits, spans, keys, "inner") if keys else hits.join(spans)
+    later = ranged.filter(at >= F.col("__start")).select(*hits.columns)
+    before = {c: F.when(F.col(c).isNotNull(), at) for c in columns}
+    anchors = ranged.filter(at < F.col("__start")).groupBy(*keys).agg(
+        *[F.struct(F.max(before[c]).alias(ts), F.max_by(c, before[c]).alias("v")).alias(f"__a_{c}") for c in columns])
+    rows = F.array(*[
+        F.struct(F.col(f"__a_{c}")[ts].alias(ts), *[(F.col(f"__a_{c}")["v"] if o == c else F.lit(None)).cast(df.schema[o].dataType).alias(o) for o in columns])
+        for c in columns])
+    anchors = (anchors.select(*keys, F.inline(rows)).filter(F.col(ts).isNotNull())
+               .groupBy(*keys, ts).agg(*[F.max(c).alias(c) for c in columns]).withColumn("__anchor", F.lit(True)))
+    slots = grid_instants(spans.filter(F.col("__start") <= F.col("__hi")).select(*keys, F.col("__start").alias("lo"), F.col("__hi").alias("hi")), keys, ts, step_seconds)
+    grid = slots.join(later, [*keys, ts], "left").withColumn("__anchor", F.lit(False))
+    filled = interpolate_linear(grid.unionByName(anchors, allowMissingColumns=True), keys, ts, columns, step_seconds, limit, digits)
+    fresh = filled.filter(~F.col("__anchor")).select(*table.columns)
+    # Rows before a series' start stay; a series that df does not hold goes, as it would in the full fill.
+    kept = attach(table, spans, keys, "inner") if keys else table.join(spans)
+    return kept.filter(at < F.col("__start")).select(*table.columns).unionByName(fresh)
+
+
 def interpolate_onto(
     instants: DataFrame,
     sparse: DataFrame,
@@ -275,12 +325,22 @@ def rms_gap_rows(
     )
 
 
-def extend_last_row(df: DataFrame, keys: Sequence[str], ts: str, now: Column) -> DataFrame:
-    """Repeat the newest row of a series at ``now`` if the series is behind."""
+def extend_last_row(df: DataFrame, keys: Sequence[str], ts: str, now: Column, step_seconds: int | None = None) -> DataFrame:
+    """Repeat the newest row of a series at ``now`` if the series is behind.
+
+    With ``step_seconds`` it is repeated at every step up to ``now``, so that a feed
+    several steps behind leaves no hole in a regular grid.
+    """
     values = [c for c in df.columns if c not in (*keys, ts)]
     newest = df.groupBy(*keys).agg(F.max(ts).alias("__last"), F.max_by(F.struct(*values), ts).alias("__row"))
-    stale = newest.filter(F.col("__last") < now).select(*keys, now.cast("timestamp_ntz").alias(ts), "__row.*")
-    return df.unionByName(stale.select(*df.columns))
+    stale = newest.filter(F.col("__last") < now)
+    if step_seconds:
+        step = F.make_dt_interval(secs=F.lit(step_seconds).cast("decimal(18,6)"))
+        slots = F.explode(F.sequence(F.col("__last") + step, now.cast("timestamp_ntz"), step))
+        stale = stale.filter(F.col("__last") + step <= now)
+    else:
+        slots = now.cast("timestamp_ntz")
+    return df.unionByName(stale.select(*keys, slots.alias(ts), "__row.*").select(*df.columns))
 
 
 def append_future(history: DataFrame, future: DataFrame, ts: str, start: Column, hours: int = 14) -> DataFrame:

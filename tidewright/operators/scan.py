@@ -28,7 +28,7 @@ BUCKET = "__bucket"
 
 GRID_STEPS_PER_BUCKET = 4096
 ROWS_PER_BUCKET = 2_000_000
-MAX_CUTS = 8192
+LEAST_BUCKETS, MOST_BUCKETS = 8, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -72,13 +72,12 @@ def grid_buckets(step_seconds: int, steps: int = GRID_STEPS_PER_BUCKET) -> Fixed
 def balanced_buckets(df: DataFrame, ts: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> CutBuckets:
     """Cut instants that spread the rows of ``df`` evenly.
 
-    Costs one count (file metadata for plain Parquet) and, only above one bucket,
-    one pass over ``ts``. At most ``MAX_CUTS`` cut values reach the driver; they
-    only choose the split points, no row is dropped.
+    Costs one count (file metadata for plain Parquet) and one pass over ``ts``.
+    Every size is split, so small and large inputs run the same plan. At most
+    ``MOST_BUCKETS`` cut values (0.5 MB) reach the driver; they only choose the
+    split points, no row is dropped.
     """
-    wanted = min(MAX_CUTS, math.ceil(df.count() / rows_per_bucket))
-    if wanted <= 1:
-        return CutBuckets()
+    wanted = min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(df.count() / rows_per_bucket)))
     quantiles = [i / wanted for i in range(1, wanted)]
     points = df.select(micros(F.col(ts)).cast("double").alias("m")).approxQuantile(
         "m", quantiles, 1 / (4 * wanted)

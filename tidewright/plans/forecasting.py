@@ -31,14 +31,18 @@ def rain_by_city(long_rain: DataFrame, city: str = "city") -> DataFrame:
     return pivot_series(hours, ["ts_hour"], city, "precipitation", list(RAIN_CITIES), "rain_")
 
 
-def model_table(history: DataFrame, rain: DataFrame) -> DataFrame:
-    """Rain attached, dead columns dropped, sign from degrees, then sectors, zeros for gaps."""
-    joined = drop_matching(join_on_hour(history, rain, TS), ["temp_out"], ["wind_dir"])
+def model_inputs(joined: DataFrame) -> DataFrame:
+    """Flow sign from degrees, then sectors: what training and live runs both feed the models."""
     signed = joined.withColumns({
         i: signed_by_degrees(F.col(i), F.col(d)) for i, d in FLOW_PAIRS.items() if {i, d} <= set(joined.columns)
     })
-    sectors = signed.withColumns({d: sector_number(F.col(d)) for d in DIRECTIONS if d in signed.columns})
-    return narrow_to_float(sectors, [TS])
+    return signed.withColumns({d: sector_number(F.col(d)) for d in DIRECTIONS if d in signed.columns})
+
+
+def model_table(history: DataFrame, rain: DataFrame) -> DataFrame:
+    """Rain attached, dead columns dropped, sign from degrees, then sectors, zeros for gaps."""
+    joined = drop_matching(join_on_hour(history, rain, TS), ["temp_out"], ["wind_dir"])
+    return narrow_to_float(model_inputs(joined), [TS])
 
 
 def model_spec(table: DataFrame) -> FeatureSpec:
@@ -73,10 +77,10 @@ def train(matrix: DataFrame, spec: FeatureSpec, estimator: Estimator, scaled: bo
 def live_grid(history: DataFrame, outlook: DataFrame, rain: DataFrame, now: Column, hours_ahead: int = 14) -> DataFrame:
     """Past rows carried to the current hour plus the weather outlook, gaps forward filled, rest 0."""
     hour = F.date_trunc("hour", now).cast("timestamp_ntz")
-    past = extend_last_row(history, [], TS, hour)
+    past = extend_last_row(history, [], TS, hour, STEP)
     joined = append_future(past, outlook, TS, hour, hours_ahead)
     joined = join_on_hour(joined, rain, TS)
-    sectors = joined.withColumns({d: sector_number(F.col(d)) for d in DIRECTIONS if d in joined.columns})
+    sectors = model_inputs(joined)
     numbers = [c for c in sectors.columns if c != TS]
     typed = sectors.select(TS, *[F.col(c).try_cast("double").alias(c) for c in numbers])
     return fill_gaps(typed, [], TS, numbers, grid_buckets(STEP), backward_too=False, default=0.0)
@@ -85,11 +89,13 @@ def live_grid(history: DataFrame, outlook: DataFrame, rain: DataFrame, now: Colu
 def run_forecast(
     grid: DataFrame, models: TargetModels, spec: FeatureSpec, now: Column, steps: int = 6, advance: int = 1
 ) -> DataFrame:
-    """(target instant, surface forecast) rows of one run."""
+    """(target instant, surface forecast) rows of one run; fails if the origin lacks history or outlook."""
     hour = F.date_trunc("hour", now).cast("timestamp_ntz")
     origin = grid.filter(F.col(TS) == hour).select(F.col(TS).alias("origin"))
     long = recursive_forecast(grid, [], TS, STEP, spec, models, steps, advance, origin)
     surface = long.filter(F.col("target") == "intensidade_superficie_kt")
+    if surface.isEmpty():
+        raise ValueError("the origin has no complete history or outlook")
     return surface.select(
         F.col("target_ts").alias("datahora_alvo"), F.round("pred", 4).alias("previsao_correnteza_superficie")
     )

@@ -132,7 +132,7 @@ def three_hour_gap_rows(
     master: DataFrame, keys: Sequence[str], ts: str, numeric: Sequence[str], now: Column, age_hours: int = 3
 ) -> DataFrame:
     """Synthetic rows between the two newest rows per key, once both are old enough."""
-    return rms_gap_rows(latest_two_aged(master, keys, ts, now, age_hours), keys, ts, numeric, CutBuckets())
+    return rms_gap_rows(latest_two_aged(master.dropDuplicates([*keys, ts]), keys, ts, now, age_hours), keys, ts, numeric, CutBuckets())
 
 
 def merge_sources_by_type(frames: Mapping[str, DataFrame], ts: str = "timestamp_utc") -> DataFrame:

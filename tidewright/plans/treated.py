@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewright.functions.cleaning import safe_number
 from tidewright.functions.direction import EBB_POINTS, compass_label, flow_sign
-from tidewright.operators.grid import interpolate_linear, interpolate_onto, regular_grid
+from tidewright.operators.grid import interpolate_linear, interpolate_onto, refresh_interpolated, regular_grid
 from tidewright.operators.joins import combine_first
 from tidewright.operators.rollup import rollup_by_type
 from tidewright.operators.scan import grid_buckets
 from tidewright.operators.shaping import numeric_columns
 from tidewright.schemas import DEPTHS
-from tidewright.sinks.maintain import rolling_refresh, update_from
+from tidewright.sinks.maintain import update_from
 
 # Identifiers and codes that must not be interpolated.
 NOT_INTERPOLATED = (
@@ -81,8 +81,9 @@ def attach_tide_hour(treated: DataFrame, tide: DataFrame, ts: str = "timestamp_b
 
 def refresh_treated(treated: DataFrame, master: DataFrame, cutoff, columns: Sequence[str],
                     step_seconds: int = STEP_5MIN, max_hours: int = 6, ts: str = "timestamp_br",
-                    halo_hours: int = 48) -> DataFrame:
-    """Recompute from ``cutoff`` on, reading ``halo_hours`` of earlier master rows for the fills."""
-    recent = master.filter(F.col(ts) >= cutoff - F.make_dt_interval(hours=F.lit(halo_hours)))
-    rebuilt = treat(derive_directions(recent), [], ts, step_seconds, max_hours, columns)
-    return rolling_refresh(treated, rebuilt, ts, cutoff)
+                    tie_break: Sequence[str] = ()) -> DataFrame:
+    """The treated table after master rows changed from ``cutoff`` on; equal to a full treatment."""
+    derived = derive_directions(master)
+    typed = derived.withColumns({c: safe_number(F.col(c)) for c in columns})
+    return refresh_interpolated(
+        treated, typed, [], ts, columns, step_seconds, max_hours * 3600 // step_seconds, cutoff, tie_break=tie_break)

@@ -54,15 +54,19 @@ def enrich_hourly(stream: DataFrame, hourly: DataFrame, ts: str, keys: Sequence[
     return keyed.join(hourly, [*keys, hour], "left")
 
 
-def join_hourly_stream(fine: DataFrame, hourly: DataFrame, ts: str, hourly_ts: str, keys: Sequence[str]) -> DataFrame:
-    """Stream-stream join: a reading with the hourly row whose hour contains it."""
+def join_hourly_stream(fine: DataFrame, hourly: DataFrame, ts: str, hourly_ts: str, keys: Sequence[str],
+                       how: str = "left") -> DataFrame:
+    """Stream-stream join: a reading with the hourly row whose hour contains it.
+
+    The left form keeps readings without an hourly row; both streams need a watermark for it.
+    """
     right = hourly.select(*[F.col(k).alias(f"h_{k}") for k in keys], *[c for c in hourly.columns if c not in keys])
     same = [F.col(k) == F.col(f"h_{k}") for k in keys]
     inside = (F.col(ts) >= F.col(hourly_ts)) & (F.col(ts) < F.col(hourly_ts) + F.expr("INTERVAL 1 HOUR"))
     condition = inside
     for s in same:
         condition = condition & s
-    return fine.join(right, condition).drop(*[f"h_{k}" for k in keys])
+    return fine.join(right, condition, how).drop(*[f"h_{k}" for k in keys])
 
 
 def old_enough(stream: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str]) -> DataFrame:
@@ -146,11 +150,9 @@ def empty_forecasts(spark: SparkSession, key: str) -> DataFrame:
     return spark.createDataFrame([], f"{key} timestamp_ntz, dynamic double, frozen double, updated_at timestamp_ntz")
 
 
-def collected(spark: SparkSession, stream: DataFrame, label: str, timeout_seconds: int = 600) -> DataFrame:
+def collected(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     """Drain an append-mode stream into files of the working folder and read them back."""
     path = scratch_path(spark, label)
     query = run_to_files(stream, f"{path}/out", f"{path}/state")
-    if not query.awaitTermination(timeout_seconds):
-        query.stop()
-        raise TimeoutError(label)
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
