@@ -51,7 +51,7 @@ COMMON = (
 )
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
 _ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
-_DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
+_DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:1[0-2]|0?[1-9])[-/._]?(?:3[01]|[12]\d|0?[1-9])|(?:3[01]|[12]\d|0?[1-9])[-/._]?(?:1[0-2]|0?[1-9])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
 
 
 def _neighbours() -> frozenset[tuple[str, str]]:

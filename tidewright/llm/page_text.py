@@ -1,7 +1,7 @@
 """Main text of web pages with site templates removed.
 
 Pages are parsed into elements; every element subtree gets a hash of its tag, classes and content.
-Spark counts, per host, the pages that hold each subtree. A subtree in at least ``MIN_PAGES`` pages
+Spark counts, per host, the pages that hold each block element. A subtree in at least ``MIN_PAGES`` pages
 and ``SHARE`` of the host's pages is a template part; as the share bounds how many such parts a host
 can have (its mean number of elements a page / SHARE), each page is joined with its host's parts and
 parsed again without them. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
@@ -137,7 +137,7 @@ def _finish(root: Node) -> list[Node]:
 
 def subtrees(page: str) -> set[int]:
     """Hashes of the page's element subtrees below the body."""
-    return {n.code for n in _finish(parse(page)) if n.tag not in ("#root", "html", "head", "body", "br", "hr") and n.parts}
+    return {n.code for n in _finish(parse(page)) if n.tag in _BLOCK and n.tag not in ("html", "body", "main", "article") and n.parts}
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
@@ -147,7 +147,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
 
     def gone(node: Node, inside: bool) -> bool:
         return (node.tag in _GONE or node.noise
-                or node.code in template and node.tag not in ("#root", "html", "body", "main", "article") and not (inside and node.textual))
+                or node.code in template and node.tag in _BLOCK and node.tag not in ("html", "body", "main", "article") and not (inside and node.textual))
 
     def find(tag: str) -> None:
         todo = [root]
