@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,6 +23,21 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the session's Arrow batches by bytes: rows are texts of any length, and a batch of
+    10,000 of them is held several times in the JVM and in the worker. A smaller bound of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    now = int(re.sub(r"\D", "", conf.get(key, "0")) or 0)
+    if not 0 < now <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def utf8(column: str) -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import WHITE, arrow_schema, power_of_two, record_batch, saved, utf8
+from tidewright.llm.common import arrow_schema, power_of_two, record_batch, saved, small_batches, utf8, WHITE
 
 #: Owners hold about this many fingerprints each, up to the largest number of owners.
 PER_OWNER, MOST_OWNERS = 1 << 16, 4096
@@ -140,7 +140,7 @@ def _suspect_filter(suspects: DataFrame) -> bytes:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256 (hex)."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
     narrow = saved(texts.mapInArrow(_scan, _NARROW.replace(",", ", ")), "prints")
     marked = saved(mark_suspects(narrow, power_of_two(docs.count() / PER_OWNER, 16, MOST_OWNERS)), "suspects")
     suspects = marked.where("suspect")

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, utf8
+from tidewright.llm.common import arrow_schema, record_batch, small_batches, utf8
 from tidewright.llm.tokens import Tokens, pieces
 
 RANKED = 20_000
@@ -186,7 +186,7 @@ def dictionary(texts: DataFrame) -> dict[str, int]:
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, spans array of (kind, start, end, cost), base spans first at equal starts."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ranks = docs.sparkSession.sparkContext.broadcast(dictionary(texts.select("id", utf8("text").alias("text"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

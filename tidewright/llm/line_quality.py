@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, saved, utf8
+from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches, utf8
 from tidewright.llm.tokens import Stretches, logistic, pieces
 from tidewright.llm.toxicity import bounded_sample
 
@@ -206,7 +206,7 @@ def line_quality(docs: DataFrame, labels: DataFrame, training: Column, id_col: s
                  label_col: str = "quality", most: int = MOST_A_CLASS) -> DataFrame:
     """One row per document: id, score (0 to 1), good_share (length-weighted mean marginal), n_lines, n_good_lines."""
     context = docs.sparkSession.sparkContext
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
     sample, kept = bounded_sample(labels.where(training), label_col, most, id_col)
     share = kept.get(1, (0, 0))[0] / sum(n for n, _ in kept.values()) if kept else 0.5
     model = None

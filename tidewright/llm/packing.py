@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch
+from tidewright.llm.common import arrow_schema, record_batch, small_batches
 
 WINDOW, END = 1024, 0
 #: Tokens of a pool (4 bytes each), documents of a pool, tokens of a step group, kept encodings.
@@ -172,6 +172,6 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         if pool:
             yield flush()
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     packed = texts.mapInArrow(run, fields.replace(",", ", ")).withColumnRenamed("id", id_col)
     return packed if with_ids else packed.drop("ids")

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, saved
+from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches
 
 MIN_PAGES, SHARE = 10, 0.1
 
@@ -193,7 +193,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
 def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, url, text, n_chars."""
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
+    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.xxhash64(host).alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

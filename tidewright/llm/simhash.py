@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, saved, utf8
+from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches, utf8
 from tidewright.llm.components import components
 from tidewright.llm.tokens import mix
 
@@ -238,7 +238,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             codes = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
             yield record_batch(schema, id=batch.column("id"), fp=codes.view(np.int64))
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
     return saved(texts.mapInArrow(scan, "id long, fp long"), "simhash")
 
 
@@ -281,7 +281,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
                 [batch.column("id"), pa.array(keys, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)),
                  pa.array(views, pa.list_(pa.int64()))], names=["id", "key", "fp", "views"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
     rows = saved(texts.mapInArrow(scan, "id long, key long, fp long, views array<long>"), "views")
     nodes = rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("views").alias("views"))
     least = saved(nodes.groupBy("fp").agg(F.min("key").alias("least")), "distinct")

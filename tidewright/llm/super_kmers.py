@@ -30,7 +30,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, power_of_two, record_batch, saved, utf8
+from tidewright.llm.common import arrow_schema, power_of_two, record_batch, saved, small_batches, utf8
 from tidewright.llm.tokens import Stretches
 
 WINDOW, RUN = 20, 3
@@ -257,7 +257,7 @@ def _judge(packs: list[bytes], k: int, schema: pa.Schema) -> Iterator[pa.RecordB
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256 and, with_text, kept (the words that stay, joined by one space)."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
     n_bytes = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = repeated_windows(texts, n_bytes).groupBy("id", "key").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
 

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, saved, utf8
+from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches, utf8
 from tidewright.llm.tokens import Tokens, logistic, lookup, mix, pieces
 
 STEM, LEAST_BIGRAM, LEAST_WORD, DISCOUNT = 4, 3, 2, 0.75
@@ -155,7 +155,7 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, training: Column, id_col
                     label_col: str = "toxic", most: int = MOST_A_CLASS) -> Callable[[Column], Column]:
     """Fit on ``docs`` and ``labels``; the result turns a text column into a struct (score, mean_ratio)."""
     context = docs.sparkSession.sparkContext
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
     sample, kept = bounded_sample(labels.where(training), label_col, most, id_col)
     sample = saved(sample, "sample")
     part = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(CURVE))
