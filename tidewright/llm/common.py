@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,13 +26,9 @@ BATCH_BYTES = 4 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, after bounding the session's Arrow batches by bytes: rows are texts of any length, and a batch of
-    10,000 of them is held several times in the JVM and in the worker. A smaller bound of the session stays."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    conf = df.sparkSession.conf
-    now = int(re.sub(r"\D", "", conf.get(key, "0")) or 0)
-    if not 0 < now <= BATCH_BYTES:
-        conf.set(key, str(BATCH_BYTES))
+    """``df``, after bounding the session's Arrow batches by bytes: rows are texts of any length, and a
+    batch of 10,000 of them would be held several times in the JVM and in the worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df
 
 
