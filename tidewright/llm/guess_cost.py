@@ -30,6 +30,8 @@ RANKED = 20_000
 #: log10 of guesses from which a value counts as a secret.
 COSTLY = 10.0
 LONGEST_WORD, LONGEST_REPEAT = 24, 12
+#: A walk or sequence may end at any of its first characters up to this many, or where it ends by itself.
+INNER_ENDS = 64
 
 ASSIGN = re.compile(
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -80,6 +82,15 @@ def _runs(value: str, linked) -> list[int]:
     return ends
 
 
+def _repeats(value: str, unit: int) -> list[int]:
+    """For each position how many characters from there equal the one ``unit`` later, without a gap."""
+    same = [0] * len(value)
+    for i in range(len(value) - unit - 1, -1, -1):
+        if value[i] == value[i + unit]:
+            same[i] = same[i + 1] + 1
+    return same
+
+
 def guess_cost(value: str, ranks: dict[str, int]) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs."""
     n, low = len(value), value.lower()
@@ -88,6 +99,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     plain = low.translate(_LOOKALIKE)
     walks = _runs(low, lambda a, b: (a, b) in _TOUCH)
     up, down = (_runs(low, lambda a, b, d=d: a.isalnum() and b.isalnum() and ord(b) - ord(a) == d) for d in (1, -1))
+    repeats = [_repeats(value, unit) for unit in range(1, min(LONGEST_REPEAT, n // 2) + 1)]
     hard = math.log10(2) if value != low and value != value.upper() else 0.0
     best = [0.0] + [math.inf] * n
 
@@ -110,17 +122,17 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
                 caps = 0.0 if piece == low[i:end] else math.log10(2) if piece[1:] == low[i + 1:end] or piece.isupper() else size * math.log10(2) / 2
                 offer(end, here + math.log10(rank + 2) + caps + (0.6 if turned else 0.0))
         for ends, base in ((walks, 40), (up, 62), (down, 62)):
-            for end in range(i + 3, ends[i] + 1):
+            for end in range(i + 3, min(ends[i], i + INNER_ENDS) + 1):
                 offer(end, here + math.log10(base * (end - i)))
+            if ends[i] > i + INNER_ENDS:
+                offer(ends[i], here + math.log10(base * (ends[i] - i)))
         date = _DATE.match(value, i)
         if date:
             offer(date.end(), here + (2.0 if date.end() - i == 4 else 4.6))
-        for unit in range(1, min(LONGEST_REPEAT, (n - i) // 2) + 1):
-            piece, times = value[i:i + unit], 1
-            while value.startswith(piece, i + (times) * unit):
-                times += 1
+        for unit, same in enumerate(repeats, 1):
+            times = 1 + same[i] // unit
             if times > 1 and unit * times >= 3:
-                offer(i + unit * times, here + sum(map(_alphabet, piece)) + math.log10(times))
+                offer(i + unit * times, here + sum(map(_alphabet, value[i:i + unit])) + math.log10(times))
     return best[n]
 
 
