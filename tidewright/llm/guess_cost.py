@@ -21,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewright.llm.common import arrow_schema, record_batch, small_batches, utf8
 from tidewright.llm.tokens import Tokens, pieces
 
-RANKED = 20_000
+RANKED, RANK_PARTS = 20_000, 8
 #: log10 of guesses from which a value counts as a secret.
 COSTLY = 10.0
 LONGEST_WORD, LONGEST_REPEAT = 24, 12
@@ -188,7 +188,10 @@ def dictionary(texts: DataFrame) -> dict[str, int]:
                 held = {}
         yield record_batch(schema, word=[w.decode("utf-8", "replace") for w in held], n=list(held.values()))
 
-    top = (texts.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    totals = texts.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # Ranked in a fixed number of parts first: tasks would each send their own best to the driver otherwise.
+    part = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(RANK_PARTS))).orderBy(F.desc("n"), "word")
+    top = (totals.withColumn("place", F.row_number().over(part)).where(F.col("place") <= RANKED)
            .orderBy(F.desc("n"), "word").limit(RANKED))
     ranks: dict[str, int] = {}
     for word in (*COMMON, *(r.word for r in top.select("word").collect())):
