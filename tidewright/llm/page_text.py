@@ -3,8 +3,8 @@
 Pages are parsed into elements; every element subtree gets a hash of its tag, classes and content.
 Spark counts, per host, the pages that hold each block element. A subtree in at least ``MIN_PAGES`` pages
 and ``SHARE`` of the host's pages is a template part; as the share bounds how many such parts a host
-can have (its mean number of elements a page / SHARE), each page is joined with its host's parts and
-parsed again without them. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
+can have (its mean number of elements a page / SHARE), each page is joined with its host's parts (a
+host with many pages in slices) and parsed again without them. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts and styles are also dropped by their tag, class, id or role.
 
 The text is taken from ``main`` or ``article`` elements where the page has them. Inside these a
@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches
 
 MIN_PAGES, SHARE = 10, 0.1
+#: A host with more than 1 / SLICES of all pages is dealt over slices of that size (at most SLICES such hosts).
+SLICES = 16384
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -210,8 +212,14 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     counts = saved(rows.select("host", "html").mapInArrow(elements, "host long, code long").groupBy("host", "code").agg(F.count("*").alias("n"))
                    .where((F.col("n") >= MIN_PAGES) | (F.col("code") == -1)), "subtrees")
     sites = counts.where("code = -1").select("host", F.col("n").alias("n_pages"))
+    slice_size = max(1.0, (sites.agg(F.sum("n_pages")).first()[0] or 0) / SLICES)
+    # SLICES rows at most, 16 bytes each, whatever the input.
+    busy = F.broadcast(sites.where(F.col("n_pages") > slice_size).select("host", F.ceil(F.col("n_pages") / slice_size).alias("slices")))
     parts = (counts.where("code <> -1").join(sites, "host").where((F.col("n") >= MIN_PAGES) & (F.col("n") >= SHARE * F.col("n_pages")))
-             .groupBy("host").agg(F.collect_list("code").alias("parts")))
+             .groupBy("host").agg(F.collect_list("code").alias("parts"))
+             .join(busy, "host", "left").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("slices", F.lit(1)) - 1))).drop("slices"))
+    dealt = (rows.withColumn("row", F.monotonically_increasing_id()).join(busy, "host", "left")
+             .withColumn("slice", F.pmod("row", F.coalesce("slices", F.lit(1)).cast("long"))))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("id long,url string,text string,n_chars long")
@@ -224,5 +232,5 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 texts.append(main_text(page, known[1]))
             yield record_batch(schema, id=batch.column("id"), url=batch.column("url"), text=texts, n_chars=list(map(len, texts)))
 
-    return (rows.join(parts, "host", "left").select("id", "url", "html", "parts")
+    return (dealt.join(parts, ["host", "slice"], "left").select("id", "url", "html", "parts")
             .mapInArrow(extract, "id long, url string, text string, n_chars long").withColumnRenamed("id", id_col))
