@@ -351,3 +351,20 @@ def test_guess_cost_prefers_cheap_segments():
     cost = lambda v: guess_cost.guess_cost(v, ranks)
     assert cost("summer2020") < 4 and cost("P4ssword") < 3 and cost("qwertyuiop") < 4 and cost("abcabcabcabc") < 6
     assert cost("kX9$vLq2!mZr7") > 12 and cost("0af3b29c77de41aa") > 12 and cost("aaaaaaaa") < 3 and cost("19841231") < 6
+
+
+def test_guess_cost_of_very_long_values():
+    from tidewright.llm.guess_cost import guess_cost
+
+    assert guess_cost("a" * 20_000, {}) < 7
+    assert guess_cost("qw" * 10_000, {}) < 7
+    assert guess_cost("abcdefgh" * 2_000, {}) < 16
+    assert guess_cost("x9Kq7ZpL2vTe", {}) > 10
+
+
+def test_pages_of_a_busy_host_lose_their_template(spark):
+    from tidewright.llm.page_text import page_text
+
+    rows = [(i, f"http://{'busy' if i % 3 else f'h{i}'}.org/{i}", f"<body><div>Shared strip</div><p>Text {i}</p></body>") for i in range(90)]
+    found = {r.page_id: r.text for r in page_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"Text {i}" if i % 3 else f"Shared strip\n\nText {i}" for i in range(90)}
