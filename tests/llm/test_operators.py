@@ -167,6 +167,24 @@ def test_near_dedup_keeps_one_of_each_group(docs, rows, nothing):
     assert keep_one(nothing).count() == 0
 
 
+def test_near_duplicates_within_a_shared_passage(spark):
+    """Pairs of like texts among many that share a long passage with them and are no near duplicates."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage, bodies = [word() for _ in range(150)], []
+    for i in range(120):
+        own = [word() for _ in range(50)]
+        bodies.append(" ".join(passage + own))
+        if i % 4 == 0:
+            own[25] = "changed"
+            bodies.append(" ".join(passage + own))
+    frame = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string").repartition(4)
+    found = {r.id: r.component for r in simhash.near_duplicates(frame).collect()}
+    sets = [set(simhash.shingle_hashes(b.encode(), 5).tolist()) for b in bodies]
+    linked = {(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert linked and {(i, j) for i in found for j in found if j < i and found[i] == found[j]} == linked
+
+
 def test_exact_topk(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(x) for x in rng.normal(size=6) * rng.choice([0.1, 1, 5])]) for i in range(70)]

@@ -13,8 +13,9 @@ costs its size and not its square; components are then found over those links.
 ``near_duplicates`` is the form for a similarity threshold: fingerprints of ``SHINGLE`` words within
 the radius propose pairs, and so do equal fingerprints over small samples of a text's shingles (the
 ``DRAWN`` least ones under each of ``VIEWS`` hashes), because two texts at the threshold differ in
-more bits than any radius can search; at a similarity of 0.8 a sample agrees with odds 0.6, so all
-miss with odds 0.0002. Every proposed pair is then checked on its whole shingle sets.
+more bits than any radius can search; at a similarity of 0.8 a sample agrees with odds 0.6. Texts that
+agree in a sample are paired with two heads of it and dealt again by further samples, which parts those
+that only share a common passage. A link can still be missed. Every proposed pair is then checked on its whole shingle sets.
 
 Texts: A-Z are lower-cased, words are runs of ``[^\\x20\\x09-\\x0D]``, shingles of ``shingle``
 words joined by one space, repeats included; a shorter text is one shingle; no word (null, empty)
@@ -26,6 +27,7 @@ the component of rows that only have null ids is null. Extra columns are ignored
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ SHARD, MOST_SHARDS = 65536, 8192
 FANOUT = 8
 #: The similarity form: words a shingle, sampled fingerprints, shingles in each.
 SHINGLE, VIEWS, DRAWN = 5, 16, 2
+#: How often a bucket of several texts is dealt again.
+DEPTH = 6
 #: (fingerprint, node) pairs expanded at once.
 FRONTIER = 1 << 20
 
@@ -255,6 +259,26 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _proposals(buckets: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(left, right) pairs to check, from ``buckets`` (key, views, view, code).
+
+    Each bucket pairs its members with two heads. Where there are more than three, members may resemble
+    each other and no head: they are dealt again by one more view, up to ``depth`` times.
+    """
+    found, order = [], F.xxhash64("key", "view", "code")
+    for step in range(1, depth + 1):
+        heads = buckets.groupBy("view", "code").agg(
+            F.min_by("key", order).alias("head"), F.max_by("key", order).alias("other"), F.count("*").alias("n")).where("n > 1")
+        met = saved(buckets.join(heads, ["view", "code"]), "met")
+        found += [met.where(F.col("key") != F.col(head)).select(F.col(head).alias("left"), F.col("key").alias("right"))
+                  for head in ("head", "other")]
+        following = F.get("views", F.pmod(F.col("view") + step, F.lit(VIEWS)))
+        buckets = met.where("n > 3").select("key", "views", "view", F.xxhash64("code", following).alias("code"))
+        if buckets.isEmpty():
+            break
+    return reduce(DataFrame.union, found).select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "text", id_col: str = "doc_id",
                     radius: int = 2, shard: int = SHARD) -> DataFrame:
     """(key, id, component) of every row that is in a group with other texts or other rows; ``key`` is :func:`word_key` of the text.
@@ -288,10 +312,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
     linked = links(least.select("fp"), radius, shard)
     near = (linked.join(least.select(F.col("fp").alias("a"), F.col("least").alias("left")), "a")
             .join(least.select(F.col("fp").alias("b"), F.col("least").alias("right")), "b").select("left", "right"))
-    buckets = nodes.select("key", F.posexplode("views").alias("view", "code")).union(nodes.select("key", F.lit(-1), "fp"))
-    heads = buckets.groupBy("view", "code").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = buckets.join(heads, ["view", "code"]).where("key <> head").select(F.col("head").alias("left"), F.col("key").alias("right"))
-    pairs = saved(shared.union(near).distinct(), "candidates")
+    buckets = (nodes.select("key", "views", F.posexplode("views").alias("view", "code"))
+               .union(nodes.select("key", "views", F.lit(-1), "fp")))
+    pairs = saved(_proposals(buckets).union(near).distinct(), "candidates")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
