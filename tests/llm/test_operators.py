@@ -386,3 +386,19 @@ def test_pages_of_a_busy_host_lose_their_template(spark):
     rows = [(i, f"http://{'busy' if i % 3 else f'h{i}'}.org/{i}", f"<body><div>Shared strip</div><p>Text {i}</p></body>") for i in range(90)]
     found = {r.page_id: r.text for r in page_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == {i: f"Text {i}" if i % 3 else f"Shared strip\n\nText {i}" for i in range(90)}
+
+
+def test_recurring_containers_inside_articles_go(spark):
+    """A strip of text blocks inside the article, on a busy and on a small host; a quoted paragraph and copies of a page stay."""
+    strip = "<div class='x7'><p>Read also our other pieces</p></div>"
+    body = "<article><h1>Title {i}</h1><p>Text of number {i}, long enough to outweigh the strip</p>{x}</article>"
+    rows = [(i, f"http://busy.org/{i}", body.format(i=i, x=strip if i % 11 == 0 else "<p>Quoted by all</p>")) for i in range(200)]
+    rows += [(1000 + i, f"http://small.org/{i}", body.format(i=i, x=strip)) for i in range(4)]
+    rows += [(2000 + i, f"http://copies.org/{i}", "<article><div><p>The one text</p><p>in copies</p></div></article>") for i in range(20)]
+    rows += [(3000 + i, f"http://plain.org/{i}", f"<body><div><p>Text of number {i}, long enough</p></div>{'<div><p>Notice</p></div>' if i % 11 == 0 else ''}</body>") for i in range(200)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in page_text.page_text(frame).collect()}
+    text = lambda i: f"Title {i}\n\nText of number {i}, long enough to outweigh the strip"
+    want = {i: text(i) + ("" if i % 11 == 0 else "\n\nQuoted by all") for i in range(200)}
+    want |= {1000 + i: text(i) for i in range(4)} | {2000 + i: "The one text\n\nin copies" for i in range(20)}
+    assert found == want | {3000 + i: f"Text of number {i}, long enough" for i in range(200)}

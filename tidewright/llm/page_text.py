@@ -1,15 +1,17 @@
 """Main text of web pages with site templates removed.
 
 Pages are parsed into elements; every element subtree gets a hash of its tag, classes and content.
-Spark counts, per host, the pages that hold each block element. A subtree in at least ``MIN_PAGES`` pages
-and ``SHARE`` of the host's pages is a template part; as the share bounds how many such parts a host
-can have (its mean number of elements a page / SHARE), each page is joined with its host's parts (a
-host with many pages in slices) and parsed again without them. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
+Spark counts, per host, the pages that hold each block element. A subtree in at least ``FEW_PAGES`` pages
+and the square root of the host's pages is a template part, a strong one in at least ``MIN_PAGES`` pages and
+``SHARE`` of them. The parts of a host are sent once ahead of its pages (of each slice of a host with many
+pages), which are parsed again without them. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts and styles are also dropped by their tag, class, id or role.
 
-The text is taken from ``main`` or ``article`` elements where the page has them. Inside these a
-recurring element goes only if it holds no paragraph, heading, list item, quote, code or table: an
-article may quote a passage that other articles quote as well.
+The text is taken from ``main`` or ``article`` elements where the page has them. The counts decide inside
+these too, but spare what an article may share with others: a single paragraph, heading, list item, quote,
+code, table or figure that recurs, and a container of such blocks with more than half of the text (a page in
+several copies). Elsewhere strong parts always go; other parts go unless they are a single block or hold
+more than half of the text. A host with fewer than ``FEW_PAGES`` pages shows no recurrence.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by
 two \\n in page order. Null or empty html gives an empty text; a null url is a host of its own (empty).
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches
 
-MIN_PAGES, SHARE = 10, 0.1
+FEW_PAGES, MIN_PAGES, SHARE = 3, 10, 0.1
 #: A host with more than 1 / SLICES of all pages is dealt over slices of that size (at most SLICES such hosts).
 SLICES = 16384
 
@@ -44,6 +46,8 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre table dl figcaption".split())
+#: Blocks that count as one quoted passage.
+_PASSAGES = _TEXT_BLOCKS | {"figure", "dt", "dd", "tr", "td", "th", "tbody", "thead", "caption"}
 #: An opening tag of the key ends open elements of the value, up to the nearest element in _SCOPE.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
@@ -57,10 +61,10 @@ _ROLES = frozenset("navigation banner contentinfo complementary search alert ale
 
 
 class Node:
-    __slots__ = ("tag", "noise", "parts", "label", "code", "textual")
+    __slots__ = ("tag", "noise", "parts", "label", "code", "textual", "size")
 
     def __init__(self, tag: str, label: str, noise: bool):
-        self.tag, self.label, self.noise, self.parts, self.code, self.textual = tag, label, noise, [], 0, tag in _TEXT_BLOCKS
+        self.tag, self.label, self.noise, self.parts, self.code, self.textual, self.size = tag, label, noise, [], 0, tag in _TEXT_BLOCKS, 0
 
 
 def _attributes(tag: str, text: str) -> tuple[str, bool]:
@@ -118,7 +122,7 @@ def parse(page: str) -> Node:
 
 
 def _finish(root: Node) -> list[Node]:
-    """All elements, children before parents, with subtree hashes."""
+    """All elements, children before parents, with subtree hashes and characters of text that the fixed lists leave."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -131,25 +135,38 @@ def _finish(root: Node) -> list[Node]:
             if isinstance(p, Node):
                 content.append(f"{p.code:x}")
                 node.textual |= p.textual
+                if not _listed(p):
+                    node.size += p.size
             else:
                 content.append(_SPACE.sub(" ", p).strip())
+                node.size += len(content[-1])
         node.code = xxhash.xxh3_64_intdigest("\x00".join(content).encode("utf-8", "replace")) >> 1
     return order
 
 
+def _listed(node: Node) -> bool:
+    return node.tag in _GONE or node.noise
+
+
 def subtrees(page: str) -> set[int]:
     """Hashes of the page's element subtrees below the body."""
     return {n.code for n in _finish(parse(page)) if n.tag in _BLOCK and n.tag not in ("html", "body", "main", "article") and n.parts}
 
 
-def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
+def main_text(page: str, strong: frozenset[int] = frozenset(), weak: frozenset[int] = frozenset()) -> str:
     root = parse(page)
     order = _finish(root)
     roots = []
 
-    def gone(node: Node, inside: bool) -> bool:
-        return (node.tag in _GONE or node.noise
-                or node.code in template and node.tag in _BLOCK and node.tag not in ("html", "body", "main", "article") and not (inside and node.textual))
+    def gone(node: Node, inside: bool, size: int) -> bool:
+        if _listed(node):
+            return True
+        often = node.code in strong
+        if not often and node.code not in weak or node.tag not in _BLOCK or node.tag in ("html", "body", "main", "article"):
+            return False
+        if often and not (inside and node.textual):
+            return True
+        return node.tag not in _PASSAGES and 2 * node.size <= size
 
     def find(tag: str) -> None:
         todo = [root]
@@ -157,7 +174,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
             node = todo.pop()
             if node.tag == tag:
                 roots.append(node)
-            elif not (node.tag in _GONE or node.noise):
+            elif not _listed(node):
                 todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
 
     for tag in ("main", "article"):
@@ -180,7 +197,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
                 end_block()
             elif isinstance(item, str):
                 line.append(entities.unescape(item))
-            elif not gone(item, inside):
+            elif not gone(item, inside, start.size):
                 if item.tag in ("br", "td", "th"):
                     line.append(" ")
                 block = item.tag in _BLOCK and item.tag not in ("td", "th")
@@ -210,27 +227,35 @@ def page_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             yield record_batch(schema, host=hosts, code=codes)
 
     counts = saved(rows.select("host", "html").mapInArrow(elements, "host long, code long").groupBy("host", "code").agg(F.count("*").alias("n"))
-                   .where((F.col("n") >= MIN_PAGES) | (F.col("code") == -1)), "subtrees")
+                   .where((F.col("n") >= FEW_PAGES) | (F.col("code") == -1)), "subtrees")
     sites = counts.where("code = -1").select("host", F.col("n").alias("n_pages"))
     slice_size = max(1.0, (sites.agg(F.sum("n_pages")).first()[0] or 0) / SLICES)
     # SLICES rows at most, 16 bytes each, whatever the input.
     busy = F.broadcast(sites.where(F.col("n_pages") > slice_size).select("host", F.ceil(F.col("n_pages") / slice_size).alias("slices")))
-    parts = (counts.where("code <> -1").join(sites, "host").where((F.col("n") >= MIN_PAGES) & (F.col("n") >= SHARE * F.col("n_pages")))
-             .groupBy("host").agg(F.collect_list("code").alias("parts"))
+    often = (F.col("n") >= MIN_PAGES) & (F.col("n") >= SHARE * F.col("n_pages"))
+    parts = (counts.where("code <> -1").join(sites, "host").where(often | (F.col("n") >= F.sqrt("n_pages")))
+             .groupBy("host").agg(F.collect_list(F.when(often, F.col("code"))).alias("strong"), F.collect_list(F.when(~often, F.col("code"))).alias("weak"))
              .join(busy, "host", "left").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("slices", F.lit(1)) - 1))).drop("slices"))
     dealt = (rows.withColumn("row", F.monotonically_increasing_id()).join(busy, "host", "left")
-             .withColumn("slice", F.pmod("row", F.coalesce("slices", F.lit(1)).cast("long"))))
+             .withColumn("slice", F.pmod("row", F.coalesce("slices", F.lit(1)).cast("long"))).drop("row", "slices"))
+    # A row of parts stands ahead of the pages it is for, so that no page carries a copy.
+    queue = (parts.withColumn("page", F.lit(False)).unionByName(dealt.withColumn("page", F.lit(True)), allowMissingColumns=True)
+             .repartition("host", "slice").sortWithinPartitions("host", "slice", "page"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("id long,url string,text string,n_chars long")
-        known: tuple = (None, frozenset())
+        at, strong, weak = None, frozenset(), frozenset()
         for batch in batches:
-            texts = []
-            for page, found in zip(batch.column("html").to_pylist(), batch.column("parts").to_pylist()):
-                if found != known[0]:
-                    known = (found, frozenset(found or ()))
-                texts.append(main_text(page, known[1]))
-            yield record_batch(schema, id=batch.column("id"), url=batch.column("url"), text=texts, n_chars=list(map(len, texts)))
-
-    return (dealt.join(parts, ["host", "slice"], "left").select("id", "url", "html", "parts")
-            .mapInArrow(extract, "id long, url string, text string, n_chars long").withColumnRenamed("id", id_col))
+            ids, urls, texts = [], [], []
+            for row in batch.to_pylist():
+                if (row["host"], row["slice"]) != at:
+                    at, strong, weak = (row["host"], row["slice"]), frozenset(), frozenset()
+                if not row["page"]:
+                    strong, weak = frozenset(row["strong"]), frozenset(row["weak"])
+                    continue
+                ids.append(row["id"])
+                urls.append(row["url"])
+                texts.append(main_text(row["html"], strong, weak))
+            yield record_batch(schema, id=ids, url=urls, text=texts, n_chars=list(map(len, texts)))
+
+    return queue.mapInArrow(extract, "id long, url string, text string, n_chars long").withColumnRenamed("id", id_col)
