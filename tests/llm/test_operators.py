@@ -402,3 +402,14 @@ def test_recurring_containers_inside_articles_go(spark):
     want = {i: text(i) + ("" if i % 11 == 0 else "\n\nQuoted by all") for i in range(200)}
     want |= {1000 + i: text(i) for i in range(4)} | {2000 + i: "The one text\n\nin copies" for i in range(20)}
     assert found == want | {3000 + i: f"Text of number {i}, long enough" for i in range(200)}
+
+
+def test_values_behind_other_credential_words():
+    ranks = {w: i for i, w in enumerate(("wonderful", "credentials", "password", "token", "authorization", "understanding"))}
+    found = lambda text: [text[s:e] for s, e, _ in guess_cost.scan(text, ranks)[1]]
+    key = "kX9$vLq2!mZr7"
+    for text in (f"login password: {key}", f"auth token: {key}", f"login password {key}", f"pwd          =          {key}",
+                 f"auth token={key} and no more", f"bearer is   credentials => '{key}'"):
+        assert found(text) == [key], text
+    assert found("pwd = pin=kX9$vLq2") == ["kX9$vLq2"] and found("pwd: pin=kX9$!") == ["pin=kX9$!"]
+    assert len(found("token=" * 50_000 + key)) == 1 and found("pwd" + " " * 200_000) == []

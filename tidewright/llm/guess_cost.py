@@ -6,7 +6,7 @@ the value into segments, of the segments' guess counts (log10): a word by its ra
 among common passwords, with capitals and look-alike digits; a date or year; a repeated unit; an
 alphabetic or numeric sequence; a walk over neighbouring keys; or a brute-force stretch by the size
 of its alphabet. Dynamic programming over the end position finds the minimum. ``password =
-summer2020`` is cheap and stays unflagged by the method; a generated token is not.
+summer2020`` is cheap and stays unflagged by the method; a generated token is not. A value that is itself a credential word with a separator gives way to its own value.
 
 Word ranks come from the whole corpus: all documents are counted, the ``RANKED`` most frequent words
 are kept as the dictionary (a fixed size, whatever the input). Null text is empty. Whole texts and
@@ -40,9 +40,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGN_HINTS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 #: Credential contexts of the method: wider than the base pattern.
+_VALUE = r"[^\s\"'`,;<>()\[\]{}]"
+#: Ends where the value starts; the group is the separator, none for a blank or " is ".
 CONTEXT = re.compile(
     r"(?:pass(?:word|wd|phrase|code|key)?|pwd|pin|secret|token|(?:api|access|private|secret|auth)[_ -]?key|auth(?:orization)?|bearer|"
-    r"credentials?|login|client[_ -]?secret)[\"']?(?:\x20{0,4}(?::=|=>|[:=])\x20{0,4}|\x20+is\x20+|\x20+)[\"'`]?([^\s\"'`,;<>()\[\]{}]{6,})", re.I | re.A)
+    r"credentials?|login|client[_ -]?secret)[\"']?(?:\x20*(:=|=>|[:=])\x20*|\x20+is\x20+|\x20+)[\"'`]?(?=" + _VALUE + "{6})", re.I | re.A)
+VALUE = re.compile(_VALUE + "+")
 _CONTEXT_HINTS = (b"pass", b"pwd", b"pin", b"secret", b"token", b"key", b"auth", b"bearer", b"credential", b"login")
 
 # Frequent passwords, most frequent first.
@@ -146,10 +149,19 @@ def scan(text: str, ranks: dict[str, int]) -> tuple[list[tuple[int, int, int]],
         base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if any(h in raw for h in _CONTEXT_HINTS):
+        end = 0
         for m in CONTEXT.finditer(text):
-            cost = _cached(m[1], ranks)
+            start = m.end()
+            if start < end:  # inside a value that was measured as a whole
+                continue
+            within = CONTEXT.match(text, start)
+            if within and within[1]:
+                continue
+            end = VALUE.match(text, start).end()
+            value = text[start:end]
+            cost = _cached(value, ranks)
             if cost >= COSTLY:
-                guesses.append((m.start(1), m.end(1), cost))
+                guesses.append((start, end, cost))
     return sorted(base), guesses
 
 
