@@ -404,12 +404,16 @@ def test_recurring_containers_inside_articles_go(spark):
     assert found == want | {3000 + i: f"Text of number {i}, long enough" for i in range(200)}
 
 
-def test_values_behind_other_credential_words():
+def test_values_of_letters_and_values_behind_other_credential_words():
     ranks = {w: i for i, w in enumerate(("wonderful", "credentials", "password", "token", "authorization", "understanding"))}
     found = lambda text: [text[s:e] for s, e, _ in guess_cost.scan(text, ranks)[1]]
-    key = "kX9$vLq2!mZr7"
+    key, letters = "kX9$vLq2!mZr7", "qzxvkwjhbpdlmnrt"
+    for text in (f"passphrase: {letters}", f"bearer {letters}", f"pwd = {letters}", f"the pin is {letters.capitalize()}"):
+        assert [v.lower() for v in found(text)] == [letters], text
     for text in (f"login password: {key}", f"auth token: {key}", f"login password {key}", f"pwd          =          {key}",
                  f"auth token={key} and no more", f"bearer is   credentials => '{key}'"):
         assert found(text) == [key], text
     assert found("pwd = pin=kX9$vLq2") == ["kX9$vLq2"] and found("pwd: pin=kX9$!") == ["pin=kX9$!"]
+    for text in ("login wonderful.", "bearer understanding", "password: wonderful", "token authorization: wonderful", "a login Zugangsdat "):
+        assert found(text) == [], text
     assert len(found("token=" * 50_000 + key)) == 1 and found("pwd" + " " * 200_000) == []

@@ -6,7 +6,9 @@ the value into segments, of the segments' guess counts (log10): a word by its ra
 among common passwords, with capitals and look-alike digits; a date or year; a repeated unit; an
 alphabetic or numeric sequence; a walk over neighbouring keys; or a brute-force stretch by the size
 of its alphabet. Dynamic programming over the end position finds the minimum. ``password =
-summer2020`` is cheap and stays unflagged by the method; a generated token is not. A value that is itself a credential word with a separator gives way to its own value.
+summer2020`` is cheap and stays unflagged by the method; a generated token is not. Values of letters only
+are measured like all others; after a mere blank or ``is``, where ordinary words follow, they count from
+``COSTLY_WORD``. A value that is itself a credential word with a separator gives way to its own value.
 
 Word ranks come from the whole corpus: all documents are counted, the ``RANKED`` most frequent words
 are kept as the dictionary (a fixed size, whatever the input). Null text is empty. Whole texts and
@@ -29,6 +31,8 @@ from tidewright.llm.tokens import Tokens, pieces
 RANKED, RANK_PARTS = 20_000, 8
 #: log10 of guesses from which a value counts as a secret.
 COSTLY = 10.0
+#: The same for letters only after a blank or " is ": above an unknown word of 11 letters.
+COSTLY_WORD = 16.0
 LONGEST_WORD, LONGEST_REPEAT = 24, 12
 #: A walk or sequence may end at any of its first characters up to this many, or where it ends by itself.
 INNER_ENDS = 64
@@ -160,7 +164,7 @@ def scan(text: str, ranks: dict[str, int]) -> tuple[list[tuple[int, int, int]],
             end = VALUE.match(text, start).end()
             value = text[start:end]
             cost = _cached(value, ranks)
-            if cost >= COSTLY:
+            if cost >= (COSTLY_WORD if m[1] is None and _wordlike(value) else COSTLY):
                 guesses.append((start, end, cost))
     return sorted(base), guesses
 
@@ -168,13 +172,21 @@ def scan(text: str, ranks: dict[str, int]) -> tuple[list[tuple[int, int, int]],
 _COSTS: dict[str, float] = {}
 
 
+def _wordlike(value: str) -> str:
+    """The letters of a value of letters only, the first perhaps a capital, without marks at the end; else empty."""
+    bare = value.rstrip(".!?:")
+    return bare if bare.isalpha() and bare[1:] == bare[1:].lower() else ""
+
+
 def _cached(value: str, ranks: dict[str, int]) -> float:
     if value not in _COSTS:
         if len(_COSTS) > 50_000:
             _COSTS.clear()
-        # Words alone are no secret: only letters, marks at the end.
-        bare = value.rstrip(".!?:")
-        _COSTS[value] = 0.0 if not bare or bare.isalpha() and bare[1:] == bare[1:].lower() else guess_cost(value, ranks)
+        word = _wordlike(value)
+        if word:  # a capital at the start of a word doubles the guesses once
+            _COSTS[value] = guess_cost(word.lower(), ranks) + (0.0 if word[0].islower() else math.log10(2))
+        else:
+            _COSTS[value] = guess_cost(value, ranks) if value.rstrip(".!?:") else 0.0
     return _COSTS[value]
 
 
