@@ -417,3 +417,25 @@ def test_values_of_letters_and_values_behind_other_credential_words():
     for text in ("login wonderful.", "bearer understanding", "password: wonderful", "token authorization: wonderful", "a login Zugangsdat "):
         assert found(text) == [], text
     assert len(found("token=" * 50_000 + key)) == 1 and found("pwd" + " " * 200_000) == []
+
+
+def test_packing_routes_remainders_to_tiers():
+    sequences = packing.pack([300, 212] * 4 + [600, 424, 1100, 52])
+    sizes = Counter(sum(p[2] for p in s) for s in sequences)
+    assert sizes == {1024: 2, 512: 4, 128: 1} and all(len(s) <= 2 for s in sequences)
+    assert sum(len(s) for s in sequences) == 13  # only the document of 1,100 is cut
+
+
+def test_packing_balances_steps_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "STEP_TOKENS", 4096)
+    rng = random.Random(8)
+    made = [(i, " ".join(rng.choice(("one", "two", "three")) for _ in range(rng.randint(1, 900)))) for i in range(400)]
+    frame = spark.createDataFrame(made, "doc_id long, text string").repartition(7)
+    groups, tiers = defaultdict(int), defaultdict(set)
+    for p in packing.pack_documents(frame, tokenizer_path()).collect():
+        groups[p.tier, p.step_group] += p.length
+        tiers[p.step_group].add(p.tier)
+    assert all(len(t) == 1 for t in tiers.values()) and len({t for t, _ in groups}) > 4
+    for tier in {t for t, _ in groups}:
+        weights = [groups[k] for k in sorted(groups) if k[0] == tier]
+        assert set(weights[:-1]) <= {4096} and weights[-1] <= 4096

@@ -1,14 +1,16 @@
 """Hierarchical multi-length packing into fixed token windows.
 
 Each document becomes its ids plus an end id. Whole windows are cut off first. What is left is
-routed to a tier by length: (512, 1024], (256, 512], ... for a window of 1024. The longest tier opens
-windows; the gap behind a document is filled with the longest remainder from the shorter tiers that
-fits, and at last by cutting one. When a pool of documents runs out, its open tokens are laid out as
-sequences whose lengths are powers of two, which need no padding. Sequences of a tier are dealt into
-steps of equal token counts, so a step group holds one length only and all groups weigh the same.
-
-The packing needs no shuffle: a pool is a bounded run of documents in one task, and a pool leaves no
-padding, so merging pools could not save any. Ids come from the vocabulary file of the tokenizer,
+routed to a tier by length: (512, 1024], (256, 512], ... for a window of 1024. Every tier opens windows of
+its own size, longest tier first; the gap behind a document is filled with the longest remainder from the
+shorter tiers that fits, and at last by cutting the shortest one, whose rest is routed again. When a pool of
+documents runs out, its open tokens are laid out as sequences whose lengths are powers of two, which need no
+padding. Sequences of a tier are numbered over all tasks and dealt into steps of ``STEP_TOKENS``, so a step
+group holds one length only and all groups weigh the same, but for the last one of each tier.
+
+The packing moves no text: a pool is a bounded run of documents in one task, and a pool leaves no
+padding, so merging pools could not save any. The pieces are saved once, as the numbers need the sequences
+of every task and tier counted. Ids come from the vocabulary file of the tokenizer,
 whose path is a parameter; pieces between spaces are encoded once and kept, as the tokenizer never
 joins across them. Text of special tokens counts as ordinary text.
 
@@ -22,13 +24,14 @@ import json
 import re
 import zlib
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, small_batches
+from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches
 
 WINDOW, END = 1024, 0
 #: Tokens of a pool (4 bytes each), documents of a pool, tokens of a step group, kept encodings.
@@ -103,7 +106,8 @@ def pack(lengths: list[int], window: int = WINDOW) -> list[list[tuple[int, int,
     left.sort()
     while left:
         length, i, start = left.pop()
-        sequence, gap = [(-i, start, length)], window - length
+        tier = min(window, 1 << (length - 1).bit_length())
+        sequence, gap = [(-i, start, length)], tier - length
         while gap and left:
             at = bisect_right(left, (gap, 1, 0)) - 1
             if at >= 0:
@@ -118,16 +122,16 @@ def pack(lengths: list[int], window: int = WINDOW) -> list[list[tuple[int, int,
         if not gap:
             sequences.append(sequence)
         else:  # the pool is used up: powers of two, largest first
-            size, room, tier = window - gap, 0, []
+            size, room, part = tier - gap, 0, []
             for i, start, length in sequence:
                 while length:
                     if not room:
                         room = 1 << (size.bit_length() - 1)
                         size -= room
-                        tier = []
-                        sequences.append(tier)
+                        part = []
+                        sequences.append(part)
                     take = min(room, length)
-                    tier.append((i, start, take))
+                    part.append((i, start, take))
                     start, length, room = start + take, length - take, room - take
     return sequences
 
@@ -136,13 +140,11 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                    with_ids: bool = False) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group and, with_ids, ids."""
     fields = ("id long,start long,length long,ids_crc32 long,doc_tokens long,sequence_id long,offset long,"
-              "tier int,step_group long,ids binary")
+              "tier int,task long,place long,ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, coder, end = arrow_schema(fields), encoder(path), END.to_bytes(4, "little")
-        base = TaskContext.get().partitionId() << 40
-        dealt = {1 << b: [0, 0] for b in range(window.bit_length())}
-        dealt.setdefault(window, [0, 0])
+        task, places = TaskContext.get().partitionId(), defaultdict(int)
         pool, tokens, made = [], 0, 0
 
         def flush():
@@ -150,14 +152,12 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             rows = []
             for pieces in pack([len(ids) // 4 for _, ids in pool], window):
                 tier, offset = sum(p[2] for p in pieces), 0
-                steps = dealt[tier]
-                group = base + (tier.bit_length() << 34) + steps[0] * tier // STEP_TOKENS
-                steps[0] += 1
                 for i, start, length in pieces:
                     ids = pool[i][1][4 * start:4 * (start + length)]
-                    rows.append((pool[i][0], start, length, zlib.crc32(ids), len(pool[i][1]) // 4, base + made, offset, tier, group,
-                                 ids if with_ids else None))
+                    rows.append((pool[i][0], start, length, zlib.crc32(ids), len(pool[i][1]) // 4, (task << 40) + made, offset, tier, task,
+                                 places[tier], ids if with_ids else None))
                     offset += length
+                places[tier] += 1
                 made += 1
             columns = list(zip(*rows)) or [[]] * len(schema)
             return record_batch(schema, **dict(zip(schema.names, map(list, columns))))
@@ -173,5 +173,12 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             yield flush()
 
     texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    packed = texts.mapInArrow(run, fields.replace(",", ", ")).withColumnRenamed("id", id_col)
-    return packed if with_ids else packed.drop("ids")
+    packed = saved(texts.mapInArrow(run, fields.replace(",", ", ")), "packed")
+    # One row a task and tier: the number of its first sequence among all of the tier.
+    before = Window.partitionBy("tier").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    first = (packed.groupBy("task", "tier").agg((F.max("place") + 1).alias("n"))
+             .select("task", "tier", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
+    step = (F.shiftleft(F.col("tier").cast("long"), 44) + F.floor((F.col("first") + F.col("place")) * F.col("tier") / STEP_TOKENS)).alias("step_group")
+    columns = [c.split()[0] for c in fields.split(",") if c.split()[0] not in ("task", "place", "ids")]
+    numbered = packed.join(first, ["task", "tier"]).select(*columns, step, *["ids"] * with_ids)
+    return numbered.withColumnRenamed("id", id_col)
