@@ -439,3 +439,19 @@ def test_packing_balances_steps_over_tasks(spark, monkeypatch):
     for tier in {t for t, _ in groups}:
         weights = [groups[k] for k in sorted(groups) if k[0] == tier]
         assert set(weights[:-1]) <= {4096} and weights[-1] <= 4096
+
+
+def test_toxicity_model_keeps_rare_words_and_counts_other_stems(spark):
+    from tidewright.llm import toxicity as module
+
+    texts = [(0, b"alpha beta alpha beta alpha beta"), (1, b"alpha zqonce beta"), (2, b"unlabelled other words words")]
+    frame = spark.createDataFrame(texts, "id long, text binary")
+    models = module.fit(frame, spark.createDataFrame([(0, 0), (1, 1)], "id long, y int"))
+    words = module.Tokens([b"alpha beta zqonce"]).words()
+    assert set(words) | {0} == set(models.words.tolist())  # zqonce has one left neighbour
+    at = module.lookup(models.words, words)
+    assert models.total[at].min(axis=0).tolist() == [0, 0] and (models.total[at].sum(axis=1) > 0).tolist() == [True, True, True]
+    assert models.total[module.lookup(models.words, np.zeros(1, np.uint64))].tolist() == [[1, 1]]
+    # Sampled stems: alph 4, beta 4, zqon 1, plus one each; other stems: 3 with 4 words, plus one each, plus one unseen.
+    back = 0.75 * np.array([2, 3]) / np.array([3, 3])
+    assert models.p_new[-1] == pytest.approx(back * (4 + 3 + 1) / 4 / (9 + 3 + 4 + 3 + 1))

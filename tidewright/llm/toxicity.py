@@ -4,14 +4,15 @@ The score compares the log-likelihoods of a text under a toxic and an ordinary w
 each divided by the number of words. A bigram backs off to the word by its number of distinct left
 neighbours, a word to its stem (first ``STEM`` bytes), and a stem to its share in the whole corpus:
 these last counts cover every document, labelled or not, and are shared by both models, so a rare
-expression weighs the same on both sides unless its relatives tell.
+expression weighs the same on both sides unless its relatives tell. Stems that the sample lacks are
+counted with all they hold and stand as one row of their mean share.
 
 Class counts come from labelled rows of the caller's training set, at most ``MOST_A_CLASS`` of each
 class (chosen by a hash of the id); a further part of those rows, held out from the counts, sets the
 logistic curve that turns the length-normalised difference into a score. Labels, language, source
-and id are never inputs of a score. Bigrams seen fewer than ``LEAST_BIGRAM`` times in a class leave
-their mass to the word model, and words with fewer than ``LEAST_WORD`` left neighbours in the sample
-leave theirs to the stems, which keeps the model small enough for every task to hold.
+and id are never inputs of a score. Every sampled word is kept, as a word and as a context. Bigrams seen
+fewer than ``LEAST_BIGRAM`` times in a class leave their mass to the word model, which keeps the model
+small enough for every task to hold.
 
 Null text is empty. Empty texts get the curve's value at 0 difference. Without any labelled row of
 one of the classes every score is the share of toxic rows (0 without labels). Repeated rows are
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches, utf8
 from tidewright.llm.tokens import Tokens, logistic, lookup, mix, pieces
 
-STEM, LEAST_BIGRAM, LEAST_WORD, DISCOUNT = 4, 3, 2, 0.75
+STEM, LEAST_BIGRAM, DISCOUNT = 4, 3, 0.75
 MOST_A_CLASS = 12_000
 #: Of the sampled rows one in this many sets the curve; the rest is counted.
 CURVE = 4
@@ -51,15 +52,16 @@ def bounded_sample(labels: DataFrame, label: str, most: int, id_col: str = "doc_
 class Models:
     """Both models as sorted arrays; class 0 ordinary, class 1 toxic."""
 
-    def __init__(self, words, cont, total, kept, pairs, pair_counts, stems, stem_cont, stem_types, stem_shared):
+    def __init__(self, words, cont, total, kept, pairs, pair_counts, stems, stem_cont, stem_types, stem_shared, other_stems, other_shared):
         def rows(x):  # one more row stands for what the sample lacks
             return np.vstack([x, np.zeros(2)]).astype(np.float32)
 
         self.words, self.pairs, self.stems = words, pairs, stems
         self.pair_counts, self.total, self.kept = rows(pair_counts), rows(total), rows(kept)
         n = np.maximum(stem_cont.sum(axis=0), 1.0)
-        shared = np.append(stem_shared + 1.0, 1.0)
-        shared /= shared.sum()
+        # The row of other stems: their mean, and one more for a stem that no document has.
+        shared = np.append(stem_shared + 1.0, (other_shared + other_stems + 1.0) / (other_stems + 1.0))
+        shared /= shared[:-1].sum() + other_shared + other_stems + 1.0
         back = DISCOUNT * (stem_cont > 0).sum(axis=0) / n
         p_stem = np.vstack([np.maximum(stem_cont - DISCOUNT, 0) / n, np.zeros(2)]) + back * shared[:, None]
         self.p_new = (p_stem / np.append(stem_types + 1.0, 1.0)[:, None]).astype(np.float32)
@@ -127,28 +129,29 @@ def fit(texts: DataFrame, sample: DataFrame) -> Models:
     by_class = lambda value: [F.sum(F.when(F.col("y") == c, value).otherwise(0)).cast("double").alias(f"c{c}") for c in (0, 1)]
     columns = lambda table, *names: np.column_stack([table.column(n).to_numpy() for n in names])
     by_word = saved(pairs.groupBy("word").agg(F.first("stem").alias("stem"), *by_class(F.lit(1))), "words")
-    common = by_word.where(F.col("c0") + F.col("c1") >= LEAST_WORD)
-    words = common.drop("stem").toArrow()
+    words = by_word.drop("stem").toArrow()
     kept_mass = F.when(F.col("n") >= LEAST_BIGRAM, F.col("n") - DISCOUNT).otherwise(0)
-    contexts = (pairs.groupBy("prev").agg(*by_class(F.col("n")), *[x.alias(f"k{i}") for i, x in enumerate(by_class(kept_mass))])
-                .join(common.select(F.col("word").alias("prev")), "prev", "left_semi").toArrow())
+    contexts = pairs.groupBy("prev").agg(*by_class(F.col("n")), *[x.alias(f"k{i}") for i, x in enumerate(by_class(kept_mass))]).toArrow()
     frequent = pairs.where(F.col("n") >= LEAST_BIGRAM).groupBy("prev", "word").agg(*by_class(F.col("n"))).toArrow()
-    # The whole corpus is counted; of its stems the model needs those that the sample has.
+    # The whole corpus is counted; the stems that the sample lacks reach the model as their number and sum.
     sampled = by_word.groupBy("stem").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"), F.count("*").cast("double").alias("types"))
-    shared = (texts.select("text").mapInArrow(count_stems, "stem long, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-              .join(sampled, "stem").toArrow())
+    corpus = saved(texts.select("text").mapInArrow(count_stems, "stem long, n long").groupBy("stem").agg(F.sum("n").alias("n")), "stems")
+    shared = corpus.join(sampled, "stem").toArrow()
+    n_stems, n_words = corpus.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     codes = lambda table, name: table.column(name).to_numpy().view(np.uint64)
-    key, stems = codes(words, "word"), codes(shared, "stem")
+    # 0 is the context at the start of a text and no word.
+    key, stems = np.append(codes(words, "word"), np.uint64(0)), codes(shared, "stem")
     order, by_stem = np.argsort(key), np.argsort(stems)
-    key, cont = key[order], columns(words, "c0", "c1")[order]
+    key, cont = key[order], np.vstack([columns(words, "c0", "c1"), np.zeros(2)])[order]
     total, kept = np.zeros((len(key), 2)), np.zeros((len(key), 2))
     at = lookup(key, codes(contexts, "prev"))
     total[at], kept[at] = columns(contexts, "c0", "c1"), columns(contexts, "k0", "k1")
     pair = _pair(codes(frequent, "prev"), codes(frequent, "word"))
     by_pair = np.argsort(pair)
     return Models(key, cont, total, kept, pair[by_pair], columns(frequent, "c0", "c1")[by_pair], stems[by_stem],
-                  columns(shared, "c0", "c1")[by_stem], shared.column("types").to_numpy()[by_stem], columns(shared, "n")[by_stem, 0].astype(float))
+                  columns(shared, "c0", "c1")[by_stem], shared.column("types").to_numpy()[by_stem], columns(shared, "n")[by_stem, 0].astype(float),
+                  float(n_stems - len(stems)), float(n_words - shared.column("n").to_numpy().sum()))
 
 
 def toxicity_scorer(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
