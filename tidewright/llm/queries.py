@@ -12,9 +12,13 @@ from tidewright.llm.line_quality import line_quality
 from tidewright.llm.mixing import mix
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.page_text import page_text
+from tidewright.llm.parity_join import parity_join
+from tidewright.llm.prefix_trie import prefix_trie
 from tidewright.llm.simhash import simhash_components
+from tidewright.llm.structure_repair import repair
 from tidewright.llm.super_kmers import substring_dedup
 from tidewright.llm.toxicity import toxicity
+from tidewright.llm.twins import PARITY_JOIN, PREFIX_TRIE, STRUCTURE_REPAIR
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,11 +81,26 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join(table(spark, sf_dir, "documents"))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_toxicity, op3_page_text, op4_exact_dedup, op5_packing, op6_mixing, op7_guess_cost,
-    op8_super_kmers, op9_simhash, op10_line_quality)}
+    op8_super_kmers, op9_simhash, op10_line_quality, op11_parity_join, op12_structure_repair, op13_prefix_trie)}
 
 ORACLES = {
+    "op11_parity_join": PARITY_JOIN,
+    "op12_structure_repair": STRUCTURE_REPAIR,
+    "op13_prefix_trie": PREFIX_TRIE,
     "op1_exact_topk": r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
