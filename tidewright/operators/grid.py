@@ -187,6 +187,19 @@ def interpolate_onto(
     return filled.drop("__pos")
 
 
+def known_points(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str]) -> DataFrame:
+    """(keys, ts, __c, __v): the non-null values of all columns as rows; ``__c`` is the place in ``columns``."""
+    points = F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c).cast("double").alias("__v")) for i, c in enumerate(columns)])
+    return df.select(*keys, ts, F.inline(points)).filter(F.col("__v").isNotNull())
+
+
+def with_points(df: DataFrame, points: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], value: str) -> DataFrame:
+    """``df`` with the column ``value`` of :func:`known_points` rows as ``__p0``, ``__p1``, ..., one a column."""
+    wide = points.groupBy(*keys, ts).agg(
+        *[F.first(F.when(F.col("__c") == i, F.col(value)), ignorenulls=True).alias(f"__p{i}") for i in range(len(columns))])
+    return attach(df, wide, [*keys, ts])
+
+
 def interpolate_local(
     grid: DataFrame,
     keys: Sequence[str],
@@ -195,61 +208,57 @@ def interpolate_local(
     step_seconds: int,
     order: int = 3,
     digits: int | None = 4,
+    buckets: FixedBuckets | CutBuckets | None = None,
 ) -> DataFrame:
     """Quadratic (``order=2``) or cubic (``order=3``) fill through nearby known points.
 
     Uses the two known points before the gap and one (quadratic) or two (cubic)
     after it, weighted by Lagrange polynomials in time. With fewer neighbours the
-    fill is linear, at the edges the nearest value is extended.
+    fill is linear, at the edges the nearest value is extended. All columns share the
+    same shuffles: known points are rows of (series, column) until each has its neighbours.
     """
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
-    out = grid
-    for c in columns:
-        out = _local_fill(out, keys, ts, c, step_seconds, order, digits)
-    return out.select(*grid.columns)
-
-
-def _local_fill(df, keys, ts, c, step_seconds, order, digits):
+    if buckets is None:
+        buckets = grid_buckets(step_seconds)
     # The known points alone carry their own neighbour before and after, so one
     # look-back and one look-ahead per grid row reach two points on each side.
-    buckets = grid_buckets(step_seconds)
-    known = df.filter(F.col(c).isNotNull()).select(*keys, ts, F.col(c).cast("double").alias("v"))
-    linked = previous_and_next(known, keys, ts, ["v"], buckets)
-    chain = F.struct("prev", F.struct(ts, "v").alias("here"), "next").alias("__chain")
-    tagged = attach(df, linked.select(*keys, ts, chain), [*keys, ts])
-    near = nearest_known(tagged, keys, ts, ["__chain"], buckets, instants=False)
-    p1, p0 = F.col("__chain__pv.prev"), F.col("__chain__pv.here")
-    n0, n1 = F.col("__chain__nv.here"), F.col("__chain__nv.next")
-
+    known = known_points(grid, keys, ts, columns)
+    linked = previous_and_next(known, [*keys, "__c"], ts, ["__v"], buckets)
+    linked = linked.withColumn("__chain", F.struct("prev", F.struct(ts, "__v").alias("here"), "next"))
+    tagged = with_points(grid, linked, keys, ts, columns, "__chain")
+    near = nearest_known(tagged, keys, ts, [f"__p{i}" for i in range(len(columns))], buckets, instants=False)
     x = seconds(F.col(ts)).cast("double")
 
     def lagrange(points):
         xs = [seconds(p[ts]).cast("double") for p in points]
         total = F.lit(0.0)
         for i, p in enumerate(points):
-            weight = p["v"]
+            weight = p["__v"]
             for j in range(len(points)):
                 if j != i:
                     weight = weight * (x - xs[j]) / (xs[i] - xs[j])
             total = total + weight
         return total
 
-    curve = [p1, p0, n0] if order == 2 else [p1, p0, n0, n1]
-    enough = p1.isNotNull() & n0.isNotNull()
-    if order == 3:
-        enough = enough & n1.isNotNull()
-    value = (
-        F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-        .when(p0.isNull(), n0["v"])
-        .when(n0.isNull(), p0["v"])
-        .when(enough, lagrange(curve))
-        .otherwise(lagrange([p0, n0]))
-    )
-    if digits is not None:
-        value = F.round(value, digits)
-    rest = [k for k in df.columns if k != c]
-    return near.select(*rest, value.alias(c))
+    def filled(i: int, c: str) -> Column:
+        p1, p0 = F.col(f"__p{i}__pv.prev"), F.col(f"__p{i}__pv.here")
+        n0, n1 = F.col(f"__p{i}__nv.here"), F.col(f"__p{i}__nv.next")
+        curve = [p1, p0, n0] if order == 2 else [p1, p0, n0, n1]
+        enough = p1.isNotNull() & n0.isNotNull()
+        if order == 3:
+            enough = enough & n1.isNotNull()
+        value = (
+            F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
+            .when(p0.isNull(), n0["__v"])
+            .when(n0.isNull(), p0["__v"])
+            .when(enough, lagrange(curve))
+            .otherwise(lagrange([p0, n0]))
+        )
+        return (value if digits is None else F.round(value, digits)).alias(c)
+
+    made = {c: filled(i, c) for i, c in enumerate(columns)}
+    return near.select(*[made.get(c, F.col(c)) for c in grid.columns])
 
 
 def fill_gaps(

@@ -115,6 +115,25 @@ def halo_window(
     return spread.filter(owned).drop(BUCKET)
 
 
+def halo_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    before: int,
+    after: int,
+    *stages: Callable[[Window], Sequence[Column]],
+    rows_per_bucket: int = GRID_STEPS_PER_BUCKET,
+) -> DataFrame:
+    """:func:`halo_window` over consecutive row numbers instead of grid steps; frames reach ``before`` / ``after`` rows."""
+    size = max(rows_per_bucket, before + after)
+    at = F.col(position)
+    spread = df.withColumn(BUCKET, F.explode(F.sequence(F.floor((at - after) / size), F.floor((at + before) / size))))
+    window = Window.partitionBy(*keys, BUCKET).orderBy(position)
+    for columns in stages:
+        spread = spread.select("*", *columns(window))
+    return spread.filter(F.col(BUCKET) == F.floor(at / size)).drop(BUCKET)
+
+
 def nearest_known(
     df: DataFrame,
     keys: Sequence[str],
