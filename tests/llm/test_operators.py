@@ -209,7 +209,6 @@ def test_packing_covers_every_id_once(docs, rows, nothing):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     pieces = packing.pack_documents(docs, tokenizer_path(), with_ids=True).collect()
     sequences = defaultdict(list)
     for p in pieces:
@@ -242,7 +241,6 @@ def test_encoder_equals_tokenizer_on_odd_white_space():
     from tokenizers import Tokenizer
 
     tokenizer, coder = Tokenizer.from_file(tokenizer_path()), packing.Encoder(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     rng = random.Random(9)
     for _ in range(600):
         text = "".join(rng.choice([" ", " ", "\n", "\t", "a", "Bc", "é", "1", "!", "'s", " ", "　", "日", "<|endoftext|>", "\x1c", "  "]) for _ in range(rng.randint(0, 14)))

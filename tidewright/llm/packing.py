@@ -12,7 +12,7 @@ The packing moves no text: a pool is a bounded run of documents in one task, and
 padding, so merging pools could not save any. The pieces are saved once, as the numbers need the sequences
 of every task and tier counted. Ids come from the vocabulary file of the tokenizer,
 whose path is a parameter; pieces between spaces are encoded once and kept, as the tokenizer never
-joins across them. Text of special tokens counts as ordinary text.
+joins across them. A text that spells a special token goes to the tokenizer whole, which gives it that token's id.
 
 Null text is empty and gives the end id only. Repeated rows are packed as separate documents. A
 document longer than a pool is a pool of its own. Extra columns are ignored.
@@ -26,6 +26,7 @@ import zlib
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,6 +37,8 @@ from tidewright.llm.common import arrow_schema, record_batch, saved, small_batch
 WINDOW, END = 1024, 0
 #: Tokens of a pool (4 bytes each), documents of a pool, tokens of a step group, kept encodings.
 POOL_TOKENS, POOL_DOCS, STEP_TOKENS, KEPT = 2 << 20, 4096, 1 << 16, 120_000
+#: Characters of a kept piece; with its ids one takes 400 bytes or less, so a task keeps under 50 MB.
+LONGEST_KEPT = 48
 
 #: A space inside a run of white space that is not the run's last: there pieces depend on each other.
 _ODD = re.compile(r"\s (?=\s|$)")
@@ -43,19 +46,17 @@ _ENCODERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit integers."""
+    """Ids of a text as little-endian unsigned 32-bit integers. The vocabulary stays with the worker; kept pieces go with their task."""
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters = {chr(c): b for b, c in _byte_letters().items()}
-        special = {t["content"] for t in spec.get("added_tokens", ())}
-        ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        self.special = tuple(t["content"] for t in spec.get("added_tokens", ()))
+        ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
         self.fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.kept: dict[str, bytes] = {}
@@ -66,15 +67,21 @@ class Encoder:
             # The two libraries give the same ids; their Unicode tables may differ beyond the Latin blocks.
             ids = self.fast.encode_ordinary(text) if text.isascii() or max(text) < "ɐ" else self._slow(text)
             found = b"".join([i.to_bytes(4, "little") for i in ids])
-            if len(self.kept) < KEPT:
+            if len(self.kept) < KEPT and len(text) <= LONGEST_KEPT:
                 self.kept[text] = found
         return found
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _slow(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> bytes:
-        if _ODD.search(text):
+        if any(token in text for token in self.special) or _ODD.search(text):
             return b"".join([i.to_bytes(4, "little") for i in self._slow(text)])
         get, piece = self.kept.get, self.piece
         first, *rest = text.split(" ")
@@ -171,6 +178,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                     pool, tokens = [], 0
         if pool:
             yield flush()
+        coder.kept.clear()
 
     texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     packed = saved(texts.mapInArrow(run, fields.replace(",", ", ")), "packed")
