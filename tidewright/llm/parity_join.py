@@ -167,28 +167,27 @@ def parity_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     classes = saved(rows.groupBy(*same).agg(F.min("id").alias("first")), "classes")
     firsts = classes.where((F.col("n") > 0) & F.col("first").isNotNull())
 
-    entries = (rows.join(firsts.select(*same, F.col("first").alias("id")), [*same, "id"], "left_semi")
-               .select("id", F.explode("blocks").alias("block")))
-    entries = saved(entries, "entries")
-    heads = entries.groupBy("block").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last").drop("last")
-    ties = entries.join(heads, "block").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    families = components(ties).withColumnsRenamed({"node": "id", "root": "family"})
+    # Families only decide who meets, so the first half of the key may stand for a set here; equal sets fold before the shuffle.
+    entries = rows.select("k", F.explode("blocks").alias("block"))
+    heads = saved(entries.groupBy("block").agg(F.min("k").alias("head"), F.max("k").alias("last")).where("head < last").select("block", "head"),
+                  "heads")
+    ties = entries.join(heads, "block").select(F.col("head").alias("a"), F.col("k").alias("b"))
+    families = components(ties).withColumnsRenamed({"node": "k", "root": "family"})
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "family", "tiles", "codes"]
         for batch in batches:
             found = [_codes(t, shingle) for t in batch.column("text").to_pylist()]
-            keys = list(zip(*map(set_keys, found))) or [[], []]
+            # Rows that share the id with other words belong to other sets.
+            same_set = pa.array([set_keys(f) == tuple(key) for f, *key in zip(found, *[batch.column(c).to_pylist() for c in "kl"])], pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("family"), batch.column("tiles"), pa.array(keys[0], pa.int64()), pa.array(keys[1], pa.int64()),
-                 pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))], names=["id", "family", "tiles", "k", "l", "codes"])
+                [*[batch.column(c) for c in names[:3]], pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
+                names=names).filter(same_set)
 
-    # Repeated rows and ids: one set per class and id.
-    known = firsts.select(F.col("first").alias("id"), *same)
-    members = saved(families.join(known.select("id", "n"), "id"), "families")
+    members = saved(families.join(firsts, "k").select(F.col("first").alias("id"), "n", "k", "l", "family"), "families")
     shares = members.groupBy("family").agg(F.ceil(F.sum("n") / tile).alias("tiles"))
-    members = members.select("id", "family").distinct().join(shares, "family")
-    bodies = (texts.join(members, "id").mapInArrow(sets, "id long, family long, tiles long, k long, l long, codes array<long>")
-              .join(known.select("id", "k", "l"), ["id", "k", "l"], "left_semi"))
+    members = saved(members.join(shares, "family").drop("n"), "members")
+    bodies = texts.join(members, "id").mapInArrow(sets, "id long, family long, tiles long, codes array<long>")
     mine, other = F.pmod(F.xxhash64("id"), "tiles"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     met = (bodies.select("id", "family", "codes", mine.alias("mine"), other.alias("other"))
            .select("id", "family", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "codes"))
