@@ -111,3 +111,18 @@ def test_conform_and_required_columns(spark):
     assert out.columns == ["c", "a"] and out.first().a == 7
     with pytest.raises(ValueError):
         shaping.require_columns(df, ["a", "zz"])
+
+
+def test_folds_take_one_shuffle_and_keep_null_keys_apart(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y"), (2, None)], "k int, a string")
+    b = spark.createDataFrame([(1, 1.0), (3, 3.0), (None, 9.0)], "k int, b double")
+    c = spark.createDataFrame([(3, True), (None, False)], "k int, c boolean")
+    folded = joins.outer_fold([a, b, c], "k")
+    want = [(1, "x", 1.0, None), (2, None, None, None), (3, None, 3.0, True), (None, "y", None, None), (None, None, 9.0, None), (None, None, None, False)]
+    assert sorted(map(tuple, folded.collect()), key=repr) == sorted(want, key=repr)
+    covered = joins.full_coverage_join([a, b, c], ["k"])
+    assert sorted(map(tuple, covered.collect())) == sorted((w for w in want if w[0]), key=lambda w: w[0])
+    for df in (folded, covered):
+        assert df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError):
+        joins.outer_fold([a, a], "k")

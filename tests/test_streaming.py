@@ -1,3 +1,4 @@
+import datetime as dt
 from datetime import datetime, timedelta
 
 import pytest
@@ -81,3 +82,55 @@ def test_aged_hours_need_three_hours(spark):
     stream = flows.event_time(spark.readStream.schema(SCHEMA).parquet(folder), "ts", "3 hours")
     out = flows.collected(spark, flows.old_enough(stream, ["k"], "ts", ["v"]), "aged")
     assert [r.bucket for r in out.orderBy("bucket").collect()] == [at(0), at(60)]
+
+
+def landing(spark, path, frames):
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def readings_of(spark, rows):
+    return spark.createDataFrame([(i, dt.datetime.fromisoformat(t), v) for i, t, v in rows], "event_id long, ts timestamp_ntz, value double")
+
+
+def test_late_and_repeated_rows_rebuild_only_their_days(spark, tmp_path):
+    first = [(1, "2024-01-01 00:10", 1.0), (2, "2024-01-02 05:00", 2.0), (3, "2024-01-04 09:00", 4.0)]
+    second = [(1, "2024-01-01 00:10", 1.0), (4, "2024-01-01 00:50", 3.0), (5, "2024-01-04 09:30", 6.0)]
+    stream = landing(spark, str(tmp_path / "in"), [readings_of(spark, first), readings_of(spark, second)])
+    out, days_built = str(tmp_path / "out"), []
+
+    def build(rows):
+        days_built.append(sorted(r.d for r in rows.selectExpr("CAST(CAST(ts AS date) AS string) AS d").distinct().collect()))
+        return rows.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("bucket")).agg(F.sum("value").alias("value"), F.count("*").alias("n"))
+
+    flows.rebuild_days(stream, out, f"{out}/state", ["event_id"], "ts", "bucket", build).awaitTermination()
+    got = {(str(r.bucket), r.value, r.n) for r in spark.read.parquet(f"{out}/days").collect()}
+    assert got == {("2024-01-01 00:00:00", 4.0, 2), ("2024-01-02 05:00:00", 2.0, 1), ("2024-01-04 09:00:00", 10.0, 2)}
+    assert days_built == [["2024-01-01", "2024-01-02", "2024-01-04"], ["2024-01-01", "2024-01-04"]]
+    assert [(r.batch, r.rows, r.late) for r in spark.read.parquet(f"{out}/log").orderBy("batch").collect()] == [(0, 3, 0), (1, 3, 2)]
+
+
+def test_gap_between_two_batches_is_filled(spark, tmp_path):
+    hours = [("2024-01-01 00:00", 3.0), ("2024-01-01 03:00", 4.0), ("2024-01-01 05:00", 1.0), ("2024-01-02 00:00", 1.0)]
+    frames = [readings_of(spark, [(i, t, v)]).drop("event_id") for i, (t, v) in enumerate(hours)]
+    out = str(tmp_path / "out")
+    flows.fill_aged_gaps(landing(spark, str(tmp_path / "in"), frames), out, f"{out}/state", [], "ts", ["value"]).awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows").orderBy("ts").collect()
+    assert [(r.ts.hour, round(r.value, 6), r.synthetic) for r in rows] == [
+        (0, 3.0, False), (1, round(12.5 ** 0.5, 6), True), (2, round(12.5 ** 0.5, 6), True), (3, 4.0, False), (5, 1.0, False), (0, 1.0, False)]
+
+
+def test_frozen_value_in_any_order_of_batches(spark, tmp_path):
+    target = dt.datetime(2024, 1, 1, 12)
+    runs = [(target, target - dt.timedelta(minutes=m), float(m)) for m in (149, 120, 95, 30, 400)]
+    ddl, finals = "target timestamp_ntz, run_at timestamp_ntz, value double", set()
+    for n, order in enumerate([(0, 1, 2, 3, 4), (4, 3, 2, 1, 0), (2, 0, 4, 1, 3)]):
+        frames = [spark.createDataFrame([runs[i]], ddl) for i in order]
+        path = str(tmp_path / str(n))
+        table = VersionedTable(spark, f"{path}/table")
+        table.publish(flows.empty_forecasts(spark, "target"))
+        stream = landing(spark, f"{path}/in", frames)
+        flows.freeze_forecasts(stream, table, "target", "value", "run_at", f"{path}/state").awaitTermination()
+        finals.add(tuple(table.read().first()))
+    assert finals == {(target, 30.0, 149.0, target - dt.timedelta(minutes=30), target - dt.timedelta(minutes=149))}

@@ -74,7 +74,7 @@ def interp_linear_unlimited(spark, sf):
 
 
 @query("interp_onto_instants", f"""WITH {R}, {_FIVE},
-i AS (SELECT DISTINCT source, ts_5min FROM five WHERE source IN ('click', 'view')),
+i AS (SELECT DISTINCT source, ts_5min FROM five),
 tide AS (SELECT source, time_bucket(INTERVAL 5 MINUTE, ts) AS ts_5min, avg(degrees) AS tide
          FROM r WHERE minute(ts) < 5 GROUP BY ALL),
 j AS (SELECT i.source, i.ts_5min, tide.tide AS v, row_number() OVER (PARTITION BY i.source ORDER BY i.ts_5min) AS x
@@ -87,7 +87,7 @@ k AS (SELECT *, last_value(v IGNORE NULLS) OVER p AS pv, first_value(v IGNORE NU
 SELECT source, ts_5min, round(CASE WHEN v IS NOT NULL THEN v WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv
   ELSE pv + (nv - pv) * (x - px) / (nx - px) END, 5) AS tide FROM k""")
 def interp_onto_instants(spark, sf):
-    instants = _five(spark, sf).filter(F.col("source").isin("click", "view")).select("source", "ts_5min")
+    instants = _five(spark, sf).select("source", "ts_5min")
     tide = (
         readings(spark, sf).filter(F.minute("ts") < 5)
         .groupBy("source", five_minute_key(F.col("ts")).alias("ts_5min")).agg(F.avg("degrees").alias("tide"))

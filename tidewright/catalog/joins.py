@@ -68,8 +68,8 @@ def master_5min_gated(spark, sf):
   FROM r WHERE source = 'click'),
 now AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ts_5min, arg_max(value, ts) AS now_value
         FROM r WHERE source = 'purchase' GROUP BY 1)
-SELECT event_id, ts_5min, value, now_value, error_value, view_value
-FROM fine LEFT JOIN now USING (ts_5min) LEFT JOIN error_h USING (ts_hour) LEFT JOIN view_h USING (ts_hour)""")
+SELECT event_id, ts_5min, value, now_value, error_value, signup_value, view_value
+FROM fine LEFT JOIN now USING (ts_5min) LEFT JOIN error_h USING (ts_hour) LEFT JOIN signup_h USING (ts_hour) LEFT JOIN view_h USING (ts_hour)""")
 def master_5min_mixed_keys(spark, sf):
     rows = readings(spark, sf)
     fine = rows.filter(F.col("source") == "click").select(
@@ -79,7 +79,7 @@ def master_5min_mixed_keys(spark, sf):
         F.max_by("value", "ts").alias("now_value")
     )
     bounded = _bounded(rows)
-    joined = ops.spine_join(fine.join(now, "ts_5min", "left"), [_source_hours(bounded, s) for s in ("error", "view")], "ts_hour")
+    joined = ops.spine_join(fine.join(now, "ts_5min", "left"), [_source_hours(bounded, s) for s in ("error", "signup", "view")], "ts_hour")
     return joined.drop("ts_hour")
 
 
@@ -107,12 +107,10 @@ def outer_fold(spark, sf):
 
 
 @query("key_union", f"""WITH {R}
-SELECT date_trunc('hour', ts) AS ts_hour FROM r WHERE source = 'click'
-UNION SELECT date_trunc('hour', ts) FROM r WHERE source = 'error'
-UNION SELECT date_trunc('hour', ts) FROM r WHERE source = 'view'""")
+{' UNION '.join(f"SELECT date_trunc('hour', ts) AS ts_hour FROM r WHERE source = '{s}'" for s in SOURCES)}""")
 def key_union(spark, sf):
     rows = readings(spark, sf).withColumn("ts_hour", hour_key(F.col("ts")))
-    return ops.key_union([rows.filter(F.col("source") == s) for s in ("click", "error", "view")], ["ts_hour"])
+    return ops.key_union([rows.filter(F.col("source") == s) for s in SOURCES], ["ts_hour"])
 
 
 @query("union_unlike", f"""WITH {R}

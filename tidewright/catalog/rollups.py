@@ -93,10 +93,10 @@ def latest_per_hour(spark, sf):
 
 @query("top2_per_key", f"""WITH {R}
 SELECT user_id, ts, source, value FROM r WHERE ts <= TIMESTAMP '2024-01-30 21:00:00'
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) <= 2""")
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 2""")
 def top2_per_key(spark, sf):
-    rows = readings(spark, sf).select("user_id", "ts", "source", "value")
-    return ops.latest_two_aged(rows, ["user_id"], "ts", instant("2024-01-31 00:00:00"))
+    rows = readings(spark, sf).select("event_id", "user_id", "ts", "source", "value")
+    return ops.latest_two_aged(rows, ["user_id"], "ts", instant("2024-01-31 00:00:00"), tie_break=["event_id"]).drop("event_id")
 
 
 @query("dedupe_key", f"""WITH {R}

@@ -22,6 +22,18 @@ def _stream(spark, sf, delay="24 hours"):
     return flows.event_time(_raw(spark, sf), "ts", delay)
 
 
+def _landed(spark, rows, parts, part):
+    """``rows`` as ``parts`` files that a stream reads one by one, in the order of ``part``."""
+    folder = scratch_path(spark, "landing")
+    for i in range(parts):
+        rows.filter(part == i).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events").select("event_id", "ts", F.col("event_type").alias("source"), "user_id", "value")
+
+
 # Append mode emits a window once the final watermark has passed its end.
 def _closed(end: str, delay: str) -> str:
     return f"{end} <= (SELECT date_trunc('millisecond', max(ts)) FROM r) - INTERVAL {delay}"
@@ -70,17 +82,19 @@ def stream_enrich(spark, sf):
     return shown(flows.collected(spark, out, "enrich"), ["view_value"])
 
 
-@query("stream_freeze", f"""WITH {R}, runs AS (
+_FROZEN = f"""WITH {R}, runs AS (
   SELECT date_trunc('hour', ts) + (event_id % 4) * INTERVAL 1 HOUR AS target, ts AS run_at, value FROM r),
 e AS (SELECT *, CASE WHEN trunc((epoch_us(target) - epoch_us(run_at)) / 60000000.0) BETWEEN 90 AND 150 THEN run_at END AS ok FROM runs)
 SELECT target, arg_max(value, run_at) AS dynamic, arg_min(value, ok) FILTER (WHERE ok IS NOT NULL) AS frozen,
-       max(run_at) AS updated_at FROM e GROUP BY target""")
-def stream_freeze(spark, sf):
+       max(run_at) AS updated_at, min(ok) AS frozen_at FROM e GROUP BY target"""
+
+
+def _freeze(spark, rows):
     path = scratch_path(spark, "freeze")
     target = VersionedTable(spark, f"{path}/table")
     target.publish(flows.empty_forecasts(spark, "target"))
     ahead = F.make_dt_interval(hours=(F.col("event_id") % 4).cast("int"))
-    runs = _stream(spark, sf).select(
+    runs = rows.select(
         (F.date_trunc("hour", "ts") + ahead).cast("timestamp_ntz").alias("target"),
         F.col("ts").cast("timestamp_ntz").alias("run_at"), "value",
     )
@@ -88,6 +102,49 @@ def stream_freeze(spark, sf):
     return target.read()
 
 
+@query("stream_freeze", _FROZEN)
+def stream_freeze(spark, sf):
+    return _freeze(spark, _stream(spark, sf))
+
+
+@query("stream_freeze_batches", _FROZEN)
+def stream_freeze_batches(spark, sf):
+    """The same runs in five batches, later ones first in each target: one final state."""
+    return _freeze(spark, _landed(spark, _events(spark, sf), 5, 4 - F.floor(F.minute("ts") / 12)))
+
+
+@query("stream_late_rows", f"""WITH {R}
+SELECT source, date_trunc('hour', ts) AS bucket, round(avg(value), 8) AS value, count(*) AS n FROM r GROUP BY ALL""")
+def stream_late_rows(spark, sf):
+    """Rows in five files out of order, a tenth of them twice; the table equals the batch build."""
+    events, path = _events(spark, sf), scratch_path(spark, "late")
+    slot = (4 - F.pmod("event_id", F.lit(5)))
+    again = events.filter("event_id % 10 = 0")
+    rows = events.withColumn("file", slot).unionByName(again.withColumn("file", F.pmod(slot + 2, F.lit(5))))
+    stream = _landed(spark, rows, 5, F.col("file")).drop("file")
+
+    def build(day):
+        bucket = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("bucket")
+        return day.groupBy("source", bucket).agg(F.avg("value").alias("value"), F.count("*").alias("n"))
+
+    flows.rebuild_days(stream, path, f"{path}/state", ["event_id"], "ts", "bucket", build).awaitTermination()
+    return shown(spark.read.parquet(f"{path}/days").drop("dt"), ["value"])
+
+
+@query("stream_gap_fill", f"""WITH {H}, c AS (SELECT source, ts_hour, value FROM h WHERE {_closed('ts_hour + INTERVAL 1 HOUR', '3 HOUR')}),
+p AS (SELECT source, ts_hour, value, lag(ts_hour) OVER w AS pt, lag(value) OVER w AS pv FROM c WINDOW w AS (PARTITION BY source ORDER BY ts_hour))
+SELECT source, ts_hour AS bucket, round(value, 8) AS value, FALSE AS synthetic FROM c
+UNION ALL SELECT source, pt + i * INTERVAL 1 HOUR, round(sqrt((pv * pv + value * value) / 2), 8), TRUE
+FROM p, (VALUES (1), (2)) AS s(i) WHERE ts_hour - pt = INTERVAL 3 HOUR""")
+def stream_gap_fill(spark, sf):
+    """Hours of five files in order of time; gaps across two batches are filled like those inside one."""
+    path = scratch_path(spark, "gaps")
+    stream = flows.event_time(_landed(spark, _events(spark, sf), 5, F.floor((F.dayofmonth("ts") - 1) / 7)), "ts", "3 hours")
+    hours_ = flows.old_enough(stream, ["source"], "ts", ["value"]).drop("n")
+    flows.fill_aged_gaps(hours_, path, f"{path}/state", ["source"], "bucket", ["value"]).awaitTermination()
+    return shown(spark.read.parquet(f"{path}/rows").select("source", "bucket", "value", "synthetic"), ["value"])
+
+
 @query("stream_sliding_mean", f"""WITH {R}, w AS (
   SELECT source, value, date_trunc('hour', ts) - i * INTERVAL 1 HOUR AS window_start FROM r, range(6) AS s(i)),
 b AS (SELECT source, window_start, window_start + INTERVAL 6 HOUR AS window_end, avg(value) AS value FROM w GROUP BY ALL)

@@ -28,13 +28,26 @@ def key_union(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
 
 
 def full_coverage_join(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
-    """Every key that occurs anywhere, with the columns of all frames."""
-    return spine_join(key_union(frames, on), frames, list(on))
+    """Every key that occurs anywhere, with the columns of all frames; null keys left out."""
+    return _fold([f.dropna(subset=list(on)) for f in frames], list(on))
 
 
 def outer_fold(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:
-    """Full outer join of n frames on the same key."""
-    return reduce(lambda left, right: left.join(right, on, "full"), frames)
+    """Full outer join of n frames on the same key; a row with a null key meets no other."""
+    keys = [on] if isinstance(on, str) else list(on)
+    alone = F.when(reduce(Column.__or__, [F.col(k).isNull() for k in keys]), F.monotonically_increasing_id())
+    # The number is unique within its frame only, so the frame's place goes with it.
+    marked = [f.withColumn("__alone", F.when(alone.isNotNull(), F.struct(F.lit(i).alias("frame"), alone.alias("row")))) for i, f in enumerate(frames)]
+    return _fold(marked, [*keys, "__alone"]).drop("__alone")
+
+
+def _fold(frames: Sequence[DataFrame], on: list[str]) -> DataFrame:
+    """Frames with at most one row per key side by side, by one union and one shuffle whatever their number."""
+    values = [c for f in frames for c in f.columns if c not in on]
+    if len(set(values)) < len(values):
+        raise ValueError(f"columns occur in several frames: {sorted({c for c in values if values.count(c) > 1})}")
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+    return rows.groupBy(*on).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
 
 
 def pivot_columns(series: str, value: str, names: Sequence[str], prefix: str = "") -> list[Column]:

@@ -92,10 +92,11 @@ def top_n_per_key(
     return out if rank else out.drop(name)
 
 
-def latest_two_aged(df: DataFrame, keys: Sequence[str], ts: str, now: Column, age_hours: int = 3) -> DataFrame:
-    """Two newest rows per key that are at least ``age_hours`` old."""
+def latest_two_aged(df: DataFrame, keys: Sequence[str], ts: str, now: Column, age_hours: int = 3,
+                    tie_break: Sequence[str] = ()) -> DataFrame:
+    """Two newest rows per key that are at least ``age_hours`` old; of rows on one instant the last in ``tie_break`` order counts as newer."""
     old_enough = df.filter(F.col(ts) <= now - F.make_dt_interval(hours=F.lit(age_hours)))
-    return top_n_per_key(old_enough, keys, [ts], 2)
+    return top_n_per_key(old_enough, keys, [ts, *tie_break], 2)
 
 
 def partial_hour_mean(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], now: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewright.functions.timekeys import five_minute_key, hour_key, utc_to_local
 from tidewright.operators.grid import replicate, rms_gap_rows
 from tidewright.operators.joins import full_coverage_join, outer_fold, spine_join, up_to_scalar
-from tidewright.operators.rollup import hour_end, latest_per_hour, latest_two_aged, rollup, rollup_by_type
+from tidewright.operators.rollup import dedupe, hour_end, latest_per_hour, latest_two_aged, rollup, rollup_by_type
 from tidewright.operators.scan import CutBuckets
 from tidewright.operators.shaping import current_hour, drop_prefixed, gate_hourly, suffix_columns, union_unlike
 from tidewright.schemas import AIR_GASES, SENSOR_LABELS, SENSOR_VALUES, STATION_VALUES
@@ -131,8 +131,10 @@ def stacked_5min(
 def three_hour_gap_rows(
     master: DataFrame, keys: Sequence[str], ts: str, numeric: Sequence[str], now: Column, age_hours: int = 3
 ) -> DataFrame:
-    """Synthetic rows between the two newest rows per key, once both are old enough."""
-    return rms_gap_rows(latest_two_aged(master.dropDuplicates([*keys, ts]), keys, ts, now, age_hours), keys, ts, numeric, CutBuckets())
+    """Synthetic rows between the two newest rows per key, once both are old enough; of repeated rows the greatest stands."""
+    rest = [c for c in master.columns if c not in (*keys, ts)]
+    single = dedupe(master, [*keys, ts], rest or [ts])
+    return rms_gap_rows(latest_two_aged(single, keys, ts, now, age_hours), keys, ts, numeric, CutBuckets())
 
 
 def merge_sources_by_type(frames: Mapping[str, DataFrame], ts: str = "timestamp_utc") -> DataFrame:

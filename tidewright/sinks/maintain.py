@@ -254,6 +254,7 @@ def merge_days(
     an all-or-nothing switch belongs in a :class:`VersionedTable`.
     """
     checkpoint_root(spark)
-    days = run.select(F.to_date(ts).alias("dt")).distinct()
-    touched = spark.read.parquet(path).join(days, "dt", "left_semi").drop("dt")
+    # The days of one run are few; as literals they prune the partitions that the scan lists.
+    days = [r.dt for r in run.select(F.to_date(ts).alias("dt")).distinct().collect() if r.dt is not None]
+    touched = spark.read.parquet(path).filter(F.col("dt").isin(days)).drop("dt")
     write_days(combine(touched, run).checkpoint(), path, ts)

@@ -6,15 +6,17 @@ Event time must be ``timestamp`` (watermarks reject the zone-less type);
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.timekeys import minutes_between
+from tidewright.operators.grid import rms_gap_rows
 from tidewright.operators.rollup import dedupe
+from tidewright.operators.scan import grid_buckets
 from tidewright.session import scratch_path
-from tidewright.sinks.maintain import FREEZE_MINUTES, VersionedTable
+from tidewright.sinks.maintain import FREEZE_MINUTES, VersionedTable, write_days
 
 
 def event_time(stream: DataFrame, ts: str, delay: str = "24 hours") -> DataFrame:
@@ -109,11 +111,11 @@ def freeze_forecasts(
     stream: DataFrame, table: VersionedTable, key: str, value: str, run_at: str, checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Apply forecast runs as they arrive: newest value per target, first eligible value frozen.
+    """Apply forecast runs as they arrive: newest value per target, earliest eligible value frozen.
 
-    Within a batch the runs of a target are reduced first: its newest run sets
-    the dynamic value and its earliest eligible run the frozen one, so the result
-    does not depend on how runs fall into batches.
+    The table keeps the run that set the frozen value (``frozen_at``), so an earlier eligible run that arrives
+    in a later batch still replaces it: the final state does not depend on how runs fall into batches or
+    on their order, and a replayed batch changes nothing.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         table.publish(merge_runs(table.read(), batch, key, value, run_at))
@@ -127,27 +129,85 @@ def freeze_forecasts(
 def merge_runs(
     table: DataFrame, runs: DataFrame, key: str, value: str, run_at: str,
     dynamic: str = "dynamic", frozen: str = "frozen", stamp: str = "updated_at", freeze: tuple[int, int] = FREEZE_MINUTES,
+    frozen_stamp: str = "frozen_at",
 ) -> DataFrame:
-    """Fold many runs at once into a forecast table (idempotent)."""
+    """Fold many runs at once into a forecast table (idempotent, in any order)."""
     lead = minutes_between(F.col(key), F.col(run_at))
-    rank = F.struct(run_at, value)
+    rank = F.struct(F.col(run_at).alias("at"), F.col(value).alias("v"))
     eligible = F.when(lead.between(*freeze) & F.col(value).isNotNull(), rank)
-    folded = runs.groupBy(key).agg(
-        F.max_by(value, rank).alias("__dyn"), F.max(run_at).alias("__at"),
-        F.min_by(value, eligible).alias("__frz"),
-    )
+    folded = runs.groupBy(key).agg(F.max(rank).alias("__new"), F.min(eligible).alias("__first"))
+    stored = F.when(F.col(stamp).isNotNull(), F.struct(F.col(stamp).alias("at"), F.col(dynamic).alias("v")))
+    held = F.when(F.col(frozen_stamp).isNotNull(), F.struct(F.col(frozen_stamp).alias("at"), F.col(frozen).alias("v")))
     joined = table.join(folded, key, "full")
-    newer = F.col("__at").isNotNull() & (F.col(stamp).isNull() | (F.col("__at") >= F.col(stamp)))
-    return joined.select(
-        key,
-        F.when(newer, F.col("__dyn")).otherwise(F.col(dynamic)).alias(dynamic),
-        F.coalesce(F.col(frozen), F.col("__frz")).alias(frozen),
-        F.when(newer, F.col("__at")).otherwise(F.col(stamp)).alias(stamp),
-    )
+    return joined.select(key, F.greatest(stored, "__new").alias("__dyn"), F.least(held, "__first").alias("__frz")).select(
+        key, F.col("__dyn.v").alias(dynamic), F.col("__frz.v").alias(frozen), F.col("__dyn.at").alias(stamp),
+        F.col("__frz.at").alias(frozen_stamp))
 
 
 def empty_forecasts(spark: SparkSession, key: str) -> DataFrame:
-    return spark.createDataFrame([], f"{key} timestamp_ntz, dynamic double, frozen double, updated_at timestamp_ntz")
+    return spark.createDataFrame(
+        [], f"{key} timestamp_ntz, dynamic double, frozen double, updated_at timestamp_ntz, frozen_at timestamp_ntz")
+
+
+def rebuild_days(
+    stream: DataFrame, path: str, checkpoint: str, ident: Sequence[str], ts: str, bucket: str,
+    build: Callable[[DataFrame], DataFrame], late_after: str = "24 hours", trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep a day-partitioned table right for rows that come late, out of order or more than once.
+
+    Rows are landed below ``path/raw`` by batch and day. Every batch builds the days that it touches anew from their
+    landed rows, one row per ``ident``, and replaces just these days below ``path/days``; ``build`` may look at one
+    day only and returns the instant column ``bucket``. Rows older than ``late_after`` before the newest of the earlier
+    batches are counted as late in ``path/log``, and used like all others. A replayed batch replaces its own landing.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = spark.read.parquet(f"{path}/log").filter(F.col("batch") < batch_id).agg(F.max("newest")).first()[0] if batch_id else None
+        at = F.col(ts).cast("timestamp_ntz")
+        late = F.coalesce(at < F.lit(earlier).cast("timestamp_ntz") - F.expr(f"INTERVAL {late_after}"), F.lit(False))
+        seen = Observation()
+        landed = batch.observe(seen, F.count("*").alias("rows"), F.count_if(late).alias("late"), F.max(at).alias("newest"))
+        here = f"{path}/raw/batch={batch_id}"
+        landed.withColumn("dt", F.to_date(ts)).write.mode("overwrite").partitionBy("dt").parquet(here)
+        facts = seen.get
+        log = spark.createDataFrame([(facts["rows"], facts["late"], facts["newest"])], "rows long, late long, newest timestamp_ntz")
+        log.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+        if not facts["rows"]:
+            return
+        # The touched days become literals, so the scan lists no other partition.
+        days = [r.dt for r in spark.read.parquet(here).select("dt").distinct().collect()]
+        rows = spark.read.parquet(f"{path}/raw").filter(F.col("dt").isin(days))
+        write_days(build(dedupe(rows, ident, ["batch"], keep="first").drop("batch", "dt")), f"{path}/days", bucket)
+
+    return (
+        stream.writeStream.outputMode("append").foreachBatch(apply)
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
+def fill_aged_gaps(
+    hours: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, numeric: Sequence[str], gap_hours: int = 3,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Hour rows that left the watermark, with the synthetic rows of gaps of ``gap_hours``, below ``path/rows``.
+
+    Hours leave the watermark in order, so all that a later batch needs of the earlier ones is the newest hour per key,
+    which every batch hands on below ``path/last``. A replayed batch reads its predecessor's and replaces its own.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        joined = batch
+        if batch_id:
+            joined = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/last/batch={batch_id - 1}"))
+        made = rms_gap_rows(joined, keys, ts, numeric, grid_buckets(3600), gap_hours)
+        rows = batch.withColumn("synthetic", F.lit(False)).unionByName(made, allowMissingColumns=True)
+        rows.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        dedupe(joined, keys, [ts]).select(*batch.columns).write.mode("overwrite").parquet(f"{path}/last/batch={batch_id}")
+
+    return (
+        hours.writeStream.outputMode("append").foreachBatch(apply)
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    )
 
 
 def collected(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
