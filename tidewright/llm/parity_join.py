@@ -171,7 +171,8 @@ def parity_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     entries = rows.select("k", F.explode("blocks").alias("block"))
     heads = saved(entries.groupBy("block").agg(F.min("k").alias("head"), F.max("k").alias("last")).where("head < last").select("block", "head"),
                   "heads")
-    ties = entries.join(heads, "block").select(F.col("head").alias("a"), F.col("k").alias("b"))
+    # Both joins may be large on either side; one plan for every size, which AQE splits at hot keys.
+    ties = entries.join(heads.hint("merge"), "block").select(F.col("head").alias("a"), F.col("k").alias("b"))
     families = components(ties).withColumnsRenamed({"node": "k", "root": "family"})
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +188,7 @@ def parity_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     members = saved(families.join(firsts, "k").select(F.col("first").alias("id"), "n", "k", "l", "family"), "families")
     shares = members.groupBy("family").agg(F.ceil(F.sum("n") / tile).alias("tiles"))
     members = saved(members.join(shares, "family").drop("n"), "members")
-    bodies = texts.join(members, "id").mapInArrow(sets, "id long, family long, tiles long, codes array<long>")
+    bodies = texts.join(members.hint("merge"), "id").mapInArrow(sets, "id long, family long, tiles long, codes array<long>")
     mine, other = F.pmod(F.xxhash64("id"), "tiles"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     met = (bodies.select("id", "family", "codes", mine.alias("mine"), other.alias("other"))
            .select("id", "family", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "codes"))
