@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -453,3 +454,21 @@ def test_toxicity_model_keeps_rare_words_and_counts_other_stems(spark):
     # Sampled stems: alph 4, beta 4, zqon 1, plus one each; other stems: 3 with 4 words, plus one each, plus one unseen.
     back = 0.75 * np.array([2, 3]) / np.array([3, 3])
     assert models.p_new[-1] == pytest.approx(back * (4 + 3 + 1) / 4 / (9 + 3 + 4 + 3 + 1))
+
+
+@pytest.mark.parametrize("broken", ["<a ", "<b>", "<div>", "<!", "<a<a", "<p>", '<a "', "</x>", "<li><p>", "<!--", "<script>"])
+def test_broken_pages_take_linear_time(broken):
+    page = broken * (1_000_000 // len(broken)) + '">'
+    started = time.monotonic()
+    page_text.main_text(page)
+    assert time.monotonic() - started < 30
+
+
+def test_broken_markup_reads_as_before():
+    for html, tree in (("<a title='x>y'>t</a>u", [("a", ["t"]), "u"]), ("<a <b>t", [("a", ["t"])]), ("<p>a<p>b", [("p", ["a"]), ("p", ["b"])]),
+                       ("<ul><li>a<b>c<li>d</ul>e", [("ul", [("li", ["a", ("b", ["c"])]), ("li", ["d"])]), "e"]),
+                       ("x < y <1> </i>z", ["x ", "<", " y ", "<", "1> ", "z"]), ("<b>a<div>c</b>d</div>e", [("b", ["a", ("div", ["c", "d"]), "e"])])):
+        def plain(node):
+            return [p if isinstance(p, str) else (p.tag, plain(p)) for p in node.parts]
+
+        assert plain(page_text.parse(html)) == tree

@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +37,7 @@ FEW_PAGES, MIN_PAGES, SHARE = 3, 10, 0.1
 #: A host with more than 1 / SLICES of all pages is dealt over slices of that size (at most SLICES such hosts).
 SLICES = 16384
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+_MARK, _NAME_END = re.compile("[>\"']"), re.compile(r"[\s/>]")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACE = re.compile(r"\s+")
 
@@ -82,42 +84,112 @@ def _attributes(tag: str, text: str) -> tuple[str, bool]:
     return label, noise
 
 
+class _Open:
+    """The open elements, with the places of each tag and of the scopes, so that no tag walks the stack."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.scopes = [root], defaultdict(list), [0]
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.nodes))
+        if node.tag in _SCOPE:
+            self.scopes.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        """Close all elements from place ``at`` on."""
+        while len(self.nodes) > at:
+            self.places[self.nodes.pop().tag].pop()
+        while self.scopes[-1] >= at:
+            self.scopes.pop()
+
+    def close(self, tag: str) -> None:
+        """End the innermost ``tag``, unless it lies outside the innermost scope and is none itself."""
+        places = self.places[tag]
+        if places and (tag in _SCOPE or places[-1] > self.scopes[-1]):
+            self.cut(places[-1])
+
+    def end(self, tags: set[str]) -> None:
+        """End the outermost of ``tags`` inside the innermost scope."""
+        lowest = len(self.nodes)
+        for tag in tags:
+            places = self.places[tag]
+            if places and places[-1] > self.scopes[-1]:
+                lowest = min(lowest, places[bisect_right(places, self.scopes[-1])])
+        self.cut(lowest)
+
+
+class _Ends:
+    """Where the markup that starts at a place ends; linear in the page over all calls, however broken it is."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.stop = page, page.rfind(">"), -1
+        self.places = [m.start() for m in _MARK.finditer(page)]
+        # From the back: outside quotes a > ends a tag, and a quote leads behind its partner.
+        self.ends, partner = [-1] * (len(self.places) + 1), {}
+        for k in range(len(self.places) - 1, -1, -1):
+            mark = page[self.places[k]]
+            if mark == ">":
+                self.ends[k] = self.places[k]
+            else:
+                if mark in partner:
+                    self.ends[k] = self.ends[partner[mark] + 1]
+                partner[mark] = k
+
+    def name(self, at: int) -> int:
+        """The end of the name that starts at ``at``."""
+        if not at <= self.stop:
+            found = _NAME_END.search(self.page, at)
+            self.stop = found.start() if found else len(self.page)
+        return self.stop
+
+    def tag(self, at: int) -> int:
+        """The > that ends a tag whose name ends at ``at``, or -1."""
+        return self.ends[bisect_left(self.places, at)]
+
+
 def parse(page: str) -> Node:
     root = Node("#root", "", False)
-    stack, at = [root], 0
-    while at < len(page):
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            if not m[0].startswith(("<!", "<?")):
-                stack[-1].parts.append(m[0])
+    opened, ends, at, size = _Open(root), _Ends(page), 0, len(page)
+    while at < size:
+        parts = opened.nodes[-1].parts
+        if page[at] != "<":
+            stop = page.find("<", at)
+            stop = size if stop < 0 else stop
+            parts.append(page[at:stop])
+            at = stop
+            continue
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at + 4)
+            at = size if stop < 0 else stop + 3
+            continue
+        if page.startswith(("<!", "<?"), at) and at < ends.last:
+            at = page.find(">", at) + 1
+            continue
+        closing = page.startswith("/", at + 1)
+        start = at + 1 + closing
+        stop = ends.name(start) if at < ends.last and start < size and page[start].isascii() and page[start].isalpha() else -1
+        end = ends.tag(stop) if stop > 0 else -1
+        if end < 0:
+            parts.append("<")
+            at += 1
             continue
-        tag = tag.lower()
-        if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in _SCOPE and tag not in _SCOPE:
-                    break
+        tag, rest, at = page[start:stop].lower(), page[stop:end], end + 1
+        if closing:
+            opened.close(tag)
             continue
         if tag in _RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            at = close.end() if close else size
             continue
-        if tag == "body" and any(n.tag == "head" for n in stack):
-            del stack[next(i for i, n in enumerate(stack) if n.tag == "head"):]
-        ends = {"p"} | _ENDS.get(tag, set()) if tag in _BLOCK else set()
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in _SCOPE and stack[i].tag not in ends:
-                break
-            if stack[i].tag in ends:
-                del stack[i:]
-        node = Node(tag, *_attributes(tag, m[3]))
-        stack[-1].parts.append(node)
-        if tag not in _VOID and not m[3].rstrip().endswith("/"):
-            stack.append(node)
+        if tag == "body" and opened.places["head"]:
+            opened.cut(opened.places["head"][0])
+        if tag in _BLOCK:
+            opened.end({"p"} | _ENDS.get(tag, set()))
+        node = Node(tag, *_attributes(tag, rest))
+        opened.nodes[-1].parts.append(node)
+        if tag not in _VOID and not rest.rstrip().endswith("/"):
+            opened.push(node)
     return root
 
 
