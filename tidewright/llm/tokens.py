@@ -71,7 +71,7 @@ class Tokens(Stretches):
         return self.hash(self.starts, np.minimum(self.ends, self.starts + n))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of column ``text`` each, or one longer text."""
     for batch in batches:
         sizes = compute.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -100,15 +100,16 @@ class Models:
 def fit(texts: DataFrame, sample: DataFrame) -> Models:
     """``texts``: id, text (binary) of all documents; ``sample``: bounded (id, y) whose rows are counted."""
     def count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, kept = arrow_schema("stem long,n long"), {}
+        schema, kept, counts = arrow_schema("stem long,n long"), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in pieces(batches):
-            value, n = np.unique(Tokens(batch.column("text").to_pylist()).stems(STEM), return_counts=True)
-            for v, c in zip(value.view(np.int64).tolist(), n.tolist()):
-                kept[v] = kept.get(v, 0) + c
+            # Arrays, not a dict: a worker never gives the memory of many small objects back.
+            stems = Tokens(batch.column("text").to_pylist()).stems(STEM)
+            kept, at = np.unique(np.concatenate([kept, stems]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, np.ones(len(stems), np.int64)]), len(kept)).astype(np.int64)
             if len(kept) > 400_000:
-                yield record_batch(schema, stem=list(kept), n=list(kept.values()))
-                kept = {}
-        yield record_batch(schema, stem=list(kept), n=list(kept.values()))
+                yield record_batch(schema, stem=kept.view(np.int64), n=counts)
+                kept, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        yield record_batch(schema, stem=kept.view(np.int64), n=counts)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("y int,prev long,word long,stem long,n long")
