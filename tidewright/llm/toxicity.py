@@ -100,16 +100,26 @@ class Models:
 def fit(texts: DataFrame, sample: DataFrame) -> Models:
     """``texts``: id, text (binary) of all documents; ``sample``: bounded (id, y) whose rows are counted."""
     def count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, kept, counts = arrow_schema("stem long,n long"), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # Arrays, not a dict: a worker never gives the memory of many small objects back.
+        schema, kept, counts, held = arrow_schema("stem long,n long"), [], [], 0
+
+        def folded():
+            values, at = np.unique(np.concatenate(kept or [np.zeros(0, np.uint64)]), return_inverse=True)
+            return values, np.bincount(at, np.concatenate(counts or [np.zeros(0, np.int64)]), len(values)).astype(np.int64)
+
         for batch in pieces(batches):
-            # Arrays, not a dict: a worker never gives the memory of many small objects back.
-            stems = Tokens(batch.column("text").to_pylist()).stems(STEM)
-            kept, at = np.unique(np.concatenate([kept, stems]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, np.ones(len(stems), np.int64)]), len(kept)).astype(np.int64)
-            if len(kept) > 400_000:
-                yield record_batch(schema, stem=kept.view(np.int64), n=counts)
-                kept, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        yield record_batch(schema, stem=kept.view(np.int64), n=counts)
+            value, n = np.unique(Tokens(batch.column("text").to_pylist()).stems(STEM), return_counts=True)
+            kept.append(value)
+            counts.append(n)
+            held += len(value)
+            if held > 800_000:
+                value, n = folded()
+                kept, counts, held = [value], [n], len(value)
+                if held > 400_000:
+                    yield record_batch(schema, stem=value.view(np.int64), n=n)
+                    kept, counts, held = [], [], 0
+        value, n = folded()
+        yield record_batch(schema, stem=value.view(np.int64), n=n)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("y int,prev long,word long,stem long,n long")
