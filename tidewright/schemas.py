@@ -11,22 +11,24 @@ def _struct(spec: dict[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in spec.items()])
 
 
-def _all(names: str, kind: T.DataType) -> dict[str, T.DataType]:
-    return {name: kind for name in names.split()}
+def _all(names: tuple[str, ...], kind: T.DataType) -> dict[str, T.DataType]:
+    return {name: kind for name in names}
 
 
+# Depths of the current sensor.
 DEPTHS = ("15m", "13_5m", "12m", "10_5m", "9m", "7_5m", "superficie", "6m", "3m", "1_5m")
 
+# Columns of the 5-minute sensor table, numbers and texts.
 SENSOR_VALUES = (
     "umidade", "pressao", "ventointensidade", "ventonum", "temperatura", "sensacaotermica",
     *(f"intensidade_{d}" for d in DEPTHS), *(f"direcao_{d}" for d in DEPTHS),
     "altura_medida_getControls", "altura_prev_getmare", "altura_real_getmare",
 )
-SENSOR_LABELS = tuple(
-    "ventodirecao status numero descricao tipo data_lua nascer_do_sol por_do_sol matutino "
-    "vespertino motivo tipo_mare_getControls data_station_davis data_inicio data "
-    "data_mare_getControls data_hidromares data_mare_getMare data_mare_real_getMare api_mare "
-    "api_hidromares api_estatistica".split()
+SENSOR_LABELS = (
+    "ventodirecao", "status", "numero", "descricao", "tipo", "data_lua", "nascer_do_sol", "por_do_sol",
+    "matutino", "vespertino", "motivo", "tipo_mare_getControls", "data_station_davis", "data_inicio", "data",
+    "data_mare_getControls", "data_hidromares", "data_mare_getMare", "data_mare_real_getMare", "api_mare",
+    "api_hidromares", "api_estatistica",
 )
 
 SENSOR_5MIN = _struct(
@@ -35,10 +37,11 @@ SENSOR_5MIN = _struct(
     | {name: T.StringType() for name in SENSOR_LABELS}
 )
 
-STATION_VALUES = tuple(
-    "temperatura_inst temperatura_max temperatura_min umidade_inst umidade_max umidade_min "
-    "pto_orvalho_inst pto_orvalho_max pto_orvalho_min pressao_inst pressao_max pressao_min "
-    "vento_vel_m_s vento_dir_deg vento_raj_m_s radiacao chuva".split()
+# Numbers of the hourly station table.
+STATION_VALUES = (
+    "temperatura_inst", "temperatura_max", "temperatura_min", "umidade_inst", "umidade_max", "umidade_min",
+    "pto_orvalho_inst", "pto_orvalho_max", "pto_orvalho_min", "pressao_inst", "pressao_max", "pressao_min",
+    "vento_vel_m_s", "vento_dir_deg", "vento_raj_m_s", "radiacao", "chuva",
 )
 STATION_HOURLY = _struct(
     {"data": T.DateType(), "hora_utc": T.StringType()}
@@ -60,15 +63,16 @@ STATION_HEADERS = {
     "Chuva (mm)": "chuva",
 }
 
-_WEATHER = T.ArrayType(_struct({"id": T.LongType()} | _all("main description icon", T.StringType())))
+# Fields of the weather, forecast, air and rain payloads.
+_WEATHER = T.ArrayType(_struct({"id": T.LongType()} | _all(("main", "description", "icon"), T.StringType())))
 _MAIN = _struct(
-    _all("temp feels_like temp_min temp_max", _DECIMAL)
-    | _all("pressure humidity sea_level grnd_level", T.LongType())
+    _all(("temp", "feels_like", "temp_min", "temp_max"), _DECIMAL)
+    | _all(("pressure", "humidity", "sea_level", "grnd_level"), T.LongType())
 )
 _WIND = _struct({"speed": _DECIMAL, "deg": T.LongType(), "gust": _DECIMAL})
 _CLOUDS = _struct({"all": T.LongType()})
 _FALL = _struct({"1h": _DECIMAL, "3h": _DECIMAL})
-_COORD = _struct(_all("lon lat", _DECIMAL))
+_COORD = _struct(_all(("lon", "lat"), _DECIMAL))
 
 WEATHER_NOW_JSON = _struct({
     "name": T.StringType(), "id": T.LongType(), "base": T.StringType(), "coord": _COORD,
@@ -82,19 +86,21 @@ WEATHER_NOW_JSON = _struct({
 _D = T.DoubleType()
 WEATHER_FORECAST_JSON = _struct({
     "cod": _D,
-    "city": _struct({"coord": _struct(_all("lat lon", _D)), "timezone": _D}),
+    "city": _struct({"coord": _struct(_all(("lat", "lon"), _D)), "timezone": _D}),
     "list": T.ArrayType(_struct({
         "dt_txt": T.StringType(),
-        "main": _struct(_all("temp feels_like temp_min temp_max pressure sea_level grnd_level humidity", _D)),
-        "weather": T.ArrayType(_struct({"id": _D} | _all("main description icon", T.StringType()))),
+        "main": _struct(_all(
+            ("temp", "feels_like", "temp_min", "temp_max", "pressure", "sea_level", "grnd_level", "humidity"), _D)),
+        "weather": T.ArrayType(_struct({"id": _D} | _all(("main", "description", "icon"), T.StringType()))),
         "clouds": _struct({"all": _D}),
-        "wind": _struct(_all("speed deg gust", _D)),
+        "wind": _struct(_all(("speed", "deg", "gust"), _D)),
         "visibility": _D, "pop": _D,
         "rain": _struct({"3h": _D}), "snow": _struct({"3h": _D}),
         "sys": _struct({"pod": T.StringType()}),
     })),
 })
 
+# Gases of the air payload.
 AIR_GASES = ("co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3")
 AIR_QUALITY_JSON = _struct({
     "list": T.ArrayType(_struct({
@@ -112,10 +118,11 @@ RAIN_DAILY_JSON = _struct({
 
 ONECALL_JSON = _struct({
     "hourly": T.ArrayType(_struct(
-        {"dt": T.LongType()} | _all("wind_speed wind_deg pressure humidity feels_like temp", _D)
+        {"dt": T.LongType()} | _all(("wind_speed", "wind_deg", "pressure", "humidity", "feels_like", "temp"), _D)
     )),
 })
 
+# Columns of the forecast table.
 FORECAST_TABLE = _struct({
     "datahora_alvo": T.TimestampNTZType(),
     "correnteza_superficie_prevista_dinamica": _D,
