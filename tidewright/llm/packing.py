@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -45,6 +47,14 @@ _ODD = re.compile(r"\s (?=\s|$)")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """Unsigned, 32 bits, little-endian."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers. The vocabulary stays with the worker; kept pieces go with their task."""
 
@@ -66,7 +76,7 @@ class Encoder:
         if found is None:
             # The two libraries give the same ids; their Unicode tables may differ beyond the Latin blocks.
             ids = self.fast.encode_ordinary(text) if text.isascii() or max(text) < "ɐ" else self._slow(text)
-            found = b"".join([i.to_bytes(4, "little") for i in ids])
+            found = _bytes(ids)
             if len(self.kept) < KEPT and len(text) <= LONGEST_KEPT:
                 self.kept[text] = found
         return found
@@ -82,7 +92,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         if any(token in text for token in self.special) or _ODD.search(text):
-            return b"".join([i.to_bytes(4, "little") for i in self._slow(text)])
+            return _bytes(self._slow(text))
         get, piece = self.kept.get, self.piece
         first, *rest = text.split(" ")
         head = [piece(first)] if first else []
