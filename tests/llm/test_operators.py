@@ -472,3 +472,14 @@ def test_broken_markup_reads_as_before():
             return [p if isinstance(p, str) else (p.tag, plain(p)) for p in node.parts]
 
         assert plain(page_text.parse(html)) == tree
+
+
+@pytest.mark.parametrize("stage", [keep_first, keep_one, mixed])
+def test_stages_leave_columns_that_clash_with_their_own_names(stage, docs):
+    names = ("_key", "_KEPT", "_of", "_keep_id", "_keep_key", "_own", "_as", "_hash", "_id", "_times", "_copy")
+    marked = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    out = stage(marked)
+    assert out.columns == marked.columns
+    rows = out.where("doc_id is not null").collect()
+    assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+    assert sorted(map(str, out.select(*docs.columns).collect())) == sorted(map(str, stage(docs).collect()))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,6 +37,31 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def given_back(task: Callable) -> Callable:
+    """``task`` over Arrow batches, which returns its freed memory to the system at its end.
+
+    Workers are used again by later stages, and what the allocators of one stage keep adds to the next one's.
+    """
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch], *rest, **options) -> Iterator[pa.RecordBatch]:
+        yield from task(batches, *rest, **options)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+    return run
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def utf8(column: str) -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")

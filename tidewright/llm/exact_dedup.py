@@ -26,7 +26,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, power_of_two, record_batch, saved, small_batches, utf8, WHITE
+from tidewright.llm.common import arrow_schema, free_names, given_back, power_of_two, record_batch, saved, small_batches, utf8, WHITE
 
 #: Owners hold about this many fingerprints each, up to the largest number of owners.
 PER_OWNER, MOST_OWNERS = 1 << 16, 4096
@@ -59,6 +59,7 @@ def rice_decode(data: bytes, n: int) -> np.ndarray:
     return np.cumsum((quotients << np.uint64(b)) | remainders, dtype=np.uint64)
 
 
+@given_back
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema, part, row = arrow_schema(_NARROW), TaskContext.get().partitionId(), 0
     for batch in batches:
@@ -146,6 +147,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     suspects = marked.where("suspect")
     flags = docs.sparkSession.sparkContext.broadcast(_suspect_filter(suspects))
 
+    @given_back
     def suspect_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, schema = flags.value, arrow_schema("sha binary,bare binary")
         for batch in batches:
@@ -183,13 +185,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, all columns unchanged."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(_row_key(F.col(id_col), F.col("text_sha256")).alias("_kept"))
+    key, of = free_names(docs, "_key", "_kept")
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(_row_key(F.col(id_col), F.col("text_sha256")).alias(of))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     bare = F.translate(text, WHITE.decode(), "")
-    keyed = docs.withColumn("_key", _row_key(F.col(id_col), F.sha2(bare.cast("binary"), 256)))
-    rows = keyed.join(kept, F.col("_key") == F.col("_kept"), "left_semi")
+    keyed = docs.withColumn(key, _row_key(F.col(id_col), F.sha2(bare.cast("binary"), 256)))
+    rows = keyed.join(kept, F.col(key) == F.col(of), "left_semi")
     # Rows may share an id and a text: the one with the most code points stays.
-    first = rows.groupBy("_key").agg(F.max_by(F.struct(*docs.columns), F.struct(F.length(text), text)).alias("row"))
+    first = rows.groupBy(key).agg(F.max_by(F.struct(*docs.columns), F.struct(F.length(text), text)).alias("row"))
     return first.select("row.*")
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewright.llm.common import saved
+from tidewright.llm.common import free_names, saved
 
 #: Documents rounded by one task call, and open documents that meet in one node of the tree.
 CHUNK, FAN = 4096, 256
@@ -147,7 +147,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The rows of ``docs`` as often as the mix takes them, all columns unchanged."""
     decided = mix(docs, id_col, text_col, source_col, **options)
     # Rows that share id and text are interchangeable: their copies are summed.
-    times = decided.where("copies > 0").groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).agg(F.sum("copies").cast("int").alias("_times"))
-    keyed = docs.withColumn("_own", F.xxhash64(F.col(text_col).cast("string"))).withColumn("_as", F.col(id_col).cast("long"))
-    rows = keyed.dropDuplicates(["_as", "_own"]).join(times, F.col("_as").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    own, own_id, of, of_id, copies, copy = free_names(docs, "_own", "_as", "_hash", "_id", "_times", "_copy")
+    times = decided.where("copies > 0").groupBy(F.col(id_col).alias(of_id), F.col("text_hash").alias(of)).agg(F.sum("copies").cast("int").alias(copies))
+    keyed = docs.withColumn(own, F.xxhash64(F.col(text_col).cast("string"))).withColumn(own_id, F.col(id_col).cast("long"))
+    rows = keyed.dropDuplicates([own_id, own]).join(times, F.col(own_id).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of)))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
