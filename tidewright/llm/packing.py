@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches
+from tidewright.llm.common import arrow_schema, given_back, record_batch, saved, small_batches
 
 WINDOW, END = 1024, 0
 #: Tokens of a pool (4 bytes each), documents of a pool, tokens of a step group, kept encodings.
@@ -159,6 +159,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     fields = ("id long,start long,length long,ids_crc32 long,doc_tokens long,sequence_id long,offset long,"
               "tier int,task long,place long,ids binary")
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, coder, end = arrow_schema(fields), encoder(path), END.to_bytes(4, "little")
         task, places = TaskContext.get().partitionId(), defaultdict(int)

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches, utf8
+from tidewright.llm.common import arrow_schema, given_back, record_batch, saved, small_batches, utf8
 from tidewright.llm.components import components
 from tidewright.llm.tokens import mix
 
@@ -183,6 +183,7 @@ def links(prints: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
                 who, leaf = who[later], leaf[later]
                 yield record_batch(schema, shard=leaf.astype(np.int32), kind=np.ones(len(who), np.int32), fp=codes[who])
 
+    @given_back
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by shard and kind: load a shard's residents, then stream its visitors past them."""
         schema, state = arrow_schema("a long,b long"), None
@@ -236,6 +237,7 @@ def links(prints: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp) a document, written once."""
+    @given_back
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("id long,fp long")
         for batch in batches:
@@ -286,6 +288,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
     Texts with equal lower-cased words have one key. Groups are the components of pairs whose
     shingle sets have a Jaccard similarity of ``similarity`` or more.
     """
+    @given_back
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = mix(np.arange(1, VIEWS + 1, dtype=np.uint64))
         for batch in batches:
@@ -316,6 +319,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
                .union(nodes.select("key", "views", F.lit(-1), "fp")))
     pairs = saved(_proposals(buckets).union(near).distinct(), "candidates")
 
+    @given_back
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies = batch.column("text").to_pylist()

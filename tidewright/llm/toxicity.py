@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, record_batch, saved, small_batches, utf8
+from tidewright.llm.common import arrow_schema, given_back, record_batch, saved, small_batches, utf8
 from tidewright.llm.tokens import Tokens, logistic, lookup, mix, pieces
 
 STEM, LEAST_BIGRAM, DISCOUNT = 4, 3, 0.75
@@ -99,6 +99,7 @@ class Models:
 
 def fit(texts: DataFrame, sample: DataFrame) -> Models:
     """``texts``: id, text (binary) of all documents; ``sample``: bounded (id, y) whose rows are counted."""
+    @given_back
     def count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Arrays, not a dict: a worker never gives the memory of many small objects back.
         schema, kept, counts, held = arrow_schema("stem long,n long"), [], [], 0
@@ -121,6 +122,7 @@ def fit(texts: DataFrame, sample: DataFrame) -> Models:
         value, n = folded()
         yield record_batch(schema, stem=value.view(np.int64), n=n)
 
+    @given_back
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("y int,prev long,word long,stem long,n long")
         for batch in pieces(batches):
@@ -178,6 +180,7 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, training: Column, id_col
     if len(kept) == 2:
         models = context.broadcast(fit(texts, sample.where(part != 0)))
 
+        @given_back
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches):
                 x = models.value.features(batch.column("text").to_pylist())
