@@ -21,7 +21,8 @@ def test_station_file(spark):
     fields = lambda day, hour, temp, rain: ";".join([day, hour, temp] + [""] * 15 + [rain])
     write_station(folder, "A802_20240101_20240630.csv", [
         fields("31/12/2023", "300", "21,5", "0,4"), fields("01/01/2024", "0", "", "0"), fields("01/01/2024", "100", "20", ""),
-        "01/01/2024;200;broken", fields("01/01/2024", "2300", "nan", "1,2"),
+        "01/01/2024;200;broken", fields("01/01/2024", "2300", "nan", "1,2"), "lone", fields("32/01/2024", "100", "", "5"),
+        fields("", "", "", ""), fields("01/01/2024", "300", "", "1") + ";more",
     ])
     rows = station_csv.station_rows(station_csv.read_station_text(spark, folder)).orderBy("dt_utc")
     got = [(r.estacao, r.dt_utc, r.hora_utc, r.temperatura_inst, r.chuva) for r in rows.collect()]
@@ -31,7 +32,13 @@ def test_station_file(spark):
         ("A802", datetime(2024, 1, 1, 23), "2300", None, 1.2),
     ]
     assert station_csv.rainy_rows(rows.unionByName(rows)).count() == 2
-    assert station_csv.read_station_text(spark, folder).select("Data").count() == 4
+    assert station_csv.read_station_text(spark, folder).select("Data").count() == 6
+    assert station_csv.read_station_text(spark, folder).count() == 6
+    rejected = station_csv.rejected_lines(spark, folder)
+    assert rejected.count() == 5 and {(r.estacao, r.file_name) for r in rejected.collect()} == {("A802", "A802_20240101_20240630.csv")}
+    assert sorted((r.reason, r.line) for r in rejected.collect()) == sorted([
+        ("fields", "01/01/2024;200;broken"), ("fields", "lone"), ("fields", fields("01/01/2024", "300", "", "1") + ";more"),
+        ("time", fields("32/01/2024", "100", "", "5")), ("time", fields("", "", "", ""))])
 
 
 def test_current_weather_with_missing_parts(spark):

@@ -1,7 +1,7 @@
 """Named queries over the test tables, each with an equivalent SQL text where one exists."""
 
 from tidewright.catalog import (  # noqa: F401
-    evaluation, features, fills, grids, ingest, joins, linear, maintenance, models, rollups, streams,
+    evaluation, features, fills, grids, ingest, jobs, joins, linear, maintenance, models, rollups, streams,
 )
 from tidewright.catalog.base import ORACLES, QUERIES
 

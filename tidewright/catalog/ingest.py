@@ -11,7 +11,6 @@ from tidewright.functions.cleaning import comma_number, safe_number
 from tidewright.functions.timekeys import parse_date_hour
 from tidewright.schemas import STATION_HEADERS
 from tidewright.session import scratch_path
-from tidewright.sinks.maintain import export_csv
 from tidewright.sources import station_csv, tables, weather_json
 
 
@@ -145,33 +144,45 @@ def csv_time_parse(spark, sf):
     return readings(spark, sf).select("event_id", parse_date_hour(day, hour).alias("dt"))
 
 
-@query("station_csv", f"""WITH {R}, h AS (
-  SELECT date_trunc('hour', ts) AS dt_utc, round(avg(value), 2) AS rain, round(avg(degrees), 1) AS deg,
-         count(*) AS n FROM r WHERE source = 'view' GROUP BY 1)
-SELECT 'part-00000' LIKE 'part%' AS from_file, dt_utc, lpad(CAST(hour(dt_utc) * 100 AS VARCHAR), 4, '0') AS hora_utc,
-       rain AS chuva, deg AS vento_dir_deg FROM h WHERE n % 2 = 1""")
-def station_files(spark, sf):
-    """Station-style files written from the readings and read back."""
+_STATION_HOURS = R + """, h AS (
+  SELECT source, date_trunc('hour', ts) AS dt_utc, round(avg(value), 2) AS rain, round(avg(degrees), 1) AS deg,
+         count(*) AS n FROM r GROUP BY ALL),
+t AS (SELECT *, strftime(dt_utc, '%d/%m/%Y') AS day, CAST(hour(dt_utc) * 100 AS VARCHAR) AS clock FROM h)"""
+
+
+def _station_folder(spark, sf):
+    """One station folder a source and year, named like its file would be; some hours add a line without a station row."""
     path = scratch_path(spark, "station")
-    hourly = readings(spark, sf).filter(F.col("source") == "view").groupBy(
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("at")
-    ).agg(F.round(F.avg("value"), 2).alias("rain"), F.round(F.avg("degrees"), 1).alias("deg"), F.count("*").alias("n"))
-
-    def text(column):
-        return F.regexp_replace(column.cast("string"), r"\.", ",")
-
-    filled = {
-        "Data": F.date_format("at", "dd/MM/yyyy"),
-        "Hora (UTC)": (F.hour("at") * 100).cast("string"),
-        "Dir. Vento (m/s)": text(F.col("deg")),
-        "Chuva (mm)": F.when(F.col("n") % 2 == 1, text(F.col("rain"))),
-    }
-    export_csv(hourly.select(*[filled.get(h, F.lit(None).cast("string")).alias(h) for h in STATION_HEADERS]), path, ";")
-    rows = station_csv.station_rows(station_csv.read_station_text(spark, path))
-    return rows.select(
-        F.col("estacao").startswith("part").alias("from_file"), F.col("dt_utc").cast("timestamp_ntz").alias("dt_utc"),
-        "hora_utc", "chuva", "vento_dir_deg",
-    )
+    hourly = readings(spark, sf).groupBy("source", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("at")).agg(
+        F.round(F.avg("value"), 2).alias("rain"), F.round(F.avg("degrees"), 1).alias("deg"), F.count("*").alias("n"))
+    text = lambda c: F.regexp_replace(F.col(c).cast("string"), r"\.", ",")
+    day, clock = F.date_format("at", "dd/MM/yyyy"), (F.hour("at") * 100).cast("string")
+    filled = {"Data": day, "Hora (UTC)": clock, "Dir. Vento (m/s)": text("deg"), "Chuva (mm)": F.when(F.col("n") % 2 == 1, text("rain"))}
+    whole = F.concat_ws(";", *[F.coalesce(filled.get(h, F.lit("")), F.lit("")) for h in STATION_HEADERS])
+    undated = F.concat_ws(";", F.lit("99/99/2024"), clock, *[F.lit("")] * (len(STATION_HEADERS) - 2))
+    bad = F.when(F.hour("at") % 5 == 0, F.concat_ws(";", day, clock, F.lit("broken"))).when(F.hour("at") % 5 == 1, undated)
+    folder = F.concat("source", F.lit("_"), F.year("at"))
+    lines = hourly.select(folder.alias("station"), F.explode(F.array(whole, bad)).alias("line")).filter("line IS NOT NULL")
+    heads = lines.select("station").distinct().select("station", F.lit(0).alias("place"), F.lit(";".join(STATION_HEADERS)).alias("line"))
+    ordered = heads.unionByName(lines.withColumn("place", F.lit(1))).repartition(16, "station").sortWithinPartitions("station", "place")
+    ordered.select("station", "line").write.partitionBy("station").text(path)
+    return path
+
+
+@query("station_csv", f"""WITH {_STATION_HOURS}
+SELECT source AS estacao, dt_utc, lpad(clock, 4, '0') AS hora_utc, rain AS chuva, deg AS vento_dir_deg FROM t WHERE n % 2 = 1""")
+def station_files(spark, sf):
+    """Station text written from the readings of all sources and read back."""
+    text = station_csv.read_station_text(spark, _station_folder(spark, sf), station=station_csv.station_from_folder("station"))
+    return station_csv.station_rows(text).select("estacao", F.col("dt_utc").cast("timestamp_ntz").alias("dt_utc"), "hora_utc", "chuva", "vento_dir_deg")
+
+
+@query("station_rejects", f"""WITH {_STATION_HOURS}
+SELECT source AS estacao, 'fields' AS reason, day || ';' || clock || ';broken' AS line FROM t WHERE hour(dt_utc) % 5 = 0
+UNION ALL SELECT source, 'time', '99/99/2024;' || clock || repeat(';', {len(STATION_HEADERS) - 2}) FROM t WHERE hour(dt_utc) % 5 = 1""")
+def station_rejects(spark, sf):
+    """The lines of those files that hold no station row."""
+    return station_csv.rejected_lines(spark, _station_folder(spark, sf), station=station_csv.station_from_folder("station")).drop("file_name")
 
 
 @query("day_blocks", """WITH b AS (

@@ -40,27 +40,28 @@ def derive_directions(df: DataFrame, depths: Sequence[str] = DEPTHS, ebb: Sequen
 
 def treat(
     df: DataFrame, keys: Sequence[str], ts: str, step_seconds: int, max_hours: int = 6,
-    columns: Sequence[str] | None = None, tie_break: Sequence[str] = (),
+    columns: Sequence[str] | None = None, tie_break: Sequence[str] = (), digits: int | None = 4,
 ) -> DataFrame:
     """Regular grid with limited linear fill of the numeric columns."""
     chosen = list(columns) if columns else numeric_columns(df, [*keys, ts, *NOT_INTERPOLATED])
     typed = df.withColumns({c: safe_number(F.col(c)) for c in chosen})
     grid = regular_grid(typed, keys, ts, step_seconds, tie_break)
-    return interpolate_linear(grid, keys, ts, chosen, step_seconds, limit=max_hours * 3600 // step_seconds)
+    return interpolate_linear(grid, keys, ts, chosen, step_seconds, limit=max_hours * 3600 // step_seconds, digits=digits)
 
 
-def treated_5min(master: DataFrame, columns: Sequence[str] | None = None, ts: str = "timestamp_br") -> DataFrame:
-    return treat(derive_directions(master), [], ts, STEP_5MIN, columns=columns)
+def treated_5min(master: DataFrame, columns: Sequence[str] | None = None, ts: str = "timestamp_br", digits: int | None = 4) -> DataFrame:
+    return treat(derive_directions(master), [], ts, STEP_5MIN, columns=columns, digits=digits)
 
 
-def treated_hour(fine: DataFrame, columns: Sequence[str] | None = None, ts: str = "timestamp_br", mode: str = "sample") -> DataFrame:
+def treated_hour(fine: DataFrame, columns: Sequence[str] | None = None, ts: str = "timestamp_br", mode: str = "sample",
+                 digits: int | None = 4) -> DataFrame:
     """Hour rows out of the 5-minute table: the reading at minute 0, or the hour mean."""
     if mode == "sample":
-        return treat(fine, [], ts, STEP_HOUR, columns=columns)
+        return treat(fine, [], ts, STEP_HOUR, columns=columns, digits=digits)
     if mode != "mean":
         raise ValueError("mode is 'sample' or 'mean'")
     hours = rollup_by_type(fine, [], ts, bucket="__hour").withColumnRenamed("__hour", ts)
-    return treat(hours, [], ts, STEP_HOUR, columns=columns)
+    return treat(hours, [], ts, STEP_HOUR, columns=columns, digits=digits)
 
 
 def attach_tide_fine(treated: DataFrame, tide: DataFrame, ts: str = "timestamp_br",
@@ -81,9 +82,9 @@ def attach_tide_hour(treated: DataFrame, tide: DataFrame, ts: str = "timestamp_b
 
 def refresh_treated(treated: DataFrame, master: DataFrame, cutoff, columns: Sequence[str],
                     step_seconds: int = STEP_5MIN, max_hours: int = 6, ts: str = "timestamp_br",
-                    tie_break: Sequence[str] = ()) -> DataFrame:
+                    tie_break: Sequence[str] = (), digits: int | None = 4) -> DataFrame:
     """The treated table after master rows changed from ``cutoff`` on; equal to a full treatment."""
     derived = derive_directions(master)
     typed = derived.withColumns({c: safe_number(F.col(c)) for c in columns})
     return refresh_interpolated(
-        treated, typed, [], ts, columns, step_seconds, max_hours * 3600 // step_seconds, cutoff, tie_break=tie_break)
+        treated, typed, [], ts, columns, step_seconds, max_hours * 3600 // step_seconds, cutoff, digits=digits, tie_break=tie_break)
