@@ -149,7 +149,43 @@ def test_inject_weather_respects_tolerance(spark):
 
 def test_search_ranks_draws(spark, cells):
     matrix = feature_matrix(cells, [], "ts", 3600, SPEC)
-    folded = evaluate.expanding_folds(matrix, [], ["ts"], grid_buckets(3600, 24), folds=2)
-    found = forecast.random_search(folded, SPEC.feature_names(), "y_h1", [{"numTrees": 2, "maxDepth": 1}, {"numTrees": 8, "maxDepth": 4}], 2)
+    blocks = evaluate.fold_blocks(matrix, [], ["ts"], grid_buckets(3600, 24), folds=2)
+    found = forecast.random_search(blocks, SPEC.feature_names(), "y_h1", [{"numTrees": 2, "maxDepth": 1}, {"numTrees": 8, "maxDepth": 4}], 2)
     ranked = forecast.best_draw(found).collect()
     assert found.count() == 4 and ranked[0].mse <= ranked[1].mse
+
+
+@pytest.mark.parametrize("n,folds", [(23, 5), (12, 2), (4, 5), (0, 3)])
+def test_blocks_are_the_expanding_folds(spark, n, folds):
+    df = spark.createDataFrame([(i, START + timedelta(hours=i)) for i in range(n)], "i int, ts timestamp_ntz")
+    buckets = FixedBuckets(3600 * 4)
+    blocks = evaluate.fold_blocks(df, [], ["ts"], buckets, folds).collect()
+    copies = evaluate.expanding_folds(df, [], ["ts"], buckets, folds).collect()
+    assert sorted(r.i for r in blocks) == list(range(n))
+    for f in range(1, folds + 1):
+        assert {r.i for r in blocks if r.block == f} == {r.i for r in copies if (r.fold, r.role) == (f, "test")}
+        train = {r.i for r in copies if (r.fold, r.role) == (f, "train")}
+        assert {r.i for r in blocks if r.block < f} == train or n <= folds
+
+
+def test_search_equals_fits_on_copies(spark, cells):
+    """One tree without drawing is the same tree on blocks and on copied folds, and on codes of many bins."""
+    matrix, names = feature_matrix(cells, [], "ts", 3600, SPEC), SPEC.feature_names()
+    buckets, plain = grid_buckets(3600, 24), {"numTrees": 1, "maxDepth": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+    found = forecast.random_search(evaluate.fold_blocks(matrix, [], ["ts"], buckets, 2), names, "y_h1", [plain], 2, bins=None)
+    copies = evaluate.expanding_folds(matrix, [], ["ts"], buckets, 2)
+    vector = forecast.TargetModels(tuple(names), {}).vector().alias(forecast.FEATURES)
+    for fold in (1, 2):
+        part = copies.filter(F.col("fold") == fold).select("role", vector, F.col("y_h1").cast("double").alias("y_h1"))
+        tree = forecast.random_forest(featuresCol=forecast.FEATURES, labelCol="y_h1", **plain).fit(part.filter("role = 'train'"))
+        want = tree.transform(part.filter("role = 'test'")).agg(F.avg((F.col("prediction") - F.col("y_h1")) ** 2)).first()[0]
+        assert found.filter(F.col("fold") == fold).first().mse == pytest.approx(want)
+
+
+def test_bins_come_from_one_part_and_keep_the_order(spark):
+    rows = spark.createDataFrame([(float(i), 7.0, None if i % 3 else 1.0, i) for i in range(100)], "a double, b double, c double, i int")
+    coded, names = forecast.binned(rows, rows.filter("i < 50"), ["a", "b", "c"], 8)
+    got = coded.orderBy("a").collect()
+    codes = [r[names[0]] for r in got]
+    assert codes == sorted(codes) and len(set(codes)) == 8 and codes[50] == codes[99]
+    assert len({r[names[1]] for r in got}) == 1 and coded.count() == 100

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.test_scan import START
 from tidewright.session import scratch_path
-from tidewright.sinks.maintain import VersionedTable
+from tidewright.sinks.maintain import VersionedTable, complete_folders
 from tidewright.streaming import flows
 
 SCHEMA = "id int, k string, ts timestamp_ntz, v double"
@@ -24,8 +24,8 @@ def test_updates_and_late_rows_reach_the_table(spark):
 
     def run():
         stream = flows.event_time(spark.readStream.schema(SCHEMA).parquet(folder), "ts")
-        flows.upsert_latest(flows.bucket_means(stream, ["k"], "ts", ["v"], "1 hour"), f"{path}/log", f"{path}/state").awaitTermination()
-        return {(r.k, r.bucket): (r.v, r.n) for r in flows.latest_state(spark, f"{path}/log", ["k", "bucket"]).collect()}
+        flows.upsert_latest(flows.bucket_means(stream, ["k"], "ts", ["v"], "1 hour"), path, f"{path}/state").awaitTermination()
+        return {(r.k, r.bucket): (r.v, r.n) for r in flows.latest_state(spark, path, ["k", "bucket"]).collect()}
 
     assert run() == {("a", at(0)): (3.0, 2)}
     land(spark, folder, [(3, "a", at(50), 6.0), (4, "a", at(70), 1.0)])
@@ -134,3 +134,27 @@ def test_frozen_value_in_any_order_of_batches(spark, tmp_path):
         flows.freeze_forecasts(stream, table, "target", "value", "run_at", f"{path}/state").awaitTermination()
         finals.add(tuple(table.read().first()))
     assert finals == {(target, 30.0, 149.0, target - dt.timedelta(minutes=30), target - dt.timedelta(minutes=149))}
+
+
+def test_folded_log_stays_short_and_survives_replay(spark):
+    """Nine batches, folded every second one: log bounded, state whole, a repeated fold changes nothing, a torn one is ignored."""
+    folder, path = scratch_path(spark, "in"), scratch_path(spark, "fold")
+    for i in range(9):
+        land(spark, folder, [(i, "ab"[i % 2], at(i), float(i)), (i + 100, f"k{i}", at(i), 1.0)])
+    stream = flows.event_time(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder), "ts")
+    sums = stream.groupBy("k").agg(F.sum("v").alias("v"))
+    flows.upsert_latest(sums, path, f"{path}/state", keys=["k"], fold_every=2).awaitTermination()
+    state = lambda: {r.k: r.v for r in flows.latest_state(spark, path, ["k"]).collect()}
+    want = {"a": 20.0, "b": 16.0} | {f"k{i}": 1.0 for i in range(9)}
+    assert state() == want
+    folds, log = complete_folders(spark, f"{path}/folds", "upto="), complete_folders(spark, f"{path}/log", "batch=")
+    assert len(folds) <= 2 and len(log) <= 4 and log[-1] >= 8
+    flows.fold_log(spark, path, ["k"], folds[-1])
+    spark.createDataFrame([("a", -1.0, 99)], "k string, v double, batch long").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/folds/upto=99")
+    assert state() == want
+
+
+def test_log_of_nothing(spark):
+    with pytest.raises(FileNotFoundError):
+        flows.latest_state(spark, scratch_path(spark, "none"), ["k"])

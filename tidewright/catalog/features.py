@@ -150,12 +150,8 @@ WIDE_SPEC = ops.FeatureSpec(
 )
 
 
-def _wide_sql() -> str:
-    spec = WIDE_SPEC
-    picks = ", ".join(
-        [f"coalesce(avg(value) FILTER (WHERE source = '{s}'), 0) AS rain_{s}" for s in SOURCES]
-        + [f"coalesce(avg(degrees) FILTER (WHERE source = '{s}'), 0) AS dir_{s}" for s in SOURCES]
-    )
+def single_series_columns(spec) -> list[str]:
+    """SQL of all features and targets of ``spec`` over one series ordered by ``ts_hour`` (window ``w``)."""
     parts = [f"lag({c}, {n}) OVER w AS {c}_lag{n}" for n in spec.lags for c in spec.base]
     for width in (*spec.short_means, *spec.long_means):
         for c in spec.base if width in spec.short_means else spec.long_base:
@@ -163,6 +159,16 @@ def _wide_sql() -> str:
             parts.append(f"CASE WHEN count({c}) OVER {frame} = {width} THEN avg({c}) OVER {frame} END AS {c}_ma{width}")
     parts += [f"lead({c}, {n}) OVER w AS {c}_lead{n}" for n in spec.leads for c in spec.lead_base]
     parts += [f"lead({c}, {h}) OVER w AS {c}_h{h}" for c in spec.targets for h in spec.horizons]
+    return parts
+
+
+def _wide_sql() -> str:
+    spec = WIDE_SPEC
+    picks = ", ".join(
+        [f"coalesce(avg(value) FILTER (WHERE source = '{s}'), 0) AS rain_{s}" for s in SOURCES]
+        + [f"coalesce(avg(degrees) FILTER (WHERE source = '{s}'), 0) AS dir_{s}" for s in SOURCES]
+    )
+    parts = single_series_columns(spec)
     names = spec.feature_names() + spec.target_names()
     return (f"WITH {S}, b AS (SELECT min(ts_hour) AS lo, max(ts_hour) AS hi FROM h),"
             f" s AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts_hour FROM b),"

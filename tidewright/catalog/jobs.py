@@ -82,6 +82,19 @@ def job_master_5min(spark, sf):
     return _master_5min(spark, sf).select("event_id", "timestamp_br", "umidade", *_GATED)
 
 
+@query("job_master_5min_mixed", f"""WITH {_HOURS}, fine AS (
+  SELECT event_id, time_bucket(INTERVAL 5 MINUTE, ts) AS timestamp_br, date_trunc('hour', ts) AS t, value AS umidade FROM r WHERE source = 'click'),
+near AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS timestamp_br, max(ts) AS openweather_timestamp, arg_max(value, ts) AS ow_temp
+  FROM r WHERE source = 'purchase' AND user_id % 10 <> 0 GROUP BY 1)
+SELECT event_id, timestamp_br, fine.umidade, openweather_timestamp, near.ow_temp, chuva_inmet, fc_temp, air_aqi
+FROM fine LEFT JOIN near USING (timestamp_br) LEFT JOIN station USING (t) LEFT JOIN forecast USING (t) LEFT JOIN air USING (t)""")
+def job_master_5min_mixed(spark, sf):
+    """Weather on the 5-minute bucket, the other sources on the hour."""
+    sources = _sources(spark, sf)
+    out = master.master_5min_mixed(sources[0], sources[2], master.source_hours(*sources, _CODE, _CITY), _CITY)
+    return out.select("event_id", "timestamp_br", "umidade", "openweather_timestamp", "ow_temp", "chuva_inmet", "fc_temp", "air_aqi")
+
+
 @query("job_stacked_5min", f"""WITH {R}, u AS (SELECT *, ts + INTERVAL 3 HOUR AS t FROM r),
 running AS (SELECT * FROM u WHERE t >= date_trunc('hour', TIMESTAMP '{_NOW}') AND t < date_trunc('hour', TIMESTAMP '{_NOW}') + INTERVAL 1 HOUR)
 SELECT event_id, CAST(NULL AS TIMESTAMP) AS timestamp_utc, value AS umidade, CAST(NULL AS DOUBLE) AS main_temp, CAST(NULL AS DOUBLE) AS temp,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewright.catalog.base import HOUR, query
 from tidewright.catalog.features import WIDE_SPEC, wide_grid
-from tidewright.operators.evaluate import chronological_split, error_metrics, expanding_folds
+from tidewright.operators.evaluate import chronological_split, error_metrics, fold_blocks
 from tidewright.operators.features import FeatureSpec, feature_matrix
 from tidewright.operators.forecast import (
     best_draw, boosted_trees, degradation, draw_parameters, fit_targets, random_forest, random_search,
@@ -64,9 +64,9 @@ def rf_score(spark, sf):
 
 @query("cv_search")
 def cv_search(spark, sf):
-    folded = expanding_folds(_matrix(spark, sf), [], [TS], grid_buckets(HOUR, 168), folds=2)
+    blocks = fold_blocks(_matrix(spark, sf), [], [TS], grid_buckets(HOUR, 168), folds=5)
     draws = draw_parameters({"maxDepth": [3, 5], "minInstancesPerNode": [1, 2], "numTrees": [5]}, 2)
-    return best_draw(random_search(folded, SMALL.feature_names(), "rain_click_h1", draws, folds=2))
+    return best_draw(random_search(blocks, SMALL.feature_names(), "rain_click_h1", draws, folds=5))
 
 
 @query("recursive_forecast")

@@ -161,6 +161,24 @@ def profile_columns(spark, sf):
     return ops.profile(rows, ["source", "value", "ts_day"]).drop("example").orderBy(F.desc("zero_pct"), "column_name")
 
 
+_PROFILED = ("event_id", "source", "user_id", "value", "degrees", "ts")
+_CELLS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS v FROM r" for c in _PROFILED)
+
+
+@query("profile_days", f"""WITH {R}, c AS ({_CELLS})
+SELECT column_name, count(*) AS row_count, count(*) - count(v) AS null_count,
+       count(*) FILTER (WHERE TRY_CAST(v AS DOUBLE) = 0) AS zero_count, count(DISTINCT v) AS distinct_count, TRUE AS sketch_close
+FROM c GROUP BY column_name""")
+def profile_days(spark, sf):
+    """Days merged by their sketches next to the exact distinct counts; ``sketch_close`` is within 5 %."""
+    rows = readings(spark, sf).withColumn("day", F.to_date("ts"))
+    merged = ops.merged_profile(ops.profile_days(rows, _PROFILED, "day")).withColumnRenamed("distinct_count", "sketched")
+    exact = ops.profile(rows, _PROFILED).select("column_name", "distinct_count")
+    close = F.abs(F.col("sketched") - F.col("distinct_count")) <= 0.05 * F.col("distinct_count")
+    return merged.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", "zero_count", "distinct_count", close.alias("sketch_close"))
+
+
 @query("numeric_detect", """
 SELECT column_name, count(v) AS filled, round(avg(CASE WHEN v IS NOT NULL
        THEN CASE WHEN TRY_CAST(v AS DOUBLE) IS NOT NULL THEN 1.0 ELSE 0.0 END END), 8) AS numeric_share

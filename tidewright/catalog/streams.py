@@ -60,8 +60,19 @@ SELECT source, date_trunc('hour', ts) AS bucket, round(avg(value), 8) AS value,
 def stream_hour_rollup(spark, sf):
     path = scratch_path(spark, "hours")
     out = flows.bucket_means(_stream(spark, sf), ["source"], "ts", ["value"], "1 hour")
-    flows.upsert_latest(out, f"{path}/log", f"{path}/state").awaitTermination()
-    return shown(flows.latest_state(spark, f"{path}/log", ["source", "bucket"]), ["value"])
+    flows.upsert_latest(out, path, f"{path}/state", keys=["source", "bucket"]).awaitTermination()
+    return shown(flows.latest_state(spark, path, ["source", "bucket"]), ["value"])
+
+
+@query("stream_folded_log", f"""WITH {R}
+SELECT source, date_trunc('hour', ts) AS bucket, round(avg(value), 8) AS value, count(*) AS n FROM r GROUP BY ALL""")
+def stream_folded_log(spark, sf):
+    """The hour rollup over seven batches whose log is folded every second batch."""
+    path = scratch_path(spark, "folded")
+    stream = flows.event_time(_landed(spark, _events(spark, sf), 7, F.pmod("event_id", F.lit(7))), "ts", "60 days")
+    out = flows.bucket_means(stream, ["source"], "ts", ["value"], "1 hour")
+    flows.upsert_latest(out, path, f"{path}/state", keys=["source", "bucket"], fold_every=2).awaitTermination()
+    return shown(flows.latest_state(spark, path, ["source", "bucket"]), ["value"])
 
 
 @query("stream_dedupe", f"WITH {R} SELECT DISTINCT source, time_bucket(INTERVAL 5 MINUTE, ts) AS ts_5min FROM r")

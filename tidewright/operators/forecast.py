@@ -8,13 +8,14 @@ features of the coming steps, so a step is a projection plus model scoring.
 from __future__ import annotations
 
 import json
+import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -162,29 +163,45 @@ def draw_parameters(space: Mapping[str, Sequence], draws: int, seed: int = 42) -
     return seen
 
 
+def binned(df: DataFrame, fitted_on: DataFrame, features: Sequence[str], bins: int = 32) -> tuple[DataFrame, list[str]]:
+    """``df`` with a quantile code per feature and the names of the codes; all edges come from one pass over ``fitted_on``."""
+    shares = [i / bins for i in range(1, bins)]
+    edges = fitted_on.agg(*[F.percentile_approx(F.col(c).cast("double"), shares).alias(c) for c in features]).first()
+    codes = [f"__bin_{i}" for i in range(len(features))]
+    splits = [[-math.inf, *sorted(set(edges[c] or [0.0])), math.inf] for c in features]
+    typed = df.withColumns({c: F.col(c).cast("double") for c in features})
+    coder = Bucketizer(splitsArray=splits, inputCols=list(features), outputCols=codes, handleInvalid="keep")
+    return coder.transform(typed), codes
+
+
 def random_search(
-    folded: DataFrame,
+    blocks: DataFrame,
     features: Sequence[str],
     target: str,
     candidates: Sequence[dict],
     folds: int,
     parallel: int = 2,
     threshold: float = 0.5,
+    bins: int | None = 32,
 ) -> DataFrame:
     """MSE and threshold accuracy per (draw, fold) on expanding folds.
 
-    ``folded`` carries ``fold`` and ``role``. Only the driver-side plan loops over
-    draws and folds; each fit and each metric is a distributed job.
+    ``blocks`` carries ``block`` (:func:`~tidewright.operators.evaluate.fold_blocks`): every row is kept once, whatever
+    the number of folds. Features are binned once for all draws, by the quantiles of block 0, which every fold trains
+    on; ``bins=None`` leaves them as they are. Only the driver-side plan loops over draws and folds; each fit and each
+    metric is a distributed job.
     """
-    shell = TargetModels(tuple(features), {})
-    data = folded.select("fold", "role", shell.vector().alias(FEATURES), F.col(target).cast("double").alias(target)).persist()
+    names = list(features)
+    if bins:
+        blocks, names = binned(blocks, blocks.filter(F.col("block") == 0), features, bins)
+    shell = TargetModels(tuple(names), {})
+    data = blocks.select("block", shell.vector().alias(FEATURES), F.col(target).cast("double").alias(target)).persist()
 
     def one(task: tuple[int, int]) -> DataFrame:
         draw, fold = task
         forest = random_forest(featuresCol=FEATURES, labelCol=target, **candidates[draw])
-        part = data.filter(F.col("fold") == fold)
-        model = forest.fit(part.filter(F.col("role") == "train"))
-        scored = model.transform(part.filter(F.col("role") == "test"))
+        model = forest.fit(data.filter(F.col("block") < fold))
+        scored = model.transform(data.filter(F.col("block") == fold))
         measured = error_metrics(scored, [], target, "prediction", threshold, digits=None)
         return measured.select(
             F.lit(draw).alias("draw"), F.lit(fold).alias("fold"), F.lit(json.dumps(candidates[draw])).alias("params"),
@@ -194,11 +211,11 @@ def random_search(
     tasks = [(d, f) for d in range(len(candidates)) for f in range(1, folds + 1)]
     try:
         with ThreadPool(min(parallel, len(tasks))) as pool:
-            # One small row per (draw, fold) is kept; the fold data can then be released.
+            # One small row per (draw, fold) is kept; the rows can then be released.
             rows = [r for part in pool.map(lambda t: one(t).collect(), tasks) for r in part]
     finally:
         data.unpersist()
-    return folded.sparkSession.createDataFrame(
+    return blocks.sparkSession.createDataFrame(
         rows, "draw int, fold int, params string, n bigint, mse double, within_pct double"
     )
 

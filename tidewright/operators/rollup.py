@@ -131,33 +131,59 @@ def collapse_runs(df: DataFrame, target: str, origin: str, value: str, frozen: s
     )
 
 
-def profile(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
-    """One row per column: rows, nulls, zeros, share of zeros, distinct values, an example.
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A value as text, one text per value (-0.0 is 0.0)."""
+    kind = df.schema[name].dataType
+    value = F.col(name) + F.lit(0.0).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(name)
+    return value.cast("string")
 
-    Every column is counted in the same pass. Exact distinct counts re-shuffle
-    the values; ``approximate`` keeps it to one partial aggregation.
+
+def _with_share(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("zero_pct", F.col("zero_count") * 100.0 / F.nullif("row_count", F.lit(0)))
+
+
+def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column: rows, nulls, values that read as zero, share of zeros, distinct values, an example.
+
+    Exact at any number of columns: cells become (column, value) rows, which fold per value before the shuffle;
+    a second aggregation counts the values of a column. An empty table gives zeros.
+    """
+    cells = df.select(*[_as_text(df, c).alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
+    values = cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    none = df.sparkSession.createDataFrame([(c, None, 0) for c in columns], "column_name string, value string, n long")
+    value = F.col("value")
+    return _with_share(values.unionByName(none).groupBy("column_name").agg(
+        F.sum("n").alias("row_count"),
+        F.sum(F.when(value.isNull(), F.col("n")).otherwise(0)).alias("null_count"),
+        F.sum(F.when(value.try_cast("double") == 0, F.col("n")).otherwise(0)).alias("zero_count"),
+        F.count("value").alias("distinct_count"),
+        F.min("value").alias("example"),
+    ))
+
+
+def profile_days(df: DataFrame, columns: Sequence[str], day: str, log_buckets: int = 12) -> DataFrame:
+    """Mergeable profile per day and column, in one partial aggregation without a row per cell.
+
+    The table is kept and only new days are added to it; :func:`merged_profile` sums any set of days. Distinct
+    values are sketched: with ``2**log_buckets`` buckets the relative error is about 1.04 / sqrt of that.
     """
-    aggs = [F.count("*").alias("__rows")]
-    for c in columns:
-        value = F.col(c)
-        aggs += [
-            F.count_if(value.isNull()).alias(f"{c}__nulls"),
-            F.count_if(value.try_cast("double") == 0).alias(f"{c}__zeros"),
-            (F.approx_count_distinct(c) if approximate else F.count_distinct(c)).alias(f"{c}__distinct"),
-            F.min(value.cast("string")).alias(f"{c}__example"),
-        ]
-    wide = df.agg(*aggs)
-    rows = F.array(*[
+    parts = [
         F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("__rows").alias("row_count"),
-            F.col(f"{c}__nulls").alias("null_count"),
-            F.col(f"{c}__zeros").alias("zero_count"),
-            F.col(f"{c}__distinct").alias("distinct_count"),
-            F.col(f"{c}__example").alias("example"),
-        )
-        for c in columns
-    ])
-    flat = wide.select(F.inline(rows))
-    return flat.withColumn("zero_pct", F.col("zero_count") * 100.0 / F.nullif("row_count", F.lit(0)))
-
+            F.lit(c).alias("column_name"), F.count("*").alias("row_count"), F.count_if(text.isNull()).alias("null_count"),
+            F.count_if(text.try_cast("double") == 0).alias("zero_count"),
+            # Sketches skip empty texts, so every text gets a mark.
+            F.hll_sketch_agg(F.concat(F.lit("="), text), log_buckets).alias("sketch"), F.min(text).alias("example"),
+        ).alias(f"__{i}")
+        for i, (c, text) in enumerate((c, _as_text(df, c)) for c in columns)
+    ]
+    wide = df.groupBy(F.col(day).alias("day")).agg(*parts)
+    return wide.select("day", F.inline(F.array(*[f"__{i}" for i in range(len(columns))])))
+
+
+def merged_profile(days: DataFrame) -> DataFrame:
+    """The rows of :func:`profile` out of those of :func:`profile_days`, with a sketched distinct count."""
+    return _with_share(days.groupBy("column_name").agg(
+        *[F.sum(c).alias(c) for c in ("row_count", "null_count", "zero_count")],
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"),
+        F.min("example").alias("example"),
+    ))

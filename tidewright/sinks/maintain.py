@@ -201,6 +201,26 @@ def define_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def complete_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``prefix<number>`` below ``path`` whose write ended, ascending."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    found = []
+    for status in system.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(prefix) and system.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
+            found.append(int(name[len(prefix):]))
+    return sorted(found)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """Parquet snapshots ``v=0, v=1, ...`` below ``path``; readers take the newest complete one.
@@ -213,17 +233,7 @@ class VersionedTable:
     path: str
 
     def _versions(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(root):
-            return []
-        found = []
-        for status in system.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v=") and system.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-                found.append(int(name[2:]))
-        return sorted(found)
+        return complete_folders(self.spark, self.path, "v=")
 
     def exists(self) -> bool:
         return bool(self._versions())

@@ -16,7 +16,7 @@ from tidewright.operators.grid import rms_gap_rows
 from tidewright.operators.rollup import dedupe
 from tidewright.operators.scan import grid_buckets
 from tidewright.session import scratch_path
-from tidewright.sinks.maintain import FREEZE_MINUTES, VersionedTable, write_days
+from tidewright.sinks.maintain import FREEZE_MINUTES, VersionedTable, complete_folders, remove_folder, write_days
 
 
 def event_time(stream: DataFrame, ts: str, delay: str = "24 hours") -> DataFrame:
@@ -86,15 +86,20 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 
 def upsert_latest(
-    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+    keys: Sequence[str] = (), fold_every: int = 16,
 ) -> StreamingQuery:
     """Update-mode aggregates into a log of batches; :func:`latest_state` reads it.
 
     Only the changed keys are written. A batch that is replayed after a failure
-    overwrites its own folder, so it is never counted twice.
+    overwrites its own folder, so it is never counted twice. With ``keys`` every
+    ``fold_every``-th batch folds the ones before it, so that the log never holds
+    more than twice as many batches.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+        if keys and batch_id and batch_id % fold_every == 0:
+            fold_log(batch.sparkSession, path, keys, batch_id - 1)
 
     return (
         stream.writeStream.outputMode("update").foreachBatch(apply)
@@ -102,9 +107,43 @@ def upsert_latest(
     )
 
 
+def fold_log(spark: SparkSession, path: str, keys: Sequence[str], upto: int) -> None:
+    """Newest row per key of all batches up to ``upto`` in one folder; what the fold before it covers is deleted.
+
+    A running batch proves that its predecessors are committed, so a folded batch is never replayed. Deleting
+    waits for one more fold: a reader that still uses the fold before finds it and all later batches in place, and a
+    fold that died half way, or is replayed with its batch, starts again from the same input.
+    """
+    folds = complete_folders(spark, f"{path}/folds", "upto=")
+    earlier = [n for n in folds if n < upto]
+    if upto not in folds:
+        rows = _logged(spark, path, earlier, upto)
+        dedupe(rows, keys, ["batch"], keep="last").write.mode("overwrite").parquet(f"{path}/folds/upto={upto}")
+    if earlier:
+        for n in complete_folders(spark, f"{path}/log", "batch="):
+            if n <= earlier[-1]:
+                remove_folder(spark, f"{path}/log/batch={n}")
+        for n in earlier[:-1]:
+            remove_folder(spark, f"{path}/folds/upto={n}")
+
+
+def _logged(spark: SparkSession, path: str, folds: Sequence[int], upto: int | None = None) -> DataFrame:
+    """Rows of the newest of ``folds`` and of the batches after it, each with its batch number."""
+    parts = [spark.read.parquet(f"{path}/folds/upto={folds[-1]}")] if folds else []
+    after = folds[-1] if folds else -1
+    batches = [n for n in complete_folders(spark, f"{path}/log", "batch=") if n > after and (upto is None or n <= upto)]
+    if batches:
+        log = spark.read.option("basePath", f"{path}/log").parquet(*[f"{path}/log/batch={n}" for n in batches])
+        parts.append(log.withColumn("batch", F.col("batch").cast("long")))
+    if not parts:
+        raise FileNotFoundError(path)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Newest row per key out of the log of batches."""
-    return dedupe(spark.read.parquet(path), keys, ["batch"], keep="last").drop("batch")
+    """Newest row per key out of the newest fold and the batches after it."""
+    rows = _logged(spark, path, complete_folders(spark, f"{path}/folds", "upto="))
+    return dedupe(rows, keys, ["batch"], keep="last").drop("batch")
 
 
 def freeze_forecasts(
