@@ -2,6 +2,7 @@
 
 from tidewright.catalog import (  # noqa: F401
     evaluation, features, fills, grids, ingest, jobs, joins, linear, maintenance, models, rollups, streams,
+    training,
 )
 from tidewright.catalog.base import ORACLES, QUERIES
 
