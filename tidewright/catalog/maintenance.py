@@ -179,3 +179,28 @@ def versioned_merge(spark, sf):
     for _ in range(2):
         target.publish(ops.merge_freeze(target.read(), run, "ts_hour", "value", instant(_NOW)))
     return shown(target.read(), ["dynamic", "frozen"])
+
+
+@query("rewritten_rows", f"WITH {R} SELECT event_id, source, value FROM r")
+def rewritten_rows(spark, sf):
+    """Written whole, overwritten by the even rows, the odd ones appended: every row once."""
+    path = scratch_path(spark, "rewritten")
+    rows = readings(spark, sf).select("event_id", "source", "value")
+    ops.overwrite_rows(rows, path)
+    ops.overwrite_rows(rows.filter(F.col("event_id") % 2 == 0), path)
+    ops.append_rows(rows.filter(F.col("event_id") % 2 != 0), path)
+    return spark.read.parquet(path)
+
+
+@query("staged_columns", f"""WITH {R}
+SELECT event_id AS id, source, CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS note, date_trunc('hour', ts) AS ts_hour FROM r""")
+def staged_columns(spark, sf):
+    """A column added, one retyped to text, staged with a fixed schema and read through a view."""
+    rows = readings(spark, sf).select("event_id", "source", "value", "ts")
+    grown = ops.change_type(ops.add_column(ops.add_column(rows, "note", "string"), "value", "double"), "value", "string")
+    ops.stage_run(grown, "staged_run", {
+        "id": ("event_id", "bigint"), "source": ("source", "string"), "value": ("value", "double"), "note": ("note", "string"),
+        "ts": ("ts", "timestamp_ntz")})
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts_hour")
+    ops.define_view(spark.table("staged_run").select("id", "source", "value", "note", hour), "staged_hours")
+    return spark.table("staged_hours")
