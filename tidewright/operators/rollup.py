@@ -150,7 +150,9 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     cells = df.select(*[_as_text(df, c).alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
     values = cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    none = df.sparkSession.createDataFrame([(c, None, 0) for c in columns], "column_name string, value string, n long")
+    none = df.sparkSession.range(0, 1, 1, 1).select(
+        F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"), F.lit(None).cast("string").alias("value"),
+        F.lit(0).cast("long").alias("n"))
     value = F.col("value")
     return _with_share(values.unionByName(none).groupBy("column_name").agg(
         F.sum("n").alias("row_count"),
