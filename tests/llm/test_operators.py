@@ -186,6 +186,49 @@ def test_near_duplicates_within_a_shared_passage(spark):
     assert linked and {(i, j) for i in found for j in found if j < i and found[i] == found[j]} == linked
 
 
+def test_near_duplicates_leave_out_no_pair_of_a_large_family(spark):
+    """Pairs over the threshold in a family whose other pairs are just below it: samples meet heads, not partners."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage, bodies = [word() for _ in range(172)], []
+    for i in range(300):
+        own = [word() for _ in range(28)]
+        bodies.append(" ".join(passage + own))
+        if i % 3 == 0:
+            bodies.append(" ".join(passage + own[:14] + [word() for _ in range(14)]))
+    frame = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string").repartition(4)
+    found = {r.id: r.component for r in simhash.near_duplicates(frame).collect()}
+    sets = [set(simhash.shingle_hashes(b.encode(), 5).tolist()) for b in bodies]
+    linked = {(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(linked) == 100 and {(i, j) for i in found for j in found if j < i and found[i] == found[j]} == linked
+
+
+@pytest.mark.parametrize("counted, common, compared", [(16, 1 << 18, 1 << 17), (1, 1 << 18, 7), (1, 40, 1000)])
+def test_prefix_pairs_against_all_pairs(spark, monkeypatch, counted, common, compared):
+    monkeypatch.setattr(simhash, "COUNTED", counted)
+    monkeypatch.setattr(simhash, "MOST_COMMON", common)
+    monkeypatch.setattr(simhash, "COMPARED", compared)
+    rng, bodies = random.Random(8), [b"", b"a", b"A b", b"a b c d", b"a b c d e"]
+    for _ in range(50):
+        words = [rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(rng.randint(5, 60))]
+        for _ in range(3):
+            bodies.append(" ".join(words).encode())
+            words[rng.randrange(len(words))] = rng.choice("xyz")
+            words = words[:rng.randint(len(words) - 2, len(words))]
+    bodies += bodies[:20]
+    sets = {simhash.word_key(b): set(simhash.shingle_hashes(b, 5).tolist()) for b in bodies}
+    texts = spark.createDataFrame([(bytearray(b),) for b in bodies], "text binary").repartition(3)
+    keys = sorted(sets)
+    roots = {k: keys[i - i % 2] for i, k in enumerate(keys) if i % 10 < 2}
+    frame = spark.createDataFrame(list(roots.items()), "node long, root long")
+    for share in (simhash.Fraction(4, 5), simhash.Fraction(1, 2), simhash.Fraction(1)):
+        got = [tuple(r) for r in simhash.prefix_pairs(texts, frame, share).collect()]
+        want = {(a, b) for a in keys for b in keys if a < b and roots.get(a, a) != roots.get(b, b) and sets[a] & sets[b]
+                and len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b])}
+        assert len(got) == len(set(got)) and want <= set(got)
+        assert all(a < b and roots.get(a, a) != roots.get(b, b) for a, b in got)
+
+
 def test_exact_topk(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(x) for x in rng.normal(size=6) * rng.choice([0.1, 1, 5])]) for i in range(70)]

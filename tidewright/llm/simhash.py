@@ -15,7 +15,9 @@ the radius propose pairs, and so do equal fingerprints over small samples of a t
 ``DRAWN`` least ones under each of ``VIEWS`` hashes), because two texts at the threshold differ in
 more bits than any radius can search; at a similarity of 0.8 a sample agrees with odds 0.6. Texts that
 agree in a sample are paired with two heads of it and dealt again by further samples, which parts those
-that only share a common passage. A link can still be missed. Every proposed pair is then checked on its whole shingle sets.
+that only share a common passage. Every proposed pair is then checked on its whole shingle sets. Proposals
+alone miss pairs, and the links of the radius search are a forest whose tree edges may fail the check, so an
+exact pass follows: ``prefix_pairs`` meets every pair at the threshold whose texts are not in one group yet.
 
 Texts: A-Z are lower-cased, words are runs of ``[^\\x20\\x09-\\x0D]``, shingles of ``shingle``
 words joined by one space, repeats included; a shorter text is one shingle; no word (null, empty)
@@ -27,6 +29,7 @@ the component of rows that only have null ids is null. Extra columns are ignored
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -48,6 +51,8 @@ SHINGLE, VIEWS, DRAWN = 5, 16, 2
 DEPTH = 6
 #: (fingerprint, node) pairs expanded at once.
 FRONTIER = 1 << 20
+#: The exact pass: one text of so many is counted to order shingles, most shingles with a count, pairs compared at once.
+COUNTED, MOST_COMMON, COMPARED = 16, 1 << 18, 1 << 17
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -281,13 +286,113 @@ def _proposals(buckets: DataFrame, depth: int = DEPTH) -> DataFrame:
     return reduce(DataFrame.union, found).select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
 
 
+def _distinct_shingles(text: bytes) -> np.ndarray:
+    return np.unique(shingle_hashes(text, SHINGLE))
+
+
+def _common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles, ascending, and their counts in a part of ``texts``. They only order shingles: links are the same by any order."""
+    @given_back
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_distinct_shingles(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))], names=["code"])
+
+    part = texts.where(F.pmod(F.xxhash64("text"), F.lit(COUNTED)) == 0).select("text")
+    counts = saved(part.mapInArrow(scan, "code long").groupBy("code").agg(F.count("*").alias("n")).where("n > 1"), "common")
+    least, room = None, MOST_COMMON
+    for n, shingles in sorted(counts.groupBy("n").agg(F.count("*")).collect(), reverse=True):
+        room -= shingles
+        if room < 0:
+            break
+        least = n
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    chosen = counts.where(F.col("n") >= least).toArrow()
+    codes = chosen.column("code").to_numpy().view(np.uint64)
+    order = np.argsort(codes)
+    return codes[order], chosen.column("n").to_numpy()[order]
+
+
+def prefix_pairs(texts: DataFrame, roots: DataFrame, similarity: Fraction) -> DataFrame:
+    """(left, right) keys of all pairs of texts with ``similarity`` or more and two roots, among others that may have it.
+
+    ``roots`` (node, root) names the group of a key; a key without one is alone. Shingles have one order, rare ones
+    first. Of two sets of n and m shingles at similarity t the first common one is among the first n - ceil(t n) + 1 of
+    either, and what is left from there on in both is t / (1 + t) of n + m or more. Nothing is capped.
+    """
+    top, bottom = similarity.numerator, similarity.denominator
+    common, counts = _common_shingles(texts)
+
+    @given_back
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies, sizes, heads = batch.column("text").to_pylist(), [], []
+            for text in bodies:
+                codes = _distinct_shingles(text)
+                n = len(codes)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, codes), len(common) - 1)
+                    codes = codes[np.argsort(np.where(common[at] == codes, counts[at], 0), kind="stable")]
+                sizes.append(n)
+                heads.append(codes[:n + top * -n // bottom + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(map(word_key, bodies)), pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
+                names=["key", "n", "codes"])
+
+    def compared(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs of two roots among the rows of each code; rows are sorted by code and root."""
+        code, root, key, n, at = rows
+        new = np.diff(code, prepend=code[0]) != 0
+        runs = np.concatenate([[0], np.flatnonzero(new), [len(code)]])
+        groups = np.concatenate([[0], np.flatnonzero(new | (np.diff(root, prepend=root[0]) != 0)), [len(code)]])
+        stop, group_stop = np.repeat(runs[1:], np.diff(runs)), np.repeat(groups[1:], np.diff(groups))
+        who = np.flatnonzero(stop > group_stop)
+        many = (stop - group_stop)[who]
+        cuts = np.flatnonzero(np.diff(np.cumsum(many) // COMPARED)) + 1
+        for some, size in zip(np.split(who, cuts), np.split(many, cuts)):
+            left = np.repeat(some, size)
+            right = np.arange(len(left)) + np.repeat(group_stop[some] - (np.cumsum(size) - size), size)
+            room = np.minimum((n - at)[left], (n - at)[right])
+            near = room * (top + bottom) >= top * (n[left] + n[right])
+            left, right = key[left[near]], key[right[near]]
+            pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, pairs)), names=["left", "right"])
+
+    @given_back
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch.column(c).to_numpy() for c in ("code", "root", "key", "n", "at")])
+            last = int(np.searchsorted(rows[0], rows[0, -1]))
+            if held and (last or held[-1][0, -1] != rows[0, -1]):
+                yield from compared(np.concatenate([*held, rows[:, :last]], axis=1))
+                held = []
+            elif last:
+                yield from compared(rows[:, :last])
+            held.append(rows[:, last:])
+        if held:
+            yield from compared(np.concatenate(held, axis=1))
+
+    heads = (texts.select("text").mapInArrow(prefixes, "key long, n long, codes array<long>")
+             .groupBy("key").agg(F.first("n").alias("n"), F.first("codes").alias("codes")))
+    rooted = heads.join(roots.withColumnRenamed("node", "key").hint("merge"), "key", "left")
+    entries = (rooted.select("key", F.coalesce("root", "key").alias("root"), "n", F.posexplode("codes").alias("at", "code"))
+               .select("code", "root", "key", "n", F.col("at").cast("long").alias("at")))
+    return entries.repartition("code").sortWithinPartitions("code", "root").mapInArrow(match, "left long, right long").distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "text", id_col: str = "doc_id",
                     radius: int = 2, shard: int = SHARD) -> DataFrame:
     """(key, id, component) of every row that is in a group with other texts or other rows; ``key`` is :func:`word_key` of the text.
 
-    Texts with equal lower-cased words have one key. Groups are the components of pairs whose
+    Texts with equal lower-cased words have one key. Groups are the components of all pairs whose
     shingle sets have a Jaccard similarity of ``similarity`` or more.
     """
+    share = Fraction(str(similarity))
+
     @given_back
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = mix(np.arange(1, VIEWS + 1, dtype=np.uint64))
@@ -323,20 +428,36 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies = batch.column("text").to_pylist()
-            found = [np.unique(shingle_hashes(t, SHINGLE)).view(np.int64) for t in bodies]
+            found = [_distinct_shingles(t).view(np.int64) for t in bodies]
             yield pa.RecordBatch.from_arrays([pa.array(list(map(word_key, bodies)), pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["key", "codes"])
 
-    # A key's rows have the same shingles: one of them stands for all.
-    members = pairs.select(F.col("left").alias("key")).union(pairs.select("right")).distinct()
-    chosen = rows.join(members, "key").groupBy("key").agg(F.min("id").alias("id"))
-    bodies = texts.join(chosen.select(F.col("id").alias("of")), F.col("id").eqNullSafe(F.col("of")), "left_semi")
-    shingles = saved(bodies.select("text").mapInArrow(sets, "key long, codes array<long>").join(members, "key", "left_semi")
+    def members(of: DataFrame) -> DataFrame:
+        return of.select(F.col("left").alias("key")).union(of.select("right")).distinct()
+
+    def shingles_of(keys: DataFrame) -> DataFrame:
+        # A key's rows have the same shingles: one of them stands for all.
+        chosen = rows.join(keys, "key").groupBy("key").agg(F.min("id").alias("id"))
+        bodies = texts.join(chosen.select(F.col("id").alias("of")), F.col("id").eqNullSafe(F.col("of")), "left_semi")
+        return saved(bodies.select("text").mapInArrow(sets, "key long, codes array<long>").join(keys, "key", "left_semi")
                      .dropDuplicates(["key"]), "shingles")
-    checked = (pairs.join(shingles.withColumnsRenamed({"key": "left", "codes": "a"}), "left")
-               .join(shingles.withColumnsRenamed({"key": "right", "codes": "b"}), "right")
-               .withColumn("both", F.size(F.array_intersect("a", "b")))
-               .where((F.col("both") >= similarity * (F.size("a") + F.size("b") - F.col("both"))) | ((F.size("a") == 0) & (F.size("b") == 0))))
-    found = components(checked.select(F.col("left").alias("a"), F.col("right").alias("b")))
+
+    def verified(of: DataFrame, shingles: DataFrame) -> DataFrame:
+        """(a, b) of the pairs that have the similarity, compared in whole numbers."""
+        both, either = F.col("both").cast("long"), F.size("a") + F.size("b") - F.col("both")
+        return (of.join(shingles.withColumnsRenamed({"key": "left", "codes": "a"}), "left")
+                .join(shingles.withColumnsRenamed({"key": "right", "codes": "b"}), "right")
+                .withColumn("both", F.size(F.array_intersect("a", "b")))
+                .where((both * share.denominator >= either * F.lit(share.numerator).cast("long")) | ((F.size("a") == 0) & (F.size("b") == 0)))
+                .select(F.col("left").alias("a"), F.col("right").alias("b")))
+
+    shingles = shingles_of(members(pairs))
+    found = components(verified(pairs, shingles))
+    rest = saved(prefix_pairs(texts, found, share).join(pairs, ["left", "right"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        more = saved(members(rest).join(shingles.select("key"), "key", "left_anti"), "more")
+        joined = saved(verified(rest, shingles.union(shingles_of(more))), "joined")
+        if not joined.isEmpty():
+            found = components(joined.union(found.select("node", "root")))
     grouped = rows.select("id", "key").join(found.select(F.col("node").alias("key"), F.col("root").alias("component")), "key", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "key"))
     many = grouped.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
