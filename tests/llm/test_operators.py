@@ -229,6 +229,16 @@ def test_prefix_pairs_against_all_pairs(spark, monkeypatch, counted, common, com
         assert all(a < b and roots.get(a, a) != roots.get(b, b) for a, b in got)
 
 
+def test_parity_bits_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        pool = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+        one, two = (np.unique(rng.choice(pool, int(rng.integers(0, 2000)))) for _ in range(2))
+        apart = len(np.setxor1d(one, two))
+        assert simhash.parity_distance(simhash.parity_bits(one), simhash.parity_bits(two)) <= apart
+    assert simhash.parity_distance(simhash.parity_bits(one), simhash.parity_bits(one)) == 0
+
+
 def test_exact_topk(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(x) for x in rng.normal(size=6) * rng.choice([0.1, 1, 5])]) for i in range(70)]

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import arrow_schema, given_back, record_batch, saved, small_batches, utf8
+from tidewright.llm.common import arrow_schema, given_back, power_of_two, record_batch, saved, small_batches, utf8
 from tidewright.llm.components import components
 from tidewright.llm.tokens import mix
 
@@ -53,6 +53,8 @@ DEPTH = 6
 FRONTIER = 1 << 20
 #: The exact pass: one text of so many is counted to order shingles, most shingles with a count, pairs compared at once.
 COUNTED, MOST_COMMON, COMPARED = 16, 1 << 18, 1 << 17
+#: Most parity bits of a set.
+MOST_PARITY = 1 << 16
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -290,6 +292,20 @@ def _distinct_shingles(text: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(text, SHINGLE))
 
 
+def parity_bits(codes: np.ndarray) -> bytes:
+    """Parities of the shingles dealt to a power of two of bits; in these two sets differ no more than in shingles."""
+    bits = power_of_two(len(codes) // 2, 64, MOST_PARITY)
+    odd = np.bincount((mix(codes) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def parity_distance(a: bytes, b: bytes) -> int:
+    """Differing bits, after folding the longer one to the length of the other."""
+    short = min(len(a), len(b))
+    x, y = (reduce(int.__xor__, (int.from_bytes(c[at:at + short]) for at in range(0, len(c), short))) for c in (a, b))
+    return (x ^ y).bit_count()
+
+
 def _common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Common shingles, ascending, and their counts in a part of ``texts``. They only order shingles: links are the same by any order."""
     @given_back
@@ -342,7 +358,8 @@ def prefix_pairs(texts: DataFrame, roots: DataFrame, similarity: Fraction) -> Da
 
     def compared(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Pairs of two roots among the rows of each code; rows are sorted by code and root."""
-        code, root, key, n, at = rows
+        code, root, key, place = rows
+        room, n = place >> 32, place & 0xFFFFFFFF
         new = np.diff(code, prepend=code[0]) != 0
         runs = np.concatenate([[0], np.flatnonzero(new), [len(code)]])
         groups = np.concatenate([[0], np.flatnonzero(new | (np.diff(root, prepend=root[0]) != 0)), [len(code)]])
@@ -353,8 +370,7 @@ def prefix_pairs(texts: DataFrame, roots: DataFrame, similarity: Fraction) -> Da
         for some, size in zip(np.split(who, cuts), np.split(many, cuts)):
             left = np.repeat(some, size)
             right = np.arange(len(left)) + np.repeat(group_stop[some] - (np.cumsum(size) - size), size)
-            room = np.minimum((n - at)[left], (n - at)[right])
-            near = room * (top + bottom) >= top * (n[left] + n[right])
+            near = np.minimum(room[left], room[right]) * (top + bottom) >= top * (n[left] + n[right])
             left, right = key[left[near]], key[right[near]]
             pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)]), axis=1)
             yield pa.RecordBatch.from_arrays(list(map(pa.array, pairs)), names=["left", "right"])
@@ -365,7 +381,7 @@ def prefix_pairs(texts: DataFrame, roots: DataFrame, similarity: Fraction) -> Da
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.stack([batch.column(c).to_numpy() for c in ("code", "root", "key", "n", "at")])
+            rows = np.stack([batch.column(c).to_numpy() for c in ("code", "root", "key", "place")])
             last = int(np.searchsorted(rows[0], rows[0, -1]))
             if held and (last or held[-1][0, -1] != rows[0, -1]):
                 yield from compared(np.concatenate([*held, rows[:, :last]], axis=1))
@@ -380,10 +396,25 @@ def prefix_pairs(texts: DataFrame, roots: DataFrame, similarity: Fraction) -> Da
              .groupBy("key").agg(F.first("n").alias("n"), F.first("codes").alias("codes")))
     rooted = heads.join(roots.withColumnRenamed("node", "key").hint("merge"), "key", "left")
     entries = (rooted.select("key", F.coalesce("root", "key").alias("root"), "n", F.posexplode("codes").alias("at", "code"))
-               .select("code", "root", "key", "n", F.col("at").cast("long").alias("at")))
+               .select("code", "root", "key", (F.shiftleft(F.col("n") - F.col("at"), 32) + F.col("n")).alias("place")))
     return entries.repartition("code").sortWithinPartitions("code", "root").mapInArrow(match, "left long, right long").distinct()
 
 
+def _alike(pairs: DataFrame, marks: DataFrame, similarity: Fraction) -> DataFrame:
+    """The (left, right) pairs whose parity bits (``marks``: key, n, parity) do not rule out ``similarity``."""
+    top, bottom = similarity.numerator, similarity.denominator
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("n", "m", "a", "b")]
+            alike = [parity_distance(a, b) * (bottom + top) <= (n + m) * (bottom - top) for n, m, a, b in zip(*columns)]
+            yield batch.select(["left", "right"]).filter(pa.array(alike, pa.bool_()))
+
+    return (pairs.join(marks.withColumnsRenamed({"key": "left", "parity": "a"}), "left")
+            .join(marks.withColumnsRenamed({"key": "right", "n": "m", "parity": "b"}), "right")
+            .mapInArrow(check, "left long, right long"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "text", id_col: str = "doc_id",
                     radius: int = 2, shard: int = SHARD) -> DataFrame:
     """(key, id, component) of every row that is in a group with other texts or other rows; ``key`` is :func:`word_key` of the text.
@@ -397,12 +428,14 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = mix(np.arange(1, VIEWS + 1, dtype=np.uint64))
         for batch in batches:
-            keys, prints, views = [], [], []
+            keys, prints, views, sizes, parities = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 codes = shingle_hashes(text, SHINGLE)
                 keys.append(word_key(text))
                 prints.append(majority(codes))
                 found, distinct = [], np.unique(codes)
+                sizes.append(len(distinct))
+                parities.append(parity_bits(distinct))
                 for seed in seeds:
                     ranked = mix(distinct ^ seed)
                     if len(ranked) > DRAWN:
@@ -411,10 +444,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
                 views.append(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(keys, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)),
-                 pa.array(views, pa.list_(pa.int64()))], names=["id", "key", "fp", "views"])
+                 pa.array(views, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(parities, pa.binary())],
+                names=["id", "key", "fp", "views", "n", "parity"])
 
     texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
-    rows = saved(texts.mapInArrow(scan, "id long, key long, fp long, views array<long>"), "views")
+    rows = saved(texts.mapInArrow(scan, "id long, key long, fp long, views array<long>, n long, parity binary"), "views")
     nodes = rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("views").alias("views"))
     least = saved(nodes.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
     linked = links(least.select("fp"), radius, shard)
@@ -436,7 +470,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
 
     def shingles_of(keys: DataFrame) -> DataFrame:
         # A key's rows have the same shingles: one of them stands for all.
-        chosen = rows.join(keys, "key").groupBy("key").agg(F.min("id").alias("id"))
+        # Written first, so that a few ids spare the texts a shuffle.
+        chosen = saved(rows.join(keys, "key").groupBy("key").agg(F.min("id").alias("id")), "chosen")
         bodies = texts.join(chosen.select(F.col("id").alias("of")), F.col("id").eqNullSafe(F.col("of")), "left_semi")
         return saved(bodies.select("text").mapInArrow(sets, "key long, codes array<long>").join(keys, "key", "left_semi")
                      .dropDuplicates(["key"]), "shingles")
@@ -452,10 +487,13 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
 
     shingles = shingles_of(members(pairs))
     found = components(verified(pairs, shingles))
-    rest = saved(prefix_pairs(texts, found, share).join(pairs, ["left", "right"], "left_anti"), "rest")
+    met = saved(prefix_pairs(texts, found, share).join(pairs, ["left", "right"], "left_anti"), "met_by_prefix")
+    marks = saved(rows.select("key", "n", "parity").join(members(met), "key", "left_semi").dropDuplicates(["key"]), "marks")
+    rest = saved(_alike(met, marks, share), "rest")
     if not rest.isEmpty():
         more = saved(members(rest).join(shingles.select("key"), "key", "left_anti"), "more")
-        joined = saved(verified(rest, shingles.union(shingles_of(more))), "joined")
+        held = shingles.join(members(rest), "key", "left_semi")
+        joined = saved(verified(rest, held.union(shingles_of(more))), "joined")
         if not joined.isEmpty():
             found = components(joined.union(found.select("node", "root")))
     grouped = rows.select("id", "key").join(found.select(F.col("node").alias("key"), F.col("root").alias("component")), "key", "left")
