@@ -6,12 +6,13 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.llm import guess_cost, line_quality, packing, page_text, simhash, super_kmers
+from tidewright.llm import common, guess_cost, line_quality, packing, page_text, simhash, super_kmers
 from tidewright.llm.common import held_out
 from tidewright.llm.exact_dedup import exact_dedup, keep_first, rice_decode, rice_encode
 from tidewright.llm.exact_topk import exact_topk
@@ -203,6 +204,26 @@ def test_near_duplicates_leave_out_no_pair_of_a_large_family(spark):
     assert len(linked) == 100 and {(i, j) for i in found for j in found if j < i and found[i] == found[j]} == linked
 
 
+def test_near_duplicates_check_few_pairs_of_a_dense_group(spark, monkeypatch):
+    rng, checked, saved = random.Random(11), [], simhash.saved
+
+    def counted(df, label):
+        out = saved(df, label)
+        if label in ("candidates", "rest"):
+            checked.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "saved", counted)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(150)]
+    bodies = [" ".join(base)]
+    for i in range(200):
+        bodies.append(" ".join(base[:20 + i % 110] + [f"x{i}"] + base[21 + i % 110:]))
+    frame = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string").repartition(4)
+    found = simhash.near_duplicates(frame).collect()
+    assert len(found) == 201 and len({r.component for r in found}) == 1
+    assert sum(checked) <= 12 * len(bodies)
+
+
 @pytest.mark.parametrize("counted, common, compared", [(16, 1 << 18, 1 << 17), (1, 1 << 18, 7), (1, 40, 1000)])
 def test_prefix_pairs_against_all_pairs(spark, monkeypatch, counted, common, compared):
     monkeypatch.setattr(simhash, "COUNTED", counted)
@@ -239,6 +260,17 @@ def test_parity_bits_never_differ_in_more_than_the_sets():
     assert simhash.parity_distance(simhash.parity_bits(one), simhash.parity_bits(one)) == 0
 
 
+def test_a_worker_drops_what_other_stages_kept(monkeypatch):
+    made, stage = [], [1]
+    monkeypatch.setattr(common, "_KEPT", {})
+    monkeypatch.setattr(common.TaskContext, "get", classmethod(lambda cls: SimpleNamespace(stageId=lambda: stage[0])))
+    make = lambda: made.append(1) or len(made)
+    task = common.given_back(lambda batches: iter([len(common._KEPT)]))
+    assert [common.kept("a", make), common.kept("a", make), *task(iter([]))] == [1, 1, 1]
+    stage[0] = 2
+    assert list(task(iter([]))) == [0] and common.kept("a", make) == 2
+
+
 def test_exact_topk(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(x) for x in rng.normal(size=6) * rng.choice([0.1, 1, 5])]) for i in range(70)]

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.session import scratch_path
@@ -37,13 +38,34 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+#: What a worker keeps for its next task, by stage and name.
+_KEPT: dict[tuple[int | None, str], object] = {}
+
+
+def _forget_other_stages() -> int | None:
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    for key in [k for k in _KEPT if k[0] != stage]:
+        del _KEPT[key]
+    return stage
+
+
+def kept(name: str, make: Callable[[], object]):
+    """``make()``, kept by the worker for further tasks of the same stage and dropped in the next one that is ``given_back``."""
+    key = (_forget_other_stages(), name)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def given_back(task: Callable) -> Callable:
     """``task`` over Arrow batches, which returns its freed memory to the system at its end.
 
-    Workers are used again by later stages, and what the allocators of one stage keep adds to the next one's.
+    Workers are used again by later stages, and what one stage keeps in them adds to the next one's.
     """
     @wraps(task)
     def run(batches: Iterator[pa.RecordBatch], *rest, **options) -> Iterator[pa.RecordBatch]:
+        _forget_other_stages()
         yield from task(batches, *rest, **options)
         pa.default_memory_pool().release_unused()
         if sys.platform == "linux":

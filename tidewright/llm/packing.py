@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewright.llm.common import arrow_schema, given_back, record_batch, saved, small_batches
+from tidewright.llm.common import arrow_schema, given_back, kept, record_batch, saved, small_batches
 
 WINDOW, END = 1024, 0
 #: Tokens of a pool (4 bytes each), documents of a pool, tokens of a step group, kept encodings.
@@ -44,7 +44,6 @@ LONGEST_KEPT = 48
 
 #: A space inside a run of white space that is not the run's last: there pieces depend on each other.
 _ODD = re.compile(r"\s (?=\s|$)")
-_ENCODERS: dict[str, "Encoder"] = {}
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -56,7 +55,7 @@ def _bytes(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit integers. The vocabulary stays with the worker; kept pieces go with their task."""
+    """Ids of a text as little-endian unsigned 32-bit integers. The vocabulary stays with the worker for one stage; kept pieces go with their task."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -107,9 +106,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return kept(f"encoder {path}", lambda: Encoder(path))
 
 
 def pack(lengths: list[int], window: int = WINDOW) -> list[list[tuple[int, int, int]]]:

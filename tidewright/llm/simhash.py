@@ -14,10 +14,11 @@ costs its size and not its square; components are then found over those links.
 the radius propose pairs, and so do equal fingerprints over small samples of a text's shingles (the
 ``DRAWN`` least ones under each of ``VIEWS`` hashes), because two texts at the threshold differ in
 more bits than any radius can search; at a similarity of 0.8 a sample agrees with odds 0.6. Texts that
-agree in a sample are paired with two heads of it and dealt again by further samples, which parts those
-that only share a common passage. Every proposed pair is then checked on its whole shingle sets. Proposals
-alone miss pairs, and the links of the radius search are a forest whose tree edges may fail the check, so an
-exact pass follows: ``prefix_pairs`` meets every pair at the threshold whose texts are not in one group yet.
+agree in a sample are paired with one head of it, and every proposed pair is checked on its whole shingle sets.
+The first samples connect most of a group, so of the others only texts that are still apart are paired; at last these
+are dealt again by further samples where some texts have found partners. Proposals alone miss pairs, and the links of the radius
+search are a forest whose tree edges may fail the check, so an exact pass follows: ``prefix_pairs`` meets every
+pair at the threshold whose texts are not in one group yet.
 
 Texts: A-Z are lower-cased, words are runs of ``[^\\x20\\x09-\\x0D]``, shingles of ``shingle``
 words joined by one space, repeats included; a shorter text is one shingle; no word (null, empty)
@@ -47,8 +48,8 @@ SHARD, MOST_SHARDS = 65536, 8192
 FANOUT = 8
 #: The similarity form: words a shingle, sampled fingerprints, shingles in each.
 SHINGLE, VIEWS, DRAWN = 5, 16, 2
-#: How often a bucket of several texts is dealt again.
-DEPTH = 6
+#: Samples whose texts meet a head before groups are known; how often a bucket of several texts is dealt again after that.
+FIRST, DEPTH = 2, 6
 #: (fingerprint, node) pairs expanded at once.
 FRONTIER = 1 << 20
 #: The exact pass: one text of so many is counted to order shingles, most shingles with a count, pairs compared at once.
@@ -269,20 +270,23 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _proposals(buckets: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(left, right) pairs to check, from ``buckets`` (key, views, view, code).
+    """(left, right) pairs to check, from ``buckets`` (key, root, views, view, code); ``root`` names the group of a key known so far.
 
-    Each bucket pairs its members with two heads. Where there are more than three, members may resemble
-    each other and no head: they are dealt again by one more view, up to ``depth`` times.
+    Each bucket pairs its members with a head, but for those of the head's group. Where members have found
+    partners already, the others may have some there too and not at the head: they are paired with a
+    second head and, if there are more than three, dealt again by one more view, up to ``depth`` times.
     """
-    found, order = [], F.xxhash64("key", "view", "code")
+    found, order, member = [], F.xxhash64("key", "view", "code"), F.struct("key", "root")
     for step in range(1, depth + 1):
         heads = buckets.groupBy("view", "code").agg(
-            F.min_by("key", order).alias("head"), F.max_by("key", order).alias("other"), F.count("*").alias("n")).where("n > 1")
+            F.min_by(member, order).alias("head"), F.max_by(member, order).alias("other"), F.count("*").alias("n"),
+            F.count_if(F.col("root") != F.col("key")).alias("grouped"), F.min("root").alias("low"), F.max("root").alias("high")
+        ).where("low < high").drop("low", "high")
         met = saved(buckets.join(heads, ["view", "code"]), "met")
-        found += [met.where(F.col("key") != F.col(head)).select(F.col(head).alias("left"), F.col("key").alias("right"))
-                  for head in ("head", "other")]
+        found += [met.where(where).where(F.col("root") != F.col(f"{head}.root")).select(F.col(f"{head}.key").alias("left"), F.col("key").alias("right"))
+                  for head, where in (("head", "true"), ("other", "grouped > 0"))]
         following = F.get("views", F.pmod(F.col("view") + step, F.lit(VIEWS)))
-        buckets = met.where("n > 3").select("key", "views", "view", F.xxhash64("code", following).alias("code"))
+        buckets = met.where("n > 3 and grouped > 0").select("key", "root", "views", "view", F.xxhash64("code", following).alias("code"))
         if buckets.isEmpty():
             break
     return reduce(DataFrame.union, found).select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
@@ -454,9 +458,12 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
     linked = links(least.select("fp"), radius, shard)
     near = (linked.join(least.select(F.col("fp").alias("a"), F.col("least").alias("left")), "a")
             .join(least.select(F.col("fp").alias("b"), F.col("least").alias("right")), "b").select("left", "right"))
-    buckets = (nodes.select("key", "views", F.posexplode("views").alias("view", "code"))
-               .union(nodes.select("key", "views", F.lit(-1), "fp")))
-    pairs = saved(_proposals(buckets).union(near).distinct(), "candidates")
+    dealt = (nodes.select("key", "views", F.posexplode("views").alias("view", "code"))
+             .union(nodes.select("key", "views", F.lit(-1), "fp")))
+    several = dealt.groupBy("view", "code").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = saved(dealt.join(several, ["view", "code"], "left_semi"), "buckets")
+    first = _proposals(buckets.where(F.col("view") < FIRST).withColumn("root", F.col("key")), 1)
+    pairs = saved(first.union(near.select(F.least("left", "right"), F.greatest("left", "right"))).distinct(), "candidates")
 
     @given_back
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -485,8 +492,13 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, text_col: str = "t
                 .where((both * share.denominator >= either * F.lit(share.numerator).cast("long")) | ((F.size("a") == 0) & (F.size("b") == 0)))
                 .select(F.col("left").alias("a"), F.col("right").alias("b")))
 
-    shingles = shingles_of(members(pairs))
+    shingles = shingles_of(members(pairs).union(buckets.select("key")).distinct())
     found = components(verified(pairs, shingles))
+    for depth in (1, DEPTH):
+        grouped = buckets.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        apart = saved(_proposals(grouped, depth).join(pairs, ["left", "right"], "left_anti"), "candidates")
+        found = components(verified(apart, shingles).union(found))
+        pairs = pairs.union(apart)
     met = saved(prefix_pairs(texts, found, share).join(pairs, ["left", "right"], "left_anti"), "met_by_prefix")
     marks = saved(rows.select("key", "n", "parity").join(members(met), "key", "left_semi").dropDuplicates(["key"]), "marks")
     rest = saved(_alike(met, marks, share), "rest")

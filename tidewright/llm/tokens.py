@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as compute
 
+from tidewright.llm.common import kept
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CACHED: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -21,10 +22,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64; kept for the next piece."""
-    if len(_CACHED.get(base, ())) >= n:
-        return _CACHED[base][:n]
-    out = _CACHED[base] = np.ones(n, np.uint64)
+    """1, base, base**2, ... modulo 2**64; kept for the next piece of the stage."""
+    powers = kept("powers", dict)
+    if len(powers.get(base, ())) >= n:
+        return powers[base][:n]
+    out = powers[base] = np.ones(n, np.uint64)
     filled, factor = 1, np.uint64(base)
     while filled < n:
         take = min(filled, n - filled)
